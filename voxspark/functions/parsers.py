@@ -21,6 +21,11 @@ def _looked_up(c: Column, mapping: dict[str, str]) -> Column:
     return F.element_at(table, c)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed a single time per row."""
+    return F.transform(F.array(value), use)[0]
+
+
 def relative_date(c: Column | str, retrieved: Column | str, hl: str | Column = "pt-br") -> Column:
     """``"2 semanas atrás"`` seen at ``retrieved`` -> the moment it points to.
 
@@ -33,29 +38,37 @@ def relative_date(c: Column | str, retrieved: Column | str, hl: str | Column = "
             out = F.when(hl == lang, relative_date(c, retrieved, lang)).otherwise(out)
         return out
     rules = V.RELATIVE_DATE[hl]
+    shape = r"^(\d{1,6}(?:\.\d+)?) (\S+)$"
+    # Every unit as (months, seconds).
+    steps = {
+        "years": (12, 0), "months": (1, 0), "weeks": (0, 604800), "days": (0, 86400),
+        "hours": (0, 3600), "minutes": (0, 60), "seconds": (0, 1),
+    }
+    step = F.create_map(*[
+        x for word, unit in rules["units"].items()
+        for x in (F.lit(word), F.struct(F.lit(steps[unit][0]).alias("m"), F.lit(steps[unit][1]).alias("s")))
+    ])
     phrase = strip(F.lower(fold_accents(c)))
     phrase = F.regexp_replace(F.regexp_replace(phrase, rules["one"], "1"), rules["ago"], "")
-    shape = r"^(\d{1,6}(?:\.\d+)?) (\S+)$"
-    n = _found(phrase, shape, 1).try_cast("double")
-    unit = _looked_up(_found(phrase, shape, 2), rules["units"])
-
-    def amount(name: str, whole: bool = True) -> Column:
-        return F.when(unit == name, n.try_cast("int") if whole else n)
-
-    zero = F.lit(0)
-    months = F.coalesce(amount("years") * 12, amount("months"), zero)
-    seconds = F.coalesce(
-        amount("weeks", False) * 604800, amount("days", False) * 86400, amount("hours", False) * 3600,
-        amount("minutes", False) * 60, amount("seconds", False), F.lit(0.0),
-    )
-    whole_needed = unit.isin("years", "months") & (n != F.floor(n))
     at = col(retrieved).cast("timestamp_ntz")
-    moved = (
-        at
-        - F.make_ym_interval(F.lit(0), months)
-        - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
-    )
-    return F.when(unit.isNotNull() & ~whole_needed, moved)
+
+    def parsed(p: Column) -> Column:
+        return F.struct(
+            _found(p, shape, 1).try_cast("double").alias("n"),
+            F.element_at(step, _found(p, shape, 2)).alias("step"),
+        )
+
+    def moved(p: Column) -> Column:
+        n, months, seconds = p["n"], p["step"]["m"], p["step"]["s"]
+        whole = (months == 0) | (n == F.floor(n))
+        return F.when(
+            whole,
+            at
+            - F.make_ym_interval(F.lit(0), (n * months).cast("int"))
+            - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (n * seconds).cast("decimal(18,6)")),
+        )
+
+    return _once(phrase, lambda p: _once(parsed(p), moved))
 
 
 def translated_text(c: Column | str, hl: str = "pt-br") -> Column:

@@ -93,21 +93,21 @@ def bleu(
         ],
     )
     sides = F.concat(
-        F.transform(_grams(F.col("_h"), orders), lambda g: F.struct(F.lit(-1).alias("side"), g.n.alias("n"), g.gram.alias("gram"))),
+        F.transform(_grams(F.col("_h"), orders), lambda g: F.struct(F.lit(-1).alias("_side"), g.n.alias("n"), g.gram.alias("gram"))),
         F.flatten(F.transform("_rs", lambda r, i: F.transform(
-            _grams(r, orders), lambda g: F.struct(i.alias("side"), g.n.alias("n"), g.gram.alias("gram"))
+            _grams(r, orders), lambda g: F.struct(i.alias("_side"), g.n.alias("n"), g.gram.alias("gram"))
         ))),
     )
     per_side = (
         toks.select(*by, pair, F.inline(sides))
-        .groupBy(*by, pair, "n", "gram", "side")
+        .groupBy(*by, pair, "n", "gram", "_side")
         .agg(F.count(F.lit(1)).alias("c"))
     )
     clipped = (
         per_side.groupBy(*by, pair, "n", "gram")
         .agg(
-            F.max(F.when(F.col("side") < 0, F.col("c"))).alias("h"),
-            F.max(F.when(F.col("side") >= 0, F.col("c"))).alias("r"),
+            F.max(F.when(F.col("_side") < 0, F.col("c"))).alias("h"),
+            F.max(F.when(F.col("_side") >= 0, F.col("c"))).alias("r"),
         )
         .where(F.col("h").isNotNull() & F.col("r").isNotNull())
         .groupBy(*by)

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "INT": T.IntegerType(), "BIGINT": T.LongType(), "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(), "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name TYPE, ..."`` without needing a running session."""
+    pairs = [p.split() for p in spec.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in pairs])
 
 
 # Column names and order of the files users already have.
