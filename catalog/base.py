@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from voxspark.session import spread
+
 
 @dataclass(frozen=True)
 class Query:
@@ -18,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows cost much to process, spread over all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def second_text(c: Column | str) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Registry, table
+from catalog.base import Registry, table, texts
 from voxspark.functions import text as X
 from voxspark.operators import chunks, overlap, profile, sentiment, summaries, vocabulary
 
@@ -25,7 +25,7 @@ def _tokens(c: str, min_len: int = 3) -> str:
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return texts(spark, sf, "documents")
 
 
 def _tokenized(spark, sf):

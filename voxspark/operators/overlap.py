@@ -21,10 +21,12 @@ def bleu_tokens(c: Column | str) -> Column:
 
 def _grams(tokens: Column, orders: range | tuple) -> Column:
     """All n-grams of all orders as an array of (n, gram)."""
-    per_order = [
-        F.transform(X.ngrams(tokens, n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("gram")))
-        for n in orders
-    ]
+    def of_order(n: int) -> Column:
+        return F.transform(
+            X.ngrams(tokens, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+        )
+
+    per_order = [of_order(n) for n in orders]
     return F.concat(*per_order)
 
 

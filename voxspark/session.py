@@ -56,3 +56,13 @@ def settle(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "settled")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for CPU-heavy work.
+
+    An input of a few unsplittable files would keep most cores idle; one with
+    enough partitions is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 from voxspark.operators.relational import banded
 
 
+# Texts keep their outer blanks; the CSV writer would trim them.
+_CSV = {
+    "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def _stamped(folder: str, name: str, ts: str | None) -> str:
     return f"{folder}/{name}_{ts or datetime.now().strftime('%Y-%m-%d_%H-%M-%S_%f')}"
 
@@ -28,13 +34,13 @@ def write_report(df: DataFrame, folder: str, name: str, ts: str | None = None) -
     if df.isEmpty():
         return None
     path = _stamped(folder, name, ts)
-    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("errorifexists").options(**_CSV, header="true").csv(path)
     return path
 
 
 def append_csv(df: DataFrame, path: str) -> None:
     """Append review rows with every field quoted; no header lines among the data."""
-    df.write.mode("append").option("quoteAll", True).option("escape", '"').csv(path)
+    df.write.mode("append").options(**_CSV, quoteAll="true").csv(path)
 
 
 def write_banded(df: DataFrame, c: str, edges: Sequence[float], path: str) -> None:
@@ -46,13 +52,13 @@ def write_banded(df: DataFrame, c: str, edges: Sequence[float], path: str) -> No
     banded(df, c, edges).write.mode("errorifexists").partitionBy("band").parquet(path)
 
 
-def write_per_entity(df: DataFrame, c: str, path: str, files_per_entity: int = 1) -> None:
+def write_per_entity(df: DataFrame, c: str, path: str) -> None:
     """One folder per entity; the partition value is escaped by the writer.
 
-    ``files_per_entity`` spreads each entity over that many files.
+    The rebalance hint puts an entity's rows together and lets Spark split an
+    entity that is too large for one task over several files.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_entity))
-    df.repartition(c, spread).write.mode("append").partitionBy(c).parquet(path)
+    df.hint("rebalance", F.col(c)).write.mode("append").partitionBy(c).parquet(path)
 
 
 def write_named_texts(df: DataFrame, name: str, text: str, path: str) -> None:

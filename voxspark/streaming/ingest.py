@@ -70,11 +70,23 @@ def running_summary(stream: DataFrame, key: str, errors: Column | str, at: str)
     )
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a small aggregate to the end into an in-memory table (tests, previews)."""
+def run_to_folder(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Run an aggregate over all that is there; the last complete result.
+
+    Every batch writes its own folder, so a batch that runs again after a failure
+    replaces only itself.
+    """
+    last = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        path = f"{out}/batch={number}"
+        batch.write.mode("overwrite").parquet(path)
+        last.append(path)
+
     query = (
-        stream.writeStream.format("memory").queryName(name).outputMode(mode)
-        .trigger(availableNow=True).start()
+        stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).foreachBatch(write).start()
     )
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    spark = stream.sparkSession
+    return spark.read.schema(stream.schema).parquet(last[-1]) if last else spark.createDataFrame([], stream.schema)
