@@ -10,7 +10,7 @@ from voxspark import schemas as S
 from voxspark.functions import text as X
 from voxspark.operators import pages, topics
 from voxspark.operators.relational import banded
-from voxspark.session import scratch_path
+from voxspark.session import by_key, scratch_path
 from voxspark.sources import readers, writers
 from voxspark.streaming import ingest
 
@@ -88,7 +88,7 @@ def review_pages(spark, sf):
     )
     per_page = table(spark, sf, "orders").select("o_custkey", F.floor(key / 1000).alias("page"), block.alias("block"))
     html = per_page.groupBy("o_custkey", "page").agg(F.array_join(F.collect_list("block"), "").alias("html"))
-    blocks = pages.html_blocks(html, "html", '<div class="gws-review">', ["o_custkey"])
+    blocks = pages.html_blocks(by_key(html, "o_custkey", "page"), "html", '<div class="gws-review">', ["o_custkey"])
     rows = pages.parse_reviews(blocks, "block")
     return rows.select(
         "o_custkey", "review_id", "text", "rating", "user_name", F.col("user_is_local_guide").cast("string").alias("guide"), "likes",

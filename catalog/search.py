@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Registry, table
+from catalog.base import Registry, table, texts
 from voxspark.functions.filters import compile_filter
 from voxspark.operators import clusters, ordering, vectors
 from voxspark.plans import retrieval
@@ -142,11 +142,15 @@ def cluster_representatives(spark, sf):
 
 @Q.add("cluster_summary")
 def cluster_summary(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
+
+    def share(letters: str):
+        left = F.length(F.translate("text", letters, ""))
+        return 1 - F.try_divide(left, F.col("n_chars"))
+
     shape = docs.select(
         "source", "doc_id", F.ln(F.col("n_chars") + 1).alias("size"),
-        F.try_divide(F.length(F.regexp_replace("text", "[^.]", "")), F.col("n_chars")).alias("stops"),
-        F.try_divide(F.length(F.regexp_replace("text", "[^aeiou]", "")), F.col("n_chars")).alias("vowels"),
+        share(".").alias("stops"), share("aeiou").alias("vowels"),
     )
     best = clusters.cluster_representatives(shape, "source", "doc_id", ["size", "stops", "vowels"], 5)
     out = clusters.cluster_summary(docs, "source", "doc_id", "text", best)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from voxspark import fixed_values as V
-from voxspark.functions.text import col, fold_accents, strip
+from voxspark.functions.text import col, fold_accents, once, strip
 
 
 def _found(c: Column, pattern: str, group: int = 0) -> Column:
@@ -21,11 +21,6 @@ def _looked_up(c: Column, mapping: dict[str, str]) -> Column:
     return F.element_at(table, c)
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed a single time per row."""
-    return F.transform(F.array(value), use)[0]
-
-
 def relative_date(c: Column | str, retrieved: Column | str, hl: str | Column = "pt-br") -> Column:
     """``"2 semanas atrás"`` seen at ``retrieved`` -> the moment it points to.
 
@@ -68,7 +63,7 @@ def relative_date(c: Column | str, retrieved: Column | str, hl: str | Column = "
             - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (n * seconds).cast("decimal(18,6)")),
         )
 
-    return _once(phrase, lambda p: _once(parsed(p), moved))
+    return once(phrase, lambda p: once(parsed(p), moved))
 
 
 def translated_text(c: Column | str, hl: str = "pt-br") -> Column:

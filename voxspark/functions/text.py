@@ -159,3 +159,35 @@ def ngrams(tokens: Column, n: int) -> Column:
         last >= 1,
         F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(tokens, i, n), " ")),
     ).otherwise(F.array().cast("array<string>"))
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed a single time per row.
+
+    An expression named inside a lambda is evaluated again for every element;
+    bound as the lambda's variable it is not.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def token_counts(tokens: Column | str) -> Column:
+    """Array of (token, n) of one row: equal neighbours of the sorted tokens.
+
+    Counting inside the row needs no shuffle.
+    """
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(s)),
+            lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)),
+        )
+
+        def counted(at: Column) -> Column:
+            ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(s) + 1))
+            return F.zip_with(
+                at, ends, lambda a, b: F.struct(F.get(s, a - 1).alias("token"), (b - a).alias("n"))
+            )
+
+        return F.when(F.size(s) > 0, once(starts, counted))
+
+    return once(F.sort_array(col(tokens)), runs)

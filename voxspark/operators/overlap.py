@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions import text as X
+from voxspark.session import by_key
 
 
 def rouge_tokens(c: Column | str) -> Column:
@@ -35,10 +36,10 @@ def rouge(
 ) -> DataFrame:
     """(pair, n, precision, recall, fmeasure) of summary against reference.
 
-    ``pair`` identifies a row, so both sides of a pair explode in one task and
-    their n-grams combine there before anything is shuffled.
+    ``pair`` identifies a row. Only the texts are shuffled, by pair; their n-grams
+    are made, counted and summed where they are.
     """
-    tokens = df.select(
+    tokens = by_key(df.select(pair, reference, summary), pair).select(
         pair, rouge_tokens(reference).alias("_r"), rouge_tokens(summary).alias("_h")
     )
     sides = F.concat(
@@ -82,7 +83,7 @@ def bleu(
     """
     by = list(by or [])
     orders = range(1, max_order + 1)
-    toks = df.select(
+    toks = by_key(df.select(*by, pair, references, prediction), pair).select(
         *by, pair, bleu_tokens(prediction).alias("_h"),
         F.transform(F.col(references), lambda r: bleu_tokens(r)).alias("_rs"),
     )

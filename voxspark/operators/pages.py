@@ -35,10 +35,12 @@ def _attribute(name: str, value: str) -> str:
 
 
 def element_html(c: Column | str, value: str, attribute: str = "class") -> Column:
-    """Inner HTML of the first element with that attribute, up to its first closing tag."""
+    """Inner HTML of the first element with that attribute, up to its first closing tag.
+
+    NULL for a missing element and for an empty one.
+    """
     pattern = rf"(?s)<(\w+)\b[^>]*{_attribute(attribute, value)}[^>]*>(.*?)</\1>"
-    html = X.col(c)
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 2))
+    return F.nullif(F.regexp_extract(X.col(c), pattern, 2), F.lit(""))
 
 
 def element_attribute(c: Column | str, value: str, wanted: str) -> Column:

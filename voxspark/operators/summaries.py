@@ -30,16 +30,14 @@ def sentence_summary(
     without the text.
     """
     located = df.select(key, doc, F.posexplode(X.sentences(text, separators)).alias("pos", "s"))
-    tokens = located.select(
-        key, F.explode(X.tokenize("s", stopwords, min_len)).alias("token")
+    counted = X.once(X.tokenize("s", stopwords, min_len), X.token_counts)
+    counts = settle(
+        located.select(key, F.inline(counted))
+        .groupBy(key, "token")
+        .agg(F.sum("n").alias("n_group"))
     )
-    counts = settle(tokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n_group")))
     distinct = located.groupBy(key, "s").agg(F.min(F.struct(doc, "pos")).alias("at"))
-    words = (
-        distinct.select(key, "at", F.explode_outer(X.tokenize("s", stopwords, min_len)).alias("token"))
-        .groupBy(key, "at", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    words = distinct.select(key, "at", F.inline_outer(counted))
     hot = hot_keys(words, [key, "token"], counts=counts, n="n_group")
     scored = (
         salted_join(words, counts, [key, "token"], "left", hot=hot)

@@ -4,44 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from voxspark.functions import text as X
 from voxspark.operators.joins import hot_keys, lookup_join, salted_join
 from voxspark.session import settle
 
 
 def bag_of_words(df: DataFrame, doc: str, tokens: str) -> DataFrame:
-    """(doc, token, n). The rows of a document combine before the shuffle."""
-    return (
-        df.select(doc, F.explode(tokens).alias("token"))
-        .groupBy(doc, "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(doc, token, n) for one row per document, counted inside the row."""
+    return df.select(doc, F.inline(X.token_counts(tokens))).withColumn("n", F.col("n").cast("bigint"))
 
 
 def vocabulary(df: DataFrame, tokens: str) -> DataFrame:
     """(token, n_docs, n_tokens) over the corpus.
 
-    A document adds one document count per distinct token and one token count
-    per token; both are summed in a single shuffle keyed by the token.
+    A document brings one row per distinct token, so its document frequency is a
+    plain count and needs no distinct aggregate.
     """
-    one, none = F.lit(1), F.lit(0)
-    parts = F.concat(
-        F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("token"), one.alias("d"), none.alias("n"))),
-        F.transform(F.col(tokens), lambda t: F.struct(t.alias("token"), none.alias("d"), one.alias("n"))),
-    )
     return (
-        df.select(F.inline(parts))
+        df.select(F.inline(X.token_counts(tokens)))
         .groupBy("token")
-        .agg(F.sum("d").alias("n_docs"), F.sum("n").alias("n_tokens"))
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_tokens"))
     )
 
 
 def group_word_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
     """(key, token, n_group): how often an entity uses a word."""
     return (
-        df.select(key, F.explode(tokens).alias("token"))
-        .where(F.col(key).isNotNull())
+        df.where(F.col(key).isNotNull())
+        .select(key, F.inline(X.token_counts(tokens)))
         .groupBy(key, "token")
-        .agg(F.count(F.lit(1)).alias("n_group"))
+        .agg(F.sum("n").alias("n_group"))
     )
 
 
@@ -50,15 +42,11 @@ def word_points(
 ) -> DataFrame:
     """(key, doc, points): sum over a text's tokens of its entity's count of each.
 
-    Tokens are counted per text first, so the join carries one row per distinct
+    Tokens are counted inside the row, so the join carries one row per distinct
     word of a text. Words the entity does not count add 0. The counts themselves
     tell which words of which entity are hot; those are salted.
     """
-    bag = (
-        df.select(key, doc, F.explode_outer(tokens).alias("token"))
-        .groupBy(key, doc, "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    bag = df.select(key, doc, F.inline_outer(X.token_counts(tokens)))
     counts = settle(counts)
     hot = hot_keys(bag, [key, "token"], counts=counts, n="n_group")
     matched = salted_join(bag, counts, [key, "token"], "left", hot=hot)

@@ -66,3 +66,13 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by unique keys ahead of a step that multiplies the rows.
+
+    The small rows are shuffled instead of the many made from them, and all
+    aggregates keyed by these columns need no further shuffle. The partition
+    count is given, because merging by today's size would misjudge tomorrow's.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
