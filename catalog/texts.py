@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import Registry, table, texts
 from voxspark.functions import text as X
 from voxspark.operators import chunks, overlap, profile, sentiment, summaries, vocabulary
+from voxspark.session import settle
 
 Q = Registry()
 
@@ -156,7 +157,7 @@ def lexicon_sentiment(spark, sf):
         .groupBy("token").agg(F.round(4 * F.avg("quality") - 3, 3).alias("valence"), F.count(F.lit(1)).alias("n"))
         .where("n >= 3")
     )
-    return sentiment.lexicon_sentiment(_tokenized(spark, sf), "doc_id", "tokens", lexicon)
+    return sentiment.lexicon_sentiment(_tokenized(spark, sf), "doc_id", "tokens", settle(lexicon))
 
 
 @Q.add("sentiment_by_entity", f"""

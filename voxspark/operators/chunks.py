@@ -39,11 +39,14 @@ def _greedy(budget: int):
     def opened(sizes: np.ndarray, already: int) -> np.ndarray:
         """Packs opened up to each row, entering with a pack of ``already`` tokens.
 
-        A negative ``already`` means that no pack is open.
+        A negative ``already`` means that no pack is open; a pack above the budget
+        takes nothing more.
         """
         n = len(sizes)
         upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        at = 0 if already < 0 else int(np.searchsorted(upto, budget - already, side="right")) - 1
+        at = 0
+        if 0 <= already <= budget:
+            at = int(np.searchsorted(upto, budget - already, side="right")) - 1
         nxt, starts = successors(sizes), []
         while at < n:
             starts.append(at)
@@ -145,7 +148,7 @@ def _chain(keys, budget):
             room = np.asarray(r[len(keys) + 1])
             opens, last, total = r[len(keys) + 2], r[len(keys) + 3], r[len(keys) + 4]
             at = 0
-            if already >= 0:
+            if 0 <= already <= budget:
                 at = int(np.searchsorted(room, budget - already, side="right")) - 1
             ended = int(last[at])
             before += int(opens[at])

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from voxspark.operators.ordering import row_salt
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 64
 SALTS = 64
 
@@ -19,9 +20,25 @@ class KeyViolation(ValueError):
     """A join key that should be unique is not."""
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measured check: has ``dim`` at most ``max_rows`` rows? Stops counting beyond."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def _width(field: T.StructField) -> Column:
+    """Bytes a value takes, roughly and rather too many than too few."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 64
+    return F.lit(16)
+
+
+def fits_broadcast(
+    dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Measured check of rows and bytes; stops reading beyond ``max_rows``."""
+    width = reduce(lambda a, b: a + b, [_width(f) for f in dim.schema.fields])
+    size = dim.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).head()
+    return size["n"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def hot_keys(
@@ -75,8 +92,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join a table of unique keys to a large one.
 
-    Broadcast when the dimension's counted rows are within ``max_rows``,
-    otherwise a salted shuffle join.
+    Broadcast when the dimension's measured size is within bounds, otherwise a
+    salted shuffle join.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim, max_rows):
@@ -104,9 +121,14 @@ def contains_all(df: DataFrame, other: DataFrame, on: str) -> bool:
     return keep_not_in(df, other, on).isEmpty()
 
 
+def _keys_of(other: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Each key once, combined before the shuffle: a repeated key sends one row per task."""
+    return other.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def keep_in(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_semi")
+    return df.join(_keys_of(other, on), on, "left_semi")
 
 
 def keep_not_in(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_anti")
+    return df.join(_keys_of(other, on), on, "left_anti")

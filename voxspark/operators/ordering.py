@@ -126,26 +126,24 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles per key, one row (keys, fraction, percentile) each.
 
-    Equal values are counted before anything else. Keys with up to ``limit``
-    distinct values use the built-in exact percentile; larger ones are ranked
-    over range partitions.
+    Keys with up to ``limit`` rows use the built-in exact percentile, which holds
+    a key's distinct values in one task. For larger ones equal values are counted
+    first and the counts are ranked over range partitions.
     """
     keys = list(keys)
-    counted = (
-        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = rows.where(~F.isnan("_v"))
     fr = F.array(*[F.lit(float(f)) for f in fractions])
-    small, large = split_by_size(counted, keys, limit)
+    small, large = split_by_size(rows, keys, limit)
     out = (
         small.groupBy(*keys)
-        .agg(F.percentile("_v", fr, F.col("_n")).alias("_ps"))
+        .agg(F.percentile("_v", fr).alias("_ps"))
         .select(*keys, F.explode(F.arrays_zip(fr.alias("f"), F.col("_ps").alias("p"))).alias("_z"))
         .select(*keys, F.col("_z.f").alias("fraction"), F.col("_z.p").alias("percentile"))
     )
     if large is None:
         return out
+    large = large.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     upto = with_running_total(large, keys, ["_v"], F.col("_n"), "_upto")
     sizes = upto.groupBy(*keys).agg(F.max("_upto").alias("_size"))
     wanted = (

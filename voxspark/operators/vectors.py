@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from voxspark.fixed_values import INDEX_SHARD_ROWS
 from voxspark.functions.text import col
-from voxspark.operators.joins import lookup_join
-from voxspark.operators.ordering import top_n_per_group, with_running_total
+from voxspark.operators.joins import lookup_join, salted_join
+from voxspark.operators.ordering import split_by_size, top_n_per_group, with_running_total
 from voxspark.operators.relational import union_all
 
 MAX_QUERIES = 4_096
@@ -148,18 +148,20 @@ def search(
 def _search_lot(kept, rows, id, vector, query_field, metric, n):
     spark = kept.sparkSession
     id_type = kept.schema[id].dataType
-    names = spark.createDataFrame(
-        [(i, r[0]) for i, r in enumerate(rows)],
-        T.StructType([T.StructField("_q", T.LongType()), T.StructField(query_field.name, query_field.dataType)]),
-    )
-    out = T.StructType([
-        T.StructField("_q", T.LongType()), T.StructField("_id", id_type), T.StructField("_cost", T.DoubleType()),
-    ])
-    matrix = np.asarray([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    arrow_id = pa.int64() if isinstance(id_type, T.LongType) else pa.int32() if isinstance(id_type, T.IntegerType) else pa.string()
-    best = kept.mapInArrow(_scorer(arrow_id, matrix, metric, n, SCORE_DIGITS), out) if rows else spark.createDataFrame([], out)
+    if not rows:
+        return spark.createDataFrame([], T.StructType([
+            query_field, T.StructField(id, id_type), T.StructField("score", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
+        ]))
+    query_no = T.StructField("_q", T.LongType())
+    names = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], T.StructType([query_no, query_field]))
+    matrix = np.asarray([r[1] for r in rows], dtype=np.float64)
+    arrow_id = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[id_type]
+    out = T.StructType([query_no, T.StructField("_id", id_type), T.StructField("_cost", T.DoubleType())])
+    best = kept.mapInArrow(_scorer(arrow_id, matrix, metric, n, SCORE_DIGITS), out)
     ranked = top_n_per_group(best, ["_q"], ["_cost", "_id"], n, rank="rank")
     score = -F.col("_cost") if metric == "ip" else F.col("_cost")
+    # at most one row per query of the lot
     return ranked.join(F.broadcast(names), "_q").select(
         query_field.name, F.col("_id").alias(id), score.alias("score"), "rank"
     )
@@ -172,18 +174,21 @@ def search_within(
 ) -> DataFrame:
     """Nearest rows of an entity for each of the entity's own queries.
 
-    An entity has a handful of queries, so they travel as one array per entity
-    and every document is scored where it is; ``keep`` is a further condition on
-    a (document, query) pair. Result: (on, query_id, id, carry, score, rank).
+    An entity usually has a handful of queries; up to ``MAX_QUERIES`` of them
+    travel as one array per entity, and a document is scored where it is. More
+    are joined row by row. ``keep`` is a further condition on a (document, query)
+    pair. Result: (on, query_id, id, carry, score, rank).
     """
-    grouped = queries.groupBy(on).agg(
-        F.collect_list(F.struct(query_id, *query_carry, F.col(query_vector).alias("_qv"))).alias("_qs")
-    )
     measure = dot if metric == "ip" else squared_l2
-    joined = lookup_join(
-        docs.where(F.col(vector).isNotNull()).select(on, id, vector, *carry), grouped, on, "inner"
+    rows = docs.where(F.col(vector).isNotNull()).select(on, id, vector, *carry)
+    asked = queries.select(on, query_id, *query_carry, F.col(query_vector).alias("_qv"))
+    few, many = split_by_size(asked, [on], MAX_QUERIES)
+    packed = few.groupBy(on).agg(
+        F.collect_list(F.struct(query_id, *query_carry, "_qv")).alias("_qs")
     )
-    pairs = joined.select(on, id, vector, *carry, F.inline("_qs"))
+    pairs = lookup_join(rows, packed, on, "inner").select(on, id, vector, *carry, F.inline("_qs"))
+    if many is not None:
+        pairs = pairs.unionByName(salted_join(rows, many, [on], "inner"))
     if keep is not None:
         pairs = pairs.where(keep)
     scored = pairs.withColumn("score", F.round(measure(vector, "_qv"), SCORE_DIGITS)).drop(vector, "_qv")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark import fixed_values as V
 from voxspark.functions import parsers as P
-from voxspark.operators.joins import keep_not_in, lookup_join
+from voxspark.operators.joins import keep_not_in
 from voxspark.operators.ordering import top_n_per_group
 from voxspark.operators.vectors import search_within
 
@@ -263,5 +263,5 @@ def next_pending(counts: DataFrame, done: DataFrame, key: str = "nome", count: s
 
 
 def attach(df: DataFrame, aggregate: DataFrame, key: str) -> DataFrame:
-    """Put a per-entity aggregate back on the entity table."""
-    return lookup_join(df, aggregate, key, "left")
+    """Put a per-entity aggregate back on the entity table; both have a row per key."""
+    return df.join(aggregate, key, "left")
