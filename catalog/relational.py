@@ -311,8 +311,9 @@ def key_violations(spark, sf):
 SELECT doc_id, lang, source FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1""")
 def dedupe_first(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
-    return ordering.dedupe_first(docs, ["text"], ["doc_id"]).drop("text")
+    """Texts are compared by their SHA-256, so that the texts need not be shuffled."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("digest"))
+    return ordering.dedupe_first(docs, ["digest"], ["doc_id"]).drop("digest")
 
 
 @Q.add("best_per_key", """
@@ -327,7 +328,8 @@ def best_per_key(spark, sf):
 SELECT doc_id, source FROM documents
 WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""")
 def duplicates_report(spark, sf):
-    return R.duplicates_report(table(spark, sf, "documents"), ["text"]).select("doc_id", "source")
+    docs = table(spark, sf, "documents").select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+    return R.duplicates_report(docs, ["digest"]).drop("digest")
 
 
 @Q.add("newest_n_per_group", """

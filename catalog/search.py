@@ -206,7 +206,7 @@ _CONTEXT = f"""(SELECT nome, count(*) AS n_blocks, 'Informações gerais sobre o
 SELECT o_orderkey, {_block(_HEADER, "', Similaridade: ' || printf('%.3f', nota / 8)")} AS block FROM {_NEWEST}""")
 def review_blocks(spark, sf):
     reviews = _reviews(spark, sf).withColumn("_score", F.col("nota_avaliacao") / 8)
-    ranked = ordering.top_n_per_group(reviews, ["nome"], [F.desc("data_avaliacao"), "o_orderkey"], 1_000_000_000, rank="rank", salts=1)
+    ranked = ordering.with_row_number(reviews, ["nome"], [F.desc("data_avaliacao"), "o_orderkey"], "rank")
     return ranked.select("o_orderkey", retrieval.render_review("rank", "_score").alias("block"))
 
 

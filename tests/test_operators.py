@@ -66,9 +66,20 @@ def test_running_total(skewed):
     assert rows(got, "k", "id", "t") == sorted(want)
 
 
+def test_row_number_per_key(skewed):
+    data, df = skewed
+    got = ordering.with_row_number(df, ["k"], [F.desc("v"), "id"], "n")
+    want = sorted(
+        (k, i, n + 1)
+        for k, items in by_key(data).items()
+        for n, (i, _) in enumerate(sorted(items, key=lambda x: (-x[1], x[0])))
+    )
+    assert rows(got, "k", "id", "n") == want
+
+
 def test_row_numbers_without_key(skewed):
     data, df = skewed
-    got = ordering.with_running_total(df, [], ["id"], total="n")
+    got = ordering.with_row_number(df, [], ["id"], "n")
     assert rows(got, "n", "id") == [(n + 1, i) for n, (_, i, _) in enumerate(sorted(data, key=lambda d: d[1]))]
 
 

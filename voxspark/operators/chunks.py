@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from voxspark.functions import text as X
-from voxspark.operators.ordering import split_by_size, with_running_total
+from voxspark.operators.ordering import split_by_size, with_row_number
 
 
 def chunk(df: DataFrame, doc: str, text: str, n: int) -> DataFrame:
@@ -75,7 +75,7 @@ def pack(
     if large is None:
         return one_block
 
-    numbered = with_running_total(large, keys, order, total="_row").withColumn(
+    numbered = with_row_number(large, keys, order, "_row").withColumn(
         "_block", F.floor((F.col("_row") - 1) / block_rows)
     )
     key_fields = [df.schema[k] for k in keys]

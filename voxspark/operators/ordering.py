@@ -82,42 +82,72 @@ def split_by_size(
     return join_on_keys(df, large, keys, "left_anti"), join_on_keys(df, large, keys, "left_semi")
 
 
+def _starts(sums: DataFrame, keys: list[str], *carry: str) -> DataFrame:
+    """Per key and partition: the sum of ``_sum`` over the key's earlier partitions."""
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    return sums.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"), *carry,
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
+    )
+
+
+def _with_starts(ranged: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame:
+    on = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return ranged.join(starts, on, "left").drop("_p", *[f"_k{i}" for i in range(len(keys))])
+
+
+def with_row_number(
+    df: DataFrame, keys: Keys, order: Sequence[Column | str], number: str = "row_number"
+) -> DataFrame:
+    """1-based position of a row within its key; without keys within the table.
+
+    Rows are range-partitioned and sorted by key and order, so a hot key spreads
+    over many partitions, and written with their position in the partition. One
+    small row per key and partition then tells where each partition starts; the
+    rows themselves are not shuffled again. ``order`` must be unique per key.
+    """
+    keys = list(keys)
+    by = [*[F.col(k) for k in keys], *[col(o) for o in order]]
+    ranged = settle(
+        df.repartitionByRange(*by).sortWithinPartitions(*by)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_at", F.monotonically_increasing_id())
+    )
+    sums = ranged.groupBy(*keys, "_part").agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_sum")
+    )
+    return (
+        _with_starts(ranged, _starts(sums, keys, "_first"), keys)
+        .withColumn(number, F.col("_at") - F.col("_first") + F.col("_start") + 1)
+        .drop("_part", "_at", "_first", "_start")
+    )
+
+
 def with_running_total(
-    df: DataFrame, keys: Keys, order: Sequence[Column | str], weight: Column | None = None,
-    total: str = "running_total",
+    df: DataFrame, keys: Keys, order: Sequence[Column | str], weight: Column, total: str
 ) -> DataFrame:
-    """Running total of ``weight`` (default: 1, i.e. the row number) per key.
+    """Running total of ``weight`` per key, over range partitions like the row number.
 
-    Rows are range-partitioned by key and order, so a hot key spreads over many
-    partitions. Each partition adds up on its own; the per-partition sums, one
-    row per key and partition, give every partition its starting value.
+    Each piece of a key in a partition is added up on its own.
     """
     keys = list(keys)
     order = [col(o) for o in order]
-    weight = F.lit(1) if weight is None else weight
     ranged = settle(
         df.withColumn("_w", weight)
-        .repartitionByRange(*keys, *order)
+        .repartitionByRange(*[F.col(k) for k in keys], *order)
         .withColumn("_part", F.spark_partition_id())
     )
     sums = ranged.groupBy(*keys, "_part").agg(F.sum("_w").alias("_sum"))
-    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_part").alias("_p"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
-    )
-    on = F.col("_part") == F.col("_p")
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     within = (
         W.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
+    local = ranged.withColumn("_local", F.sum("_w").over(within))
     return (
-        ranged.withColumn("_local", F.sum("_w").over(within))
-        .join(starts, on, "left")
+        _with_starts(local, _starts(sums, keys), keys)
         .withColumn(total, F.col("_local") + F.col("_start"))
-        .drop("_w", "_part", "_p", "_start", "_local", *[f"_k{i}" for i in range(len(keys))])
+        .drop("_w", "_part", "_start", "_local")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions.text import col
 from voxspark.operators.ordering import (
-    exact_percentiles, split_by_size, top_n_per_group, with_running_total,
+    exact_percentiles, split_by_size, top_n_per_group, with_row_number,
 )
 
 PART_ROWS = 2_000
@@ -128,7 +128,7 @@ def entity_document(
     small, large = split_by_size(data, keys, part_rows)
     pieces = small.withColumn("part", F.lit(0).cast("bigint"))
     if large is not None:
-        numbered = with_running_total(large, keys, order, total="_row")
+        numbered = with_row_number(large, keys, order, "_row")
         pieces = pieces.unionByName(
             numbered.withColumn("part", F.floor((F.col("_row") - 1) / part_rows)).drop("_row")
         )

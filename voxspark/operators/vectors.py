@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from voxspark.fixed_values import INDEX_SHARD_ROWS
 from voxspark.functions.text import col
 from voxspark.operators.joins import lookup_join, salted_join
-from voxspark.operators.ordering import split_by_size, top_n_per_group, with_running_total
+from voxspark.operators.ordering import split_by_size, top_n_per_group, with_row_number
 from voxspark.operators.relational import union_all
 
 MAX_QUERIES = 4_096
@@ -198,7 +198,7 @@ def search_within(
 
 def with_shards(df: DataFrame, id: str, shard_rows: int = INDEX_SHARD_ROWS) -> DataFrame:
     """``shard``: consecutive runs of ``shard_rows`` rows in id order."""
-    numbered = with_running_total(df, [], [id], total="_row")
+    numbered = with_row_number(df, [], [id], "_row")
     return numbered.withColumn("shard", F.floor((F.col("_row") - 1) / shard_rows).cast("int")).drop("_row")
 
 

@@ -17,6 +17,9 @@ from voxspark.operators.ordering import top_n_per_group
 from voxspark.operators.vectors import search_within
 
 
+MAX_CRITERIA = 1000
+
+
 def fill(template: str, values: Mapping[str, Column]) -> Column:
     """A text template with ``{name}`` places filled from columns.
 
@@ -210,7 +213,9 @@ def eval_prompts(
 
     The handful of criteria becomes a constant array on each summary row.
     """
-    listed = criteria.orderBy("metric_name").collect()
+    listed = criteria.orderBy("metric_name").limit(MAX_CRITERIA + 1).collect()
+    if len(listed) > MAX_CRITERIA:
+        raise ValueError(f"more than {MAX_CRITERIA} criteria")
     table = F.array(*[
         F.struct(*[F.lit(r[c]).alias(c) for c in ("metric_name", "criteria", "steps")]) for r in listed
     ])
