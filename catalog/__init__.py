@@ -6,9 +6,9 @@ from catalog.base import Query
 
 
 def registered() -> dict[str, Query]:
-    from catalog import fields, files, relational, search, texts
+    from catalog import fields, files, prepared, relational, search, texts
 
     out: dict[str, Query] = {}
-    for module in (relational, fields, texts, search, files):
+    for module in (relational, fields, prepared, texts, search, files):
         out |= module.Q
     return out

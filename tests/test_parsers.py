@@ -69,7 +69,7 @@ def test_topics(spark):
 
 def test_identifiers(spark):
     url = (
-        "https://www.google.com/maps/place/Pousada+Itarar%C3%A9/@-23.9,15z/data=!4m2!3m1!"
+        "https://www.site/maps/place/Pousada+Itarar%C3%A9/@-23.9,15z/data=!4m2!3m1!"
         "1s0x0:0x6825759cc04b2504?sa=X"
     )
     assert one(spark, url, P.feature_id) == "0x0:0x6825759cc04b2504"

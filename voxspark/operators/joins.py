@@ -88,15 +88,15 @@ def salted_join(
 
 def lookup_join(
     fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_ROWS, small: bool | None = None,
 ) -> DataFrame:
     """Join a table of unique keys to a large one.
 
     Broadcast when the dimension's measured size is within bounds, otherwise a
-    salted shuffle join.
+    salted shuffle join. ``small`` brings a measurement made before.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim, max_rows) if small is None else small:
         return fact.join(F.broadcast(dim), on, how)
     return salted_join(fact, dim, on, how)
 
@@ -116,6 +116,11 @@ def validate_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def unique_join(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """One-to-one join; KeyViolation when either side repeats a key."""
+    return validate_key(a, [on]).join(validate_key(b, [on]), on, how)
+
+
 def contains_all(df: DataFrame, other: DataFrame, on: str) -> bool:
     """Does every ``on`` value of ``df`` occur in ``other``?"""
     return keep_not_in(df, other, on).isEmpty()

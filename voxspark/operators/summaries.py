@@ -26,13 +26,16 @@ def sentence_summary(
     """The ``n`` distinct sentences per entity with the highest sum of word counts.
 
     Ties go to the sentence seen first by (doc, position); the summary lists the
-    best sentence first. A sentence is carried once per entity; its words travel
-    without the text.
+    best sentence first. A sentence is carried once per entity, its words travel
+    without the text, and only the texts of the chosen ones are read again.
     """
     located = df.select(key, doc, F.posexplode(X.sentences(text, separators)).alias("pos", "s"))
     counted = X.once(X.tokenize("s", stopwords, min_len), X.token_counts)
+    all_tokens = F.flatten(F.transform(
+        X.sentences(text, separators), lambda s: X.tokenize(s, stopwords, min_len)
+    ))
     counts = settle(
-        located.select(key, F.inline(counted))
+        df.select(key, F.inline(X.token_counts(all_tokens)))
         .groupBy(key, "token")
         .agg(F.sum("n").alias("n_group"))
     )
@@ -45,7 +48,10 @@ def sentence_summary(
         .agg(F.coalesce(F.sum(F.col("n") * F.col("n_group")), F.lit(0)).alias("score"))
     )
     best = top_n_per_group(scored, [key], [F.desc("score"), "at"], n, rank="rank")
-    picked = best.join(distinct, [key, "at"])
+    best = best.select(key, F.col(f"at.{doc}").alias(doc), "at.pos", "rank")
+    picked = df.select(key, doc, text).join(best, [key, doc]).select(
+        key, "rank", F.get(X.sentences(text, separators), F.col("pos")).alias("s")
+    )
     return joined_in_order(picked, key, ["rank"], "s")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from voxspark import schemas as S
 from voxspark.functions import parsers as P
-from voxspark.operators.joins import lookup_join
+from voxspark.operators.joins import fits_broadcast, lookup_join
 from voxspark.operators.ordering import dedupe_first
 from voxspark.operators.relational import best_per_key, union_all, with_constants
 
@@ -30,10 +30,12 @@ def enrich_by_state(df: DataFrame, states: DataFrame, state: str = "state") -> D
     A two-letter state is a code already; longer ones are looked up by their
     upper-case name.
     """
+    small = fits_broadcast(states)
     names = states.select(F.col("estado").alias("_name"), F.col("sigla").alias("_sigla"))
-    coded = lookup_join(df.withColumn("_name", F.upper(F.col(state))), names, "_name", "left")
+    coded = lookup_join(df.withColumn("_name", F.upper(F.col(state))), names, "_name", "left", small=small)
     coded = coded.withColumn("sigla", P.state_code(state, "_sigla")).drop("_name", "_sigla")
-    return lookup_join(coded, states.select("sigla", "estado", "capital", "regiao"), "sigla", "left")
+    full = states.select("sigla", "estado", "capital", "regiao")
+    return lookup_join(coded, full, "sigla", "left", small=small)
 
 
 def _input_columns(df: DataFrame) -> DataFrame:
