@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -35,14 +34,16 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = os.path.join(tempfile.gettempdir(), f"voxspark-{spark.sparkContext.applicationId}")
-    os.makedirs(folder, exist_ok=True)
-    return folder
+    return tempfile.gettempdir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is ever overwritten."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing is ever overwritten.
+
+    All paths of an application share one folder, which can go when it is done.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/voxspark-{app}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
