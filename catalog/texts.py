@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import Registry, table, texts
 from voxspark.functions import text as X
 from voxspark.operators import chunks, overlap, profile, sentiment, summaries, vocabulary
+from voxspark.plans import prepare
 from voxspark.session import settle
 
 Q = Registry()
@@ -310,3 +311,31 @@ SELECT f.source, pack_no::BIGINT AS pack_no, count(*) AS n_rows, sum(f.n)::BIGIN
 FROM f JOIN d ON d.doc_id = f.doc_id GROUP BY ALL""")
 def packed_texts(spark, sf):
     return chunks.pack_texts(_docs(spark, sf), ["source"], ["doc_id"], "text", 4000).withColumn("packed", F.md5("packed"))
+
+
+_CLEAN = f"regexp_replace(regexp_replace(text, '{_BLANK}+', ' ', 'g'), '[.]+', '.', 'g')"
+_NORMAL = f"lower(strip_accents(replace({_CLEAN}, 'ß', 'ss')))"
+
+
+def _spaced(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '\\n+', ' ' || chr(10) || ' ', 'g'), '[.]+', ' . ', 'g')"
+
+
+@Q.add("hotel_documents", f"""
+WITH d AS (SELECT *, {_CLEAN} AS c, {_NORMAL} AS m FROM documents)
+SELECT source AS name, 0::BIGINT AS part, count(*) AS n_rows, count(*) AS review_count, count(*) AS text_count,
+  count(*) FILTER (WHERE lang <> 'en') AS response_text_count, md5({_spaced("string_agg(c, chr(10) ORDER BY doc_id)")}) AS text_sum,
+  md5({_spaced("string_agg(m, chr(10) ORDER BY doc_id)")}) AS text_normalized_sum,
+  string_agg('a, ' || lang, ' ' || chr(10) || ' ' ORDER BY doc_id) AS highlights_sum, sum(len(string_split(m, '.')))::INT AS n_sentences
+FROM d GROUP BY source""")
+def hotel_documents(spark, sf):
+    """Documents as the reviews of their source, prepared and joined per source."""
+    reviews = _docs(spark, sf).select(
+        F.col("source").alias("name"), F.col("doc_id").alias("review_id"), "text",
+        F.when(F.col("lang") != "en", "Obrigado.").alias("response_text"), F.array(F.lit("a"), F.col("lang")).alias("highlights"),
+    )
+    docs = prepare.hotel_documents(prepare.text_table(reviews, stopwords=STOPWORDS), order=("review_id",))
+    return docs.select(
+        "name", "part", "n_rows", "review_count", "text_count", "response_text_count", F.md5("text_sum").alias("text_sum"),
+        F.md5("text_normalized_sum").alias("text_normalized_sum"), "highlights_sum", F.size("text_tokens_sum").alias("n_sentences"),
+    )

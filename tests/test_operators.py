@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxspark.operators import chunks, clusters, joins, ordering, overlap, profile, relational as R
 from voxspark.operators import sentiment, summaries, topics, vectors, vocabulary
+from voxspark.session import settle
 
 QUIET = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -47,6 +48,31 @@ def test_top_n_per_group(skewed, n, salts):
     assert rows(got, "k", "id", "rank") == want
 
 
+def test_top_n_beyond_the_early_cut(skewed, monkeypatch):
+    _, df = skewed
+    args = (df, ["k"], [F.desc("v"), "id"], 5)
+    want = rows(ordering.top_n_per_group(*args, rank="rank"), "k", "id", "rank")
+    monkeypatch.setattr(ordering, "EARLY_CUT", 4)
+    got = ordering.top_n_per_group(*args, rank="rank")
+    assert rows(got, "k", "id", "rank") == want and dict(got.dtypes)["rank"] == "int"
+    assert rows(ordering.top_n_per_group(*args), "k", "id") == [w[:2] for w in want]
+
+
+def test_hot_key_spreads_over_partitions(skewed, spark, monkeypatch):
+    """Half of the rows belong to one key and still lie in several partitions."""
+    _, df = skewed
+    written = []
+    monkeypatch.setattr(ordering, "settle", lambda d: written.append(settle(d)) or written[-1])
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # so little data would all be merged
+    try:
+        ordering.with_row_number(df, ["k"], ["id"], "n")
+    finally:
+        spark.conf.unset(merging)
+    sizes = [r["count"] for r in written[0].where("k = 'hot'").groupBy("_part").count().collect()]
+    assert len(sizes) >= 2 and max(sizes) < 0.8 * sum(sizes)
+
+
 def test_dedupe_first_is_idempotent_and_keeps_missing_keys(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), (None, 4), (None, 3)], "k string, o int")
     once = ordering.dedupe_first(df, ["k"], ["o"])

@@ -10,6 +10,9 @@ from voxspark.functions.text import col
 from voxspark.session import settle
 
 Keys = Sequence[str]
+# Spark's default limit for cutting groups before the shuffle
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+EARLY_CUT = 1000
 
 
 def _rank(partition: list, order: list) -> Column:
@@ -37,8 +40,16 @@ def top_n_per_group(
 
     Spark cuts every input partition to ``n`` rows per key before the shuffle,
     so a hot key sends at most ``n`` rows per map task. For larger ``n`` that is
-    still a lot for one reducer, so a salted round cuts it down once more.
+    still a lot for one reducer, so a salted round cuts it down once more. Beyond
+    ``EARLY_CUT`` Spark makes no early cut, and rows are numbered over range
+    partitions instead.
     """
+    if n > EARLY_CUT:
+        numbered = with_row_number(df, keys, order, "_rank").where(F.col("_rank") <= n)
+        return (
+            numbered.withColumn("_rank", F.col("_rank").cast("int")).withColumnRenamed("_rank", rank)
+            if rank else numbered.drop("_rank")
+        )
     if salts is None:
         salts = 1 if n <= 32 else 32
     order = [col(o) for o in order]
