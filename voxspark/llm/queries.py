@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import line_dedup
+from voxspark.llm import line_dedup, minhash
 
 QUERIES, SQL = {}, {}
 
@@ -23,6 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op2_minhash_dedup", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i+4]) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * i >= 75 * (p.n + q.n - i)),
+reach AS (SELECT a AS doc_id, a AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, component_id) AS component_id,
+       d.doc_id = least(d.doc_id, component_id) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN low USING (doc_id)""")
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 @register("op9_line_dedup", r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
