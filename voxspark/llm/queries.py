@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import line_dedup, minhash
+from voxspark.llm import bpe, line_dedup, minhash
 
 QUERIES, SQL = {}, {}
 
@@ -43,6 +44,17 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@register("op5_bpe_two_tier")
+def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return coded.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @register("op9_line_dedup", r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
