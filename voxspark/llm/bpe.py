@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxspark.llm.common import Memo, per_slice
 
@@ -39,14 +39,17 @@ class MinimalHash:
     caller compares it with the key kept there.
     """
 
-    def __init__(self, keys: list[bytes]):
-        self.n, self.buckets = len(keys), len(keys) // 2 + 1
+    def __init__(self, slots: list[bytes], shift: list[int]):
+        self.slots, self.shift, self.n, self.buckets = slots, shift, len(slots), len(shift)
+
+    @classmethod
+    def build(cls, keys: list[bytes]) -> MinimalHash:
+        self = cls([None] * len(keys), [0] * (len(keys) // 2 + 1))
         groups: dict[int, list[tuple[int, int, bytes]]] = {}
         for key in keys:
             bucket, f, g = self._parts(key)
             groups.setdefault(bucket, []).append((f, g, key))
-        self.shift, slots = [0] * self.buckets, [None] * self.n
-        free = 0
+        slots, free = self.slots, 0
         for bucket, group in sorted(groups.items(), key=lambda x: -len(x[1])):
             if len(group) > 1:
                 d = 0
@@ -62,7 +65,7 @@ class MinimalHash:
             self.shift[bucket] = d
             for i, (_, _, key) in zip(at, group):
                 slots[i] = key
-        self.slots = slots
+        return self
 
     def _parts(self, key: bytes) -> tuple[int, int, int]:
         x = xxhash.xxh3_128_intdigest(key)
@@ -80,21 +83,15 @@ class MinimalHash:
 
 
 class TwoTier:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, pattern
-        self.table = MinimalHash(list(ranks))
-        self.id_at = [ranks[key] for key in self.table.slots]
-
-    def ready(self) -> TwoTier:
-        """With caches, in the task that uses it."""
-        self.findall = regex.compile(self.pattern).findall
+    """The coder of one task, with caches of the cuts and pre-tokens it has met."""
+
+    def __init__(self, table: MinimalHash, ranks: dict[bytes, int], pattern: str):
+        self.table, self.ranks = table, ranks
+        self.id_at = [ranks[key] for key in table.slots]
+        self.findall = regex.compile(pattern).findall
         self.pieces = Memo(self._piece)
         self.chunks = Memo(self._chunk)
-        self.token = {rank: key for key, rank in self.ranks.items()}
-        return self
-
-    def __getstate__(self):
-        return {k: self.__dict__[k] for k in ("ranks", "pattern", "table", "id_at")}
+        self.token = {rank: key for key, rank in ranks.items()}
 
     def _piece(self, piece: str) -> list[int]:
         raw = piece.encode("utf-8")
@@ -158,16 +155,29 @@ def _bounds(text: str):
     yield at, len(text)
 
 
+def _shared(spark: SparkSession, path: str, pattern: str):
+    """Makes the coder in a task; the vocabulary travels as plain values, once per executor."""
+    ranks = read_ranks(path)
+    table = MinimalHash.build(list(ranks))
+    plain = spark.sparkContext.broadcast((table.slots, table.shift, ranks))
+
+    def make() -> TwoTier:
+        slots, shift, ranks = plain.value
+        return TwoTier(MinimalHash(slots, shift), ranks, pattern)
+
+    return make
+
+
 def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ids (array of int) for every row; a null or empty text has no ids.
 
     Ids may be null or repeat and are only passed on; no other column is read.
     Special tokens are not recognised: their strings are ordinary text.
     """
-    model = docs.sparkSession.sparkContext.broadcast(TwoTier(read_ranks(path), pattern))
+    make = _shared(docs.sparkSession, path, pattern)
 
     def work():
-        coder = model.value.ready()
+        coder = make()
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             rows = [coder.encode(t) for t in part.column("text").to_pylist()]
@@ -184,10 +194,10 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
 
 def decode_ids(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     """id, ids and ``decoded``, the bytes of the ids; null ids decode to nothing."""
-    model = rows.sparkSession.sparkContext.broadcast(TwoTier(read_ranks(path), pattern))
+    make = _shared(rows.sparkSession, path, pattern)
 
     def work():
-        coder = model.value.ready()
+        coder = make()
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             ids = part.column("ids").fill_null([]) if part.column("ids").null_count else part.column("ids")
