@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, line_dedup, minhash
+from voxspark.llm import bpe, line_dedup, minhash, packing
 
 QUERIES, SQL = {}, {}
 
@@ -44,6 +44,12 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@register("op3_retrieval_packing")
+def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
 @register("op5_bpe_two_tier")
 def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
