@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows turned into Python objects at a time, so that a batch of long texts stays small.
@@ -30,7 +31,7 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[
             yield batch.slice(at, rows)
 
 
-def per_slice(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int = SLICE) -> DataFrame:
+def per_slice(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType, rows: int = SLICE) -> DataFrame:
     """Apply ``work()`` (made once per task, so that it may hold caches) to slices of each Arrow batch."""
 
     def run(batches):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, line_dedup, minhash, packing
+from voxspark.llm import bpe, line_dedup, minhash, packing, secrets
 
 QUERIES, SQL = {}, {}
 
@@ -80,3 +80,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
         F.sha2("_kept_text", 256).alias("kept_sha256"),
     )
+
+
+@register("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    written = {c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",") for c in ("base_spans", "spans")}
+    kinds = F.transform("base_spans", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(written["base_spans"], 256).alias("base_sha256"), written["spans"].alias("spans"))
