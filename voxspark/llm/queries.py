@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, line_dedup, minhash, packing, secrets
+from voxspark.llm import bpe, cotrain, language, line_dedup, minhash, packing, secrets
+from voxspark.llm.common import crc_mod
 
 QUERIES, SQL = {}, {}
 
@@ -50,6 +51,15 @@ def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("id", "doc_id")
 
 
+@register("op4_quality_cotraining")
+def op4_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = cotrain.train(docs, cotrain.good_labels(table(spark, sf_dir, "labels")))
+    return cotrain.score(docs, model).select(
+        "doc_id", F.col("_text_score").alias("text_score"), F.col("_meta_score").alias("meta_score"),
+        F.col("_score").alias("score"), F.col("_keep").alias("kept"))
+
+
 @register("op5_bpe_two_tier")
 def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -61,6 +71,14 @@ def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs, "doc_id", "text", "lang", crc_mod(F.col("doc_id"), 4) != 2)
+    return language.predict(docs, model).select(
+        F.col("id").alias("doc_id"), (crc_mod(F.col("id"), 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @register("op9_line_dedup", r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
