@@ -8,10 +8,11 @@ whose estimate could belong to a true link are confirmed on their full sets.
 
 At a similarity of 0.75 a pair shares a band with a chance of 1 - 5e-6, and a
 true pair falls below the estimate's floor (five standard deviations) with a
-chance of about 1e-6. Exact copies form one class and never meet as pairs. In a
-band's bucket, members are first compared with one pivot. What that leaves
-unconnected is compared with the bucket's other components only, so a large
-group of near copies costs links in proportion to its size.
+chance of about 1e-6. Exact copies form one class and never meet as pairs. Each
+member of a band's bucket is first compared with one pivot, then, if that leaves
+its buckets unconnected, with others. What is still unconnected is compared with
+all of the bucket's other components, so nothing is lost, and a large group of
+near copies costs pairs in proportion to its size.
 """
 
 from __future__ import annotations
@@ -132,7 +133,7 @@ def floor_of(threshold: float, deviations: float = 5.0) -> float:
     return threshold - deviations * math.sqrt(p * (1 - p) / HASHES) / (1 - chance)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5, pivots: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5, pivots: int = 3) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, class_id, component_id, kept.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the
@@ -151,7 +152,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = settle(bands.join(shared.select("key", F.col("low").alias("pivot")), "key"))
     facts = settle(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "d1", "d2"))
     sets = settle(
-        shingle_sets(texts.join(facts.select(F.col("node").alias("id")).distinct(), "id", "left_semi"), width)
+        # the documents to open grow with the corpus, so they are never broadcast
+        shingle_sets(texts.join(facts.select(F.col("node").alias("id")).distinct().hint("merge"), "id", "left_semi"), width)
         .join(facts.select("d1", "d2", "node"), ["d1", "d2"]).where("id = node").select("node", "shingles"))
     info = facts.select("node", "n", "sig")
 
@@ -161,26 +163,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.where(_may_link("na", "nb", "sa", "sb", percent)).select("a", "b")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+        # written first: a few pairs then travel to the sets, not the sets to them
+        pairs = settle(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         both = F.size(F.array_intersect("x", "y"))
-        return pairs.select("a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u")).where(
-            F.col("i") * 100 >= F.col("u") * percent).select("a", "b").distinct()
+        return settle(pairs.select("a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u")).where(
+            F.col("i") * 100 >= F.col("u") * percent).select("a", "b").distinct())
 
     def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
         return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a < b").distinct()
 
-    links = settle(confirmed(plausible(ordered(members, "node", "pivot"))))
+    # one pivot for each member: a group of near copies gives as many pairs as it has members
+    first = members.groupBy("node").agg(F.min("pivot").alias("pivot"))
+    links = confirmed(plausible(ordered(first, "node", "pivot")))
     parts = components(links)
     for turn in range(pivots):
         open_ = _open_members(members, parts)
         if turn < pivots - 1:
-            pivot = open_.groupBy("key").agg(F.min_by(F.struct("node", "part"), F.xxhash64("node", F.lit(turn))).alias("p"))
-            pairs = open_.join(pivot, "key").where("part <> p.part").select("node", F.col("p.node").alias("pivot"))
+            dice = F.xxhash64("node", F.lit(turn))
+            pivot = open_.groupBy("key").agg(F.min_by(F.struct("node", "part", dice.alias("dice")), dice).alias("p"))
+            pairs = open_.join(pivot, "key").where("part <> p.part").groupBy("node").agg(F.min_by("p.node", "p.dice").alias("pivot"))
             pairs = plausible(ordered(pairs, "node", "pivot"))
         else:
             pairs = _across(open_.join(info, "node"), percent)
-        links = links.union(settle(confirmed(pairs)))
+        links = links.union(confirmed(pairs))
         parts = components(links)
     parts = settle(parts)
     named = classes.select("d1", "d2", "node").join(parts, "node", "left").select(
