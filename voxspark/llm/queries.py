@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, cotrain, language, line_dedup, minhash, packing, secrets
+from voxspark.llm import bpe, cotrain, language, line_dedup, lm, minhash, packing, secrets
 from voxspark.llm.common import crc_mod
 
 QUERIES, SQL = {}, {}
@@ -25,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_lm_score")
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    scored = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumnRenamed("id", "doc_id").withColumn("held_out", held_out)
+
+
 @register("op2_minhash_dedup", r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
