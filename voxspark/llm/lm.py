@@ -152,13 +152,16 @@ class Params:
 
     def log_probabilities(self, context: np.ndarray, outcome: np.ndarray) -> np.ndarray:
         """Normalised log-probabilities, from one matrix product of all contexts with all outcomes."""
-        scores = self.predicted(context) @ self.outputs.T
-        scores += self.bias
-        own = scores[np.arange(len(outcome)), outcome].astype(np.float64)
-        top = scores.max(axis=1)
-        scores -= top[:, None]
+        r = self.predicted(context)
+        own = (r * self.outputs[outcome]).sum(axis=1, dtype=np.float64) + self.bias[outcome]
+        scores = np.column_stack([r, np.ones(len(r), np.float32)]) @ np.column_stack([self.outputs, self.bias]).T
+        # by the norms, no score can leave this range; if one might, the largest is taken out first
+        reach = np.sqrt((r * r).sum(axis=1).max(initial=0) * (self.outputs**2).sum(axis=1).max()) + np.abs(self.bias).max()
+        top = scores.max(axis=1) if reach > 60 else np.zeros(len(r), np.float32)
+        if reach > 60:
+            scores -= top[:, None]
         np.exp(scores, out=scores)
-        return own - top - np.log(scores.sum(axis=1))
+        return own - top - np.log(scores @ np.ones(OUTCOMES, np.float32))
 
 
 def contexts(outcome: np.ndarray, first: np.ndarray) -> np.ndarray:

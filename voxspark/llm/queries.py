@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, cotrain, language, line_dedup, lm, minhash, packing, secrets
+from voxspark.llm import bpe, cotrain, language, line_dedup, lm, minhash, packing, secrets, top_k, vector_links
 from voxspark.llm.common import crc_mod
 
 QUERIES, SQL = {}, {}
@@ -78,6 +78,37 @@ def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op6_embedding_dedup", """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+reach AS (SELECT a AS vec_id, a AS other FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+low AS (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id),
+many AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id, coalesce(low, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN low USING (vec_id) LEFT JOIN many USING (vec_id)""")
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@register("op7_exact_topk", """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""")
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(top_k.usable(F.col("embedding"))).select(
+        F.col("vec_id").alias("id"), top_k.whole_numbers(F.col("embedding"), 1024).alias("v"))
+    return top_k.top_k(rows, rows.where(F.col("id") % 100 == 0)).withColumnRenamed("id", "vec_id")
+
+
 @register("op8_language_id")
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
