@@ -148,8 +148,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, good
     chosen = first(y.join(ids, "id"), labelled).select("id", F.col("y").cast("double").alias("y"))
     free = first(ids.join(y, "id", "left_anti"), pool).select("id", F.lit(None).cast("double").alias("y"))
     # a sample of at most labelled + pool ids
-    rows = docs.withColumn("id", F.col(id_col)).join(F.broadcast(chosen.union(free)), "id")
-    return _features(rows.select("id", "y", *_meta(docs), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    rows = docs.select(F.col(id_col).alias("id"), *_meta(docs), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return _features(rows.join(F.broadcast(chosen.union(free)), "id").select("id", "y", "source", "lang", "text"))
 
 
 def _meta(docs: DataFrame) -> list:
