@@ -12,87 +12,138 @@ sequence of a partition is padded.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from voxspark.llm.common import Memo, per_slice
+from voxspark.llm.common import in_slices
 from voxspark.session import settle
 
 K1, B = 1.2, 0.75
-#: Lower-case letters that Unicode composition leaves alone, then ASCII signs without the apostrophe.
-_PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: One chunk a line: lower-case letters that Unicode composition leaves alone, then ASCII signs without the apostrophe.
+_PLAIN = re.compile(r"(?m)^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$")
+_MOST = 300_000
+
+
+class _Numbered(dict):
+    """Numbers its keys as they come; ``new`` holds those not yet worked on."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
 
 
 class WordTokens:
-    """Token ids of a whole text by the word tokenizer, for each blank-separated chunk once.
+    """Token ids of whole texts by the word tokenizer, for each blank-separated chunk once.
 
     No token crosses a blank. A chunk of plain letters and trailing signs is cut
     as the tokenizer's own pattern does, and the parts are merged by the same
     vocabulary without its normaliser; any other chunk goes through it whole.
+    New chunks are encoded together, and forgotten when there are too many.
     """
 
     def __init__(self, path: str):
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.bare = Tokenizer.from_file(path)
-        self.bare.encode_special_tokens = True
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = self.bare.encode_special_tokens = True
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.parts, self.chunks = Memo(self._part), Memo(self._chunk)
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunks, self.parts = _Numbered(), {"": []}
+        self.flat, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self) -> None:
+        chunks, self.chunks.new = [c.decode("utf-8") for c in self.chunks.new], []
+        cut = [m.groups() for m in _PLAIN.finditer("\n".join(chunks).lower())]
+        unknown = list({p for pair in cut if pair[0] for p in pair if p not in self.parts})
+        for part, got in zip(unknown, self.bare.encode_batch_fast(unknown, add_special_tokens=False)):
+            self.parts[part] = got.ids
+        other = [c for c, (word, _) in zip(chunks, cut) if not word]
+        rest = iter(self.whole.encode_batch_fast(other, add_special_tokens=False))
+        ids = [self.parts[word] + self.parts[signs] if word else next(rest).ids for word, signs in cut]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.chunks) > _MOST:
+            self.forget()
+        rows = [t.encode("utf-8").split() for t in texts]
+        count = np.fromiter(map(len, rows), np.int64, len(rows))
+        at = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(rows)), np.int64, int(count.sum()))
+        if self.chunks.new:
+            self._learn()
+        size = self.size[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        flat = self.flat[np.repeat(self.start[at] - ends[:-1], size) + np.arange(ends[-1])]
+        return np.split(flat, ends[np.cumsum(count)][:-1]) if len(rows) else []
 
-    def _part(self, part: str) -> list[int]:
-        return self.bare.encode(part, add_special_tokens=False).ids
+    def __call__(self, text: str) -> np.ndarray:
+        return self.many([text])[0]
 
-    def _chunk(self, raw: bytes) -> bytes:
-        chunk = raw.decode("utf-8")
-        plain = _PLAIN.fullmatch(chunk.lower())
-        if plain:
-            ids = self.parts[plain[1]] + (self.parts[plain[2]] if plain[2] else [])
-        else:
-            ids = self.whole.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, np.int32).tobytes()
 
-    def __call__(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.encode("utf-8").split())), np.int32)
+def id_type(size: int) -> np.dtype:
+    """The shortest unsigned type for ids below ``size``."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
 
 def token_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, window: int, end_id: int) -> DataFrame:
-    """id, doc_tokens, start, ids, near: each document cut into whole windows and a rest.
+    """Each document cut into whole windows and a rest: id, doc_tokens, start, n, ids (packed), near.
 
     ``near`` holds two min-hashes of the document's tokens. Tokens with large
     ids come late in the vocabulary and are rare, so they get the small hashes.
+    Besides, one row for each task has in ``tokens`` and ``counts`` how many of
+    its documents have each token; its other columns are null.
     """
 
-    def work():
+    def run(batches):
         encode = WordTokens(path)
-        size = encode.whole.get_vocab_size()
+        size = max(encode.whole.get_vocab_size(), end_id + 1)
+        kind = id_type(size)
         dice = np.random.default_rng(5).exponential(size=(2, size)) / np.square(np.arange(1, size + 1))
+        seen, id_kind = np.zeros(size, np.int64), pa.int64()
+        ints, longs, names = pa.list_(pa.int32()), pa.list_(pa.int64()), ["id", "doc_tokens", "start", "n", "ids", "near", "tokens", "counts"]
 
-        def step(part: pa.RecordBatch) -> pa.RecordBatch:
-            docs_, tokens, starts, rows, near = [], [], [], [], []
-            for doc, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                ids = np.append(encode(text), np.int32(end_id))
-                bag = np.unique(ids)
-                low = [int(bag[i]) for i in dice[:, bag].argmin(axis=1)]
-                for at in range(0, len(ids), window):
-                    docs_.append(doc), tokens.append(len(ids)), starts.append(at), near.append(low)
-                    rows.append(ids[at : at + window])
-            ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-            return pa.RecordBatch.from_arrays([
-                pa.array(docs_, part.column("id").type), pa.array(tokens, pa.int64()), pa.array(starts, pa.int64()),
-                pa.ListArray.from_arrays(ends, np.concatenate(rows)), pa.array(near, pa.list_(pa.int32())),
-            ], ["id", "doc_tokens", "start", "ids", "near"])
+        def table(docs_, tokens, starts, sizes, rows, near, bag, counts):
+            kinds = [id_kind, pa.int64(), pa.int64(), pa.int64(), pa.binary(), ints, ints, longs]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, tokens, starts, sizes, rows, near, bag, counts), kinds)], names)
 
-        return step
+        for part in in_slices(batches):
+            id_kind = part.column("id").type
+            cols = [[] for _ in range(8)]
+            for doc, ids in zip(part.column("id").to_pylist(), encode.many(part.column("text").to_pylist())):
+                ids = np.append(ids, np.int32(end_id))
+                seen[np.unique(ids)] += 1
+                low = ids[dice[:, ids].argmin(axis=1)].tolist()
+                packed = ids.astype(kind).tobytes()
+                for at in range(0, len(ids), window):
+                    n = min(window, len(ids) - at)
+                    row = (doc, len(ids), at, n, packed[at * kind.itemsize : (at + n) * kind.itemsize], low, None, None)
+                    for c, v in zip(cols, row):
+                        c.append(v)
+            yield table(*cols)
+        some = np.flatnonzero(seen)
+        if len(some):
+            yield table(*[[None]] * 6, [some.tolist()], [seen[some].tolist()])
 
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(texts.dtypes)["id"]
-    return per_slice(texts, work, f"id {kind}, doc_tokens long, start long, ids array<int>, near array<int>")
+    return texts.mapInArrow(
+        run, f"id {kind}, doc_tokens long, start long, n long, ids binary, near array<int>, tokens array<int>, counts array<long>")
 
 
 class Shard:
@@ -172,13 +223,16 @@ def pack(
     table gives no sequences; other columns are not read.
     """
     spark = docs.sparkSession
-    pieces = settle(token_pieces(docs, path, id_col, text_col, window, end_id))
-    facts = pieces.agg(F.count("*"), F.sum(F.size("ids"))).first()
+    written = settle(token_pieces(docs, path, id_col, text_col, window, end_id))
+    pieces = written.where("n IS NOT NULL")
+    facts = pieces.agg(F.count("*"), F.sum("n"), F.count(F.when(F.col("start") == 0, 1))).first()
     mean_len = (facts[1] or 1) / max(facts[0], 1)
     # one row per token of the vocabulary at most, which bounds what the driver takes
-    seen = pieces.select(F.explode(F.array_distinct("ids")).alias("t")).groupBy("t").count().toPandas()
-    idf = np.zeros(int(seen["t"].max()) + 1 if len(seen) else 1)
-    idf[seen["t"].to_numpy()] = np.maximum(0, np.log((facts[0] - seen["count"] + 0.5) / (seen["count"] + 0.5)))
+    per_task = written.select(F.explode(F.arrays_zip("tokens", "counts")).alias("t")).select("t.*")
+    seen = per_task.groupBy("tokens").agg(F.sum("counts").alias("docs")).toPandas()
+    idf = np.zeros(int(seen["tokens"].max()) + 1 if len(seen) else 1)
+    idf[seen["tokens"].to_numpy(int)] = np.maximum(0, np.log((facts[2] - seen["docs"] + 0.5) / (seen["docs"] + 0.5)))
+    kind = id_type(max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1))
     known = spark.sparkContext.broadcast(idf)
     chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
     parts = int(chars // partition_chars) + 1
@@ -198,12 +252,12 @@ def pack(
                         c.append(v)
                     at += len(ids)
                 number += 1
-            kinds = [id_type, *[pa.int64()] * 6, pa.list_(pa.int32())]
+            kinds = [id_kind, *[pa.int64()] * 6, pa.list_(pa.int32())]
             names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
             out = [pa.array(c, k) for c, k in zip(cols, kinds)]
             return pa.RecordBatch.from_arrays(out[: 8 if with_ids else 7], names[: 8 if with_ids else 7])
 
-        held, size, id_type = [], 0, pa.int64()
+        held, size, id_kind = [], 0, pa.int64()
 
         def flush(last):
             nonlocal held, size
@@ -218,11 +272,10 @@ def pack(
             return table(ready)
 
         for batch in batches:
-            id_type = batch.column("id").type
+            id_kind = batch.column("id").type
             whole = []
-            flat, ends = batch.column("ids").flatten().to_numpy(), batch.column("ids").offsets.to_numpy() - batch.column("ids").offsets[0].as_py()
-            for i, (doc, total, start) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "doc_tokens", "start")))):
-                piece = [doc, total, start, flat[ends[i] : ends[i + 1]].copy()]
+            for doc, total, start, packed in zip(*(batch.column(c).to_pylist() for c in ("id", "doc_tokens", "start", "ids"))):
+                piece = [doc, total, start, np.frombuffer(packed, kind).astype(np.int32)]
                 if len(piece[3]) == window:
                     whole.append([piece])
                 else:
@@ -236,6 +289,5 @@ def pack(
             yield flush(True)
 
     dealt = pieces.repartitionByRange(parts, "near", F.xxhash64("id", "start")).sortWithinPartitions("near", F.xxhash64("id", "start"))
-    kind = dict(pieces.dtypes)["id"]
-    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    schema = f"id {dict(pieces.dtypes)['id']}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return dealt.select("id", "doc_tokens", "start", "ids").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
