@@ -142,6 +142,80 @@ def named_texts(spark, sf):
     return readers.read_named_texts(spark, path).select("name", F.md5("text").alias("text"))
 
 
+@Q.add("place_input_files", """
+SELECT c_custkey % 7 = 0 AS pending, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM customer WHERE c_custkey % 7 = 0 GROUP BY ALL""")
+def place_input_files(spark, sf):
+    """Customers as a place list; only the open entries come back."""
+    path = scratch_path(spark, "places")
+    key = F.col("c_custkey")
+    rows = table(spark, sf, "customer").select(
+        F.col("c_name").alias("name"), F.concat(F.lit("http://x/"), key.cast("string")).alias("url"), F.when(key % 7 == 0, 0).otherwise(1).alias("done"))
+    writers.write_report(rows, path, "places", "1")
+    places = readers.read_place_input(spark, f"{path}/places_1")
+    return places.groupBy((F.col("done") == 0).alias("pending")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.regexp_extract("url", r"(\d+)$", 1).cast("bigint")).alias("keys"))
+
+
+@Q.add("reviews_with_header", """
+SELECT conv_id || '-' || turn AS review_id, (turn % 5 + 1)::DOUBLE AS rating, md5('"' || text || '"' || chr(10)) AS text FROM conversations""")
+def reviews_with_header(spark, sf):
+    path = scratch_path(spark, "reviews")
+    rows = _raw_reviews(spark, sf).where("review_id <> 'review_id'")
+    rows.write.options(**writers._CSV, quoteAll="true", header="true").csv(path)
+    return readers.read_reviews_with_header(spark, path).select("review_id", "rating", F.md5("text").alias("text"))
+
+
+@Q.add("place_meta_files", """
+SELECT s_name AS place_name, s_suppkey % 5 = 0 AS unknown, CASE WHEN s_suppkey % 5 = 0 THEN 0 ELSE s_suppkey END AS n_reviews FROM supplier""")
+def place_meta_files(spark, sf):
+    """Place metadata written as JSON and read back; -1 reviews means unknown."""
+    path = scratch_path(spark, "meta")
+    key = F.col("s_suppkey")
+    table(spark, sf, "supplier").select(
+        F.col("s_name").alias("place_name"), F.when(key % 5 == 0, -1).otherwise(key).alias("n_reviews")).write.option("maxRecordsPerFile", 1).json(path)
+    return readers.read_place_meta(spark, path).select(
+        "place_name", F.col("n_reviews").isNull().alias("unknown"), F.coalesce("n_reviews", F.lit(0)).alias("n_reviews"))
+
+
+@Q.add("saved_tables", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+def saved_tables(spark, sf):
+    """A table saved under its time and read back; an empty one writes nothing."""
+    folder = scratch_path(spark, "saved")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    path, nothing = writers.save_df(rows, folder, "customers"), writers.save_df(rows.where("false"), folder, "none")
+    return readers.read_union(spark, [p for p in (path, nothing) if p], "parquet")
+
+
+@Q.add("report_files", "SELECT o_orderkey, o_orderpriority AS status, o_totalprice FROM orders")
+def report_files(spark, sf):
+    """A CSV report written with its header and read back with a schema."""
+    folder = scratch_path(spark, "report")
+    rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("status"), "o_totalprice")
+    return readers.read_dim(spark, writers.write_report(rows, folder, "orders"), rows.schema)
+
+
+@Q.add("unioned_files", """
+SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, NULL::VARCHAR AS nation FROM customer
+UNION ALL SELECT s_suppkey, s_name, NULL, 'N' || s_nationkey FROM supplier""")
+def unioned_files(spark, sf):
+    """Exports whose columns differ, united by name."""
+    folder = scratch_path(spark, "exports")
+    a = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    b = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("nation"), F.col("s_name").alias("name"))
+    return readers.read_union(spark, [writers.save_df(a, folder, "a"), writers.save_df(b, folder, "b")], "parquet")
+
+
+@Q.add("geojson_files", "SELECT n_name AS name, n_nationkey AS key FROM nation")
+def geojson_files(spark, sf):
+    """Nations as features of a GeoJSON file, and their properties as a table."""
+    folder = scratch_path(spark, "geo")
+    props = F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"))
+    features = table(spark, sf, "nation").agg(F.collect_list(F.struct(F.lit("Feature").alias("type"), props.alias("properties"))).alias("features"))
+    features.select(F.lit("FeatureCollection").alias("type"), "features").write.json(folder)
+    return readers.read_geojson_properties(spark, folder).select("name", "key")
+
+
 @Q.add("event_properties", """
 SELECT event_id, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""")
 def event_properties(spark, sf):
@@ -178,6 +252,26 @@ def stream_ingest_with_delay(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id", "value")
 
 
+@Q.add("stream_restarted_summary", "SELECT user_id, count(*) AS n_scraped, count(*) FILTER (WHERE event_type = 'error') AS n_errors FROM events GROUP BY user_id")
+def stream_restarted_summary(spark, sf):
+    """The same checkpoint run twice: the second run has no new rows and returns the first one's result."""
+    errors = (F.col("event_type") == "error").cast("int")
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
+    for _ in range(2):
+        latest = ingest.run_to_folder(ingest.running_summary(_event_stream(spark, sf), "user_id", errors, "ts"), out, checkpoint)
+    return latest.select("user_id", "n_scraped", "n_errors")
+
+
+@Q.add("stream_review_files", """
+SELECT conv_id || '-' || turn AS review_id, (turn % 5 + 1)::DOUBLE AS rating, md5('"' || text || '"' || chr(10)) AS text FROM conversations""")
+def stream_review_files(spark, sf):
+    """Review files that arrive in a folder, each review written once."""
+    folder, out, checkpoint = (scratch_path(spark, n) for n in ("reviews", "stream", "stream-checkpoint"))
+    writers.append_csv(_raw_reviews(spark, sf), folder)
+    ingest.ingest(ingest.review_stream(spark, folder), out, checkpoint, "review_id").awaitTermination()
+    return spark.read.parquet(out).select("review_id", "rating", F.md5("text").alias("text"))
+
+
 @Q.add("stream_running_summary", f"""
 SELECT user_id, count(*) AS n_scraped, count(*) FILTER (WHERE event_type = 'error') AS n_errors, strftime(max(ts), {SQL_SECOND}) AS last_retrieval
 FROM events GROUP BY user_id""")

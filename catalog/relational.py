@@ -99,33 +99,35 @@ def value_counts(spark, sf):
     return profile.value_counts(table(spark, sf, "orders"), ["o_orderpriority", "o_orderstatus"])
 
 
-_PROFILED = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-
-
-@Q.add("column_profile", """
-WITH long AS (
-  SELECT 'l_quantity' AS column_name, l_quantity::VARCHAR AS value FROM lineitem
-  UNION ALL SELECT 'l_discount', l_discount::VARCHAR FROM lineitem
-  UNION ALL SELECT 'l_tax', l_tax::VARCHAR FROM lineitem
-  UNION ALL SELECT 'l_returnflag', l_returnflag FROM lineitem
-  UNION ALL SELECT 'l_linestatus', l_linestatus FROM lineitem
-  UNION ALL SELECT 'l_shipdate', strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') FROM lineitem),
-counts AS (SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL),
+# every column, and every number, of lineitem
+_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_TEXTS = ["l_returnflag", "l_linestatus"]
+
+
+def _stacked(parts: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, {v} AS value FROM lineitem" for c, v in parts.items())
+
+
+@Q.add("column_profile", f"""
+WITH long AS ({_stacked({c: f"{c}::VARCHAR" for c in _NUMBERS + _TEXTS} | {"l_shipdate": "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"})}),
+counts AS (SELECT column_name, value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY ALL),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rank FROM counts)
 SELECT column_name, value, n, rank::INT AS rank FROM ranked WHERE rank <= 5""")
 def column_profile(spark, sf):
-    return profile.column_profile(table(spark, sf, "lineitem"), _PROFILED, 5)
+    return profile.column_profile(table(spark, sf, "lineitem"), k=5)
 
 
 @Q.add("pivot_count", """
 SELECT n_name, count(c_custkey) FILTER (WHERE c_mktsegment = 'BUILDING') AS BUILDING,
        count(c_custkey) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS HOUSEHOLD,
-       count(c_custkey) FILTER (WHERE c_mktsegment = 'MACHINERY') AS MACHINERY
+       count(c_custkey) FILTER (WHERE c_mktsegment = 'MACHINERY') AS MACHINERY,
+       count(c_custkey) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS AUTOMOBILE,
+       count(c_custkey) FILTER (WHERE c_mktsegment = 'FURNITURE') AS FURNITURE
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def pivot_count(spark, sf):
     nation = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     customers = joins.lookup_join(table(spark, sf, "customer"), nation, "c_nationkey", "inner")
-    return profile.pivot_count(customers, "n_name", "c_mktsegment", ["BUILDING", "HOUSEHOLD", "MACHINERY"], "c_custkey")
+    return profile.pivot_count(customers, "n_name", "c_mktsegment", ["BUILDING", "HOUSEHOLD", "MACHINERY", "AUTOMOBILE", "FURNITURE"], "c_custkey")
 
 
 @Q.add("median_by_group", """
@@ -158,19 +160,25 @@ def histogram(spark, sf):
     return profile.histogram(table(spark, sf, "orders"), "o_totalprice", [0, 100000, 200000, 300000, 400000])
 
 
-@Q.add("describe", """
-WITH long AS (
-  SELECT 'l_quantity' AS column_name, l_quantity AS v FROM lineitem
-  UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM lineitem)
-SELECT column_name, count(v) AS count, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std,
-       min(v) AS min, max(v) AS max, round(quantile_cont(v, 0.25), 4) AS p25,
-       round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.75), 4) AS p75
+@Q.add("describe", f"""
+WITH long AS ({_stacked({c: f"{c}::DOUBLE" for c in _NUMBERS})})
+SELECT column_name, count(value) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
+       min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.25), 4) AS p25,
+       round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4) AS p75
 FROM long GROUP BY column_name""")
 def describe(spark, sf):
-    out = profile.describe(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    out = profile.describe(table(spark, sf, "lineitem"), _NUMBERS)
     return out.withColumns({c: F.round(c, 4) for c in ("mean", "std", "p25", "p50", "p75")})
 
 
+@Q.add("ranked_entities", """
+SELECT o_custkey, count(o_orderkey) AS count_, count(o_orderkey) >= 15 AS big FROM orders GROUP BY o_custkey HAVING count(o_orderkey) >= 10
+ORDER BY count_ DESC, o_custkey LIMIT 100""")
+def ranked_entities(spark, sf):
+    counts = profile.entity_counts(table(spark, sf, "orders"), "o_custkey", "o_orderkey", 10, 15)
+    return profile.ranked_entities(counts, "o_custkey")
+
+
 @Q.add("macro_average", """
 WITH per AS (SELECT l_suppkey, sum(l_quantity) AS q, count(*) AS n, sum(l_extendedprice) AS e
              FROM lineitem GROUP BY l_suppkey)

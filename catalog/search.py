@@ -134,9 +134,9 @@ def index_difference(spark, sf):
 @Q.add("cluster_representatives")
 def cluster_representatives(spark, sf):
     rows = _vectors(spark, sf).select(
-        "label", "vec_id", *[F.col("embedding")[i].alias(f"f{i}") for i in range(14)]
+        "label", "vec_id", *[F.col("embedding")[i].alias(f"f{i}") for i in range(_DIMS)]
     )
-    out = clusters.cluster_representatives(rows, "label", "vec_id", [f"f{i}" for i in range(14)], 5)
+    out = clusters.cluster_representatives(rows, "label", "vec_id", [f"f{i}" for i in range(_DIMS)], 5)
     return out.withColumn("distance", F.round("distance", 6))
 
 
@@ -185,6 +185,9 @@ _REVIEWS = """(SELECT o_orderkey, c_name AS nome, c_custkey % 6 AS estrelas, r_n
   o_orderkey % 5 + 1 AS nota, o_orderkey % 4 AS curtidas, o_orderkey % 2 AS guia, strftime(o_orderdate, '%Y-%m-%d') AS data_avaliacao,
   o_orderpriority || ' ' || o_orderstatus AS text
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)"""
+# the same with gaps: notes, types, texts and cities that are not known
+_GAPS = f"""(SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE nota END AS nota, CASE WHEN subcategoria = 'MACHINERY' THEN NULL ELSE subcategoria END AS subcategoria,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE text END AS text, CASE WHEN estrelas = 0 THEN NULL ELSE cidade END AS cidade), o_orderkey % 5 + 1 AS sub FROM {_REVIEWS})"""
 _HEADER = """('Hotel: ' || nome || ', ' || estrelas || ' Estrelas.' || chr(10) || 'Região:' || regiao || '; Estado:' || estado || '; Cidade:' || cidade
   || chr(10) || 'Tipo:' || subcategoria || '; Classificação:' || classificacao_geral || '; Quantidade Avaliações:' || quantidade_avaliacoes || chr(10))"""
 
@@ -196,6 +199,34 @@ def _block(header: str = "''", score: str = "''") -> str:
   || CASE WHEN o_orderkey % 5 = 0 THEN '; Nota Serviço:' || nota ELSE '' END || chr(10) || 'Avaliação: ' || text || chr(10) || chr(10))"""
 
 
+def _gaps(spark, sf):
+    key = F.col("o_orderkey")
+    return _reviews(spark, sf).withColumns({
+        "nota_avaliacao": F.when(key % 7 != 0, F.col("nota_avaliacao")), "subcategoria": F.when(F.col("subcategoria") != "MACHINERY", F.col("subcategoria")),
+        "text": F.when(key % 11 != 0, F.col("text")), "cidade": F.when(F.col("estrelas") != 0, F.col("cidade")),
+    })
+
+
+def _told(c: str) -> str:
+    return f"coalesce({c}::VARCHAR, 'não informado')"
+
+
+_GAP_HEADER = _HEADER.replace("|| cidade\n", f"|| {_told('cidade')}\n").replace("|| subcategoria ||", f"|| {_told('subcategoria')} ||")
+_GAP_BLOCK = (
+    _block().replace("'Nota:' || nota ||", f"'Nota:' || {_told('nota')} ||").replace("Quartos:' || nota", "Quartos:' || sub")
+    .replace("Localização:' || nota", "Localização:' || sub").replace("Serviço:' || nota", "Serviço:' || sub").replace("|| text ||", f"|| {_told('text')} ||"))
+
+
+@Q.add("gap_context", f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY nome ORDER BY data_avaliacao DESC, o_orderkey) AS rank FROM {_GAPS})
+SELECT nome, count(*) AS n_blocks, 'Informações gerais sobre o hotel:' || first({_GAP_HEADER} ORDER BY rank) || chr(10)
+  || 'Top ' || count(*) || ' avaliações do hotel mais semelhantes à pergunta:' || chr(10) || string_agg({_GAP_BLOCK}, '' ORDER BY rank) AS context
+FROM r WHERE rank <= 5 GROUP BY nome""")
+def gap_context(spark, sf):
+    """Every review is in its context, also where notes, types, cities or texts are missing."""
+    return retrieval.newest_context(_gaps(spark, sf), "o_orderkey", 5)
+
+
 _NEWEST = f"""(SELECT *, row_number() OVER (PARTITION BY nome ORDER BY data_avaliacao DESC, o_orderkey) AS rank FROM {_REVIEWS})"""
 _CONTEXT = f"""(SELECT nome, count(*) AS n_blocks, 'Informações gerais sobre o hotel:' || first({_HEADER} ORDER BY rank) || chr(10)
   || 'Top ' || count(*) || ' avaliações do hotel mais semelhantes à pergunta:' || chr(10) || string_agg({_block()}, '' ORDER BY rank) AS context
@@ -258,7 +289,7 @@ def topic_prompts(spark, sf):
     asked = asked.withColumn(
         "query_vec", F.when(F.col("positive"), F.array(F.lit(1.0), no, F.lit(1.0))).otherwise(F.array(F.lit(-1.0), no, F.lit(0.0)))
     )
-    out = retrieval.topic_prompts(docs, asked, "o_orderkey", "embedding", "query_vec", 3, template="C={context}Q={query}")
+    out = retrieval.topic_prompts(docs, asked, "o_orderkey", "embedding", "query_vec", "C={context}Q={query}", 3)
     return out.select("nome", "topic_no", "positive", "n_blocks", F.md5("prompt").alias("prompt"))
 
 
@@ -274,7 +305,64 @@ def final_prompts(spark, sf):
         F.col("conv_id").cast("string").alias("nome"), no.alias("topic_no"), (F.col("turn") % 2 == 0).alias("positive"),
         F.concat(F.lit("T"), no.cast("string")).alias("topic"), F.col("text").alias("response"),
     )
-    return retrieval.final_prompts(replies).select("nome", "n_blocks", F.md5("context").alias("context"))
+    return retrieval.final_prompts(replies, "{context}{query}", ()).select("nome", "n_blocks", F.md5("context").alias("context"))
+
+
+@Q.add("gap_replies", """
+WITH t AS (SELECT conv_id::VARCHAR AS nome, turn, CASE WHEN turn % 3 = 1 THEN 'não informado' ELSE text END AS text FROM conversations)
+SELECT nome, count(*) AS n_blocks, md5('A seguir, uma lista de resumos do hotel "' || nome || '" por tópico e aspecto:' || string_agg(
+  CASE WHEN turn % 2 = 0 THEN 'Aspectos positivos' ELSE 'Aspectos negativos' END || ' do hotel no quesito "T' || turn // 2 || '":' || chr(10) || text || chr(10),
+  '' ORDER BY turn)) AS context FROM t GROUP BY nome""")
+def gap_replies(spark, sf):
+    """Topic replies, every third of them missing."""
+    no = F.floor(F.col("turn") / 2).cast("int")
+    replies = table(spark, sf, "conversations").select(
+        F.col("conv_id").cast("string").alias("nome"), no.alias("topic_no"), (F.col("turn") % 2 == 0).alias("positive"),
+        F.concat(F.lit("T"), no.cast("string")).alias("topic"), F.when(F.col("turn") % 3 != 1, F.col("text")).alias("response"),
+    )
+    return retrieval.final_prompts(replies, "{context}{query}", ()).select("nome", "n_blocks", F.md5("context").alias("context"))
+
+
+@Q.add("similar_prompts", f"""
+WITH r AS (SELECT *, [nota, curtidas, guia + 1]::DOUBLE[] AS embedding, [estrelas, 1.0, -1.0]::DOUBLE[] AS qv FROM {_REVIEWS}),
+s AS (SELECT *, round({_DOT}, 9) AS score FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY nome ORDER BY score DESC, o_orderkey) AS rank FROM s),
+c AS (SELECT nome, count(*) AS n_blocks, 'Informações gerais sobre o hotel:' || first({_HEADER} ORDER BY rank) || chr(10)
+  || 'Top ' || count(*) || ' avaliações do hotel mais semelhantes à pergunta:' || chr(10)
+  || string_agg({_block("''", "', Similaridade: ' || printf('%.3f', score)")}, '' ORDER BY rank) AS context FROM k WHERE rank <= 4 GROUP BY nome)
+SELECT nome, n_blocks, md5('C=' || context || chr(10) || 'Q=' || {_ASK}) AS prompt FROM c""")
+def similar_prompts(spark, sf):
+    """The summary prompt of a hotel from its reviews nearest to the instruction."""
+    docs = _reviews(spark, sf).withColumn("embedding", F.array("nota_avaliacao", "curtidas_avaliacao", F.col("usuario_guia_local") + 1))
+    queries = docs.select("nome", F.array("estrelas", F.lit(1.0), F.lit(-1.0)).alias("query_vec")).distinct()
+    out = retrieval.similar_prompts(docs, queries, "o_orderkey", "embedding", "query_vec", "C={context}\nQ={query}", ("Quarto", "Café"), 4)
+    return out.select("nome", "n_blocks", F.md5("prompt").alias("prompt"))
+
+
+@Q.add("answer_prompts", f"""
+WITH v AS (SELECT *, [nota, curtidas, guia + 1]::DOUBLE[] AS embedding FROM {_REVIEWS}),
+q AS (SELECT n_nationkey, 'Q' || n_nationkey AS query_id, 'Onde ' || n_name || '?' AS question, [n_regionkey, 1.0, 2.0]::DOUBLE[] AS qv FROM nation),
+s AS (SELECT query_id, question, v.*, round({_DOT}, 9) AS score FROM q JOIN v ON CASE n_nationkey % 5
+  WHEN 0 THEN nota >= 4 WHEN 1 THEN estado IN ('NATION_3', 'NATION_4') AND nota < 3 ELSE true END),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, o_orderkey) AS rank FROM s),
+c AS (SELECT query_id, string_agg({_block(_HEADER, "', Similaridade: ' || printf('%.3f', score)")}, '' ORDER BY rank) AS context FROM r WHERE rank <= 3 GROUP BY query_id)
+SELECT query_id, md5('P:' || question || coalesce(context, '')) AS prompt FROM q LEFT JOIN c USING (query_id)""")
+def answer_prompts(spark, sf):
+    """A question per nation: good filters, one that is broken, one on an unknown field, and none."""
+    docs = _reviews(spark, sf).withColumn("embedding", F.array("nota_avaliacao", "curtidas_avaliacao", F.col("usuario_guia_local") + 1))
+    kind, name = F.col("n_nationkey") % 5, F.col("n_name")
+    reply = (
+        F.when(kind == 0, "```json{'nota_avaliacao': {'$gte': 4}}```").when(kind == 1, "{'$and': [{'estado': {'$in': ['NATION_3', 'NATION_4']}}, {'nota_avaliacao': {'$lt': 3}}]}``` x")
+        .when(kind == 2, "{'nota_avaliacao': ").when(kind == 3, "{'nothing': 1}```")
+    )
+    questions = table(spark, sf, "nation").select(
+        F.concat(F.lit("Q"), F.col("n_nationkey").cast("string")).alias("query_id"), F.concat(F.lit("Onde "), name, F.lit("?")).alias("question"),
+        reply.alias("reply"), F.array(F.col("n_regionkey").cast("double"), F.lit(1.0), F.lit(2.0)).alias("query_vec"),
+    )
+    out = retrieval.answer_prompts(
+        docs, questions, id="o_orderkey", vector="embedding", query_id="query_id", question="question", reply="reply",
+        query_vector="query_vec", template="P:{question}{context}", n=3)
+    return out.select("query_id", F.md5("prompt").alias("prompt"))
 
 
 @Q.add("eval_prompts", """

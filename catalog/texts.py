@@ -116,9 +116,7 @@ c AS (SELECT source, token, count(*) AS n_group FROM t GROUP BY ALL),
 p AS (SELECT doc_id, sum(n_group)::BIGINT AS pts FROM t JOIN c USING (source, token) GROUP BY doc_id)
 SELECT d.source, d.doc_id, coalesce(pts, 0) AS text_points FROM documents d LEFT JOIN p USING (doc_id)""")
 def word_points(spark, sf):
-    docs = _tokenized(spark, sf)
-    counts = vocabulary.group_word_counts(docs, "source", "tokens")
-    return vocabulary.word_points(docs, "source", "doc_id", "tokens", counts)
+    return vocabulary.word_points(_tokenized(spark, sf), "source", "doc_id", "tokens")
 
 
 @Q.add("token_reduction", f"""
@@ -205,19 +203,20 @@ def score_summary(spark, sf):
 
 
 @Q.add("entity_document", f"""
-WITH n AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 48 AS part FROM documents),
-z AS (SELECT source, count(*) > 48 AS large FROM documents GROUP BY source)
-SELECT source, CASE WHEN large THEN part ELSE 0 END::BIGINT AS part, count(*) AS n_rows, count(*) FILTER (WHERE lang = 'en') AS n_english,
-  md5(string_agg(text, chr(10) ORDER BY doc_id)) AS text_sum,
+WITH n AS (SELECT *, (sum(strlen(text)) OVER (PARTITION BY source ORDER BY doc_id) - strlen(text)) // 30000 AS part FROM documents)
+SELECT source, part::BIGINT AS part, count(*) AS n_rows, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS text_sum,
   md5(coalesce(string_agg(array_to_string({_tokens('text')}, ' '), ' ' ORDER BY doc_id) FILTER (WHERE len({_tokens('text')}) > 0), '')) AS tokens_sum
-FROM n JOIN z USING (source) GROUP BY source, CASE WHEN large THEN part ELSE 0 END""")
+FROM n GROUP BY source, part""")
 def entity_document(spark, sf):
     docs = _docs(spark, sf).withColumn("tokens", X.tokenize("text", STOPWORDS))
-    out = profile.entity_document(
-        docs, ["source"], ["doc_id"], {"text_sum": "text"}, {"tokens_sum": "tokens"},
-        counts={"n_english": (F.col("lang") == "en").cast("int")}, part_rows=48,
-    )
-    return out.select("source", "part", "n_rows", "n_english", F.md5("text_sum").alias("text_sum"), F.md5(F.array_join("tokens_sum", " ")).alias("tokens_sum"))
+    out = profile.entity_document(docs, ["source"], ["doc_id"], {"text_sum": "text"}, {"tokens_sum": "tokens"}, part_bytes=30_000)
+    return out.select("source", "part", "n_rows", F.md5("text_sum").alias("text_sum"), F.md5(F.array_join("tokens_sum", " ")).alias("tokens_sum"))
+
+
+@Q.add("entity_totals", "SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE lang = 'en') AS n_english, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY source")
+def entity_totals(spark, sf):
+    counts = {"n_english": (F.col("lang") == "en").cast("int"), "chars": F.col("n_chars")}
+    return profile.entity_totals(table(spark, sf, "documents"), ["source"], counts)
 
 
 @Q.add("conversation_document", """
@@ -321,21 +320,46 @@ def _spaced(c: str) -> str:
     return f"regexp_replace(regexp_replace({c}, '\\n+', ' ' || chr(10) || ' ', 'g'), '[.]+', ' . ', 'g')"
 
 
+_HOTELS = f"(SELECT *, {_CLEAN} AS c, {_NORMAL} AS m FROM documents)"
+
+
 @Q.add("hotel_documents", f"""
-WITH d AS (SELECT *, {_CLEAN} AS c, {_NORMAL} AS m FROM documents)
-SELECT source AS name, 0::BIGINT AS part, count(*) AS n_rows, count(*) AS review_count, count(*) AS text_count,
-  count(*) FILTER (WHERE lang <> 'en') AS response_text_count, md5({_spaced("string_agg(c, chr(10) ORDER BY doc_id)")}) AS text_sum,
+SELECT source AS name, 0::BIGINT AS part, count(*) AS n_rows, md5({_spaced("string_agg(c, chr(10) ORDER BY doc_id)")}) AS text_sum,
   md5({_spaced("string_agg(m, chr(10) ORDER BY doc_id)")}) AS text_normalized_sum,
   string_agg('a, ' || lang, ' ' || chr(10) || ' ' ORDER BY doc_id) AS highlights_sum, sum(len(string_split(m, '.')))::INT AS n_sentences
-FROM d GROUP BY source""")
+FROM {_HOTELS} GROUP BY source""")
 def hotel_documents(spark, sf):
     """Documents as the reviews of their source, prepared and joined per source."""
+    docs = prepare.hotel_documents(_hotel_texts(spark, sf), order=("review_id",))
+    return docs.select(
+        "name", "part", "n_rows", F.md5("text_sum").alias("text_sum"), F.md5("text_normalized_sum").alias("text_normalized_sum"),
+        "highlights_sum", F.size("text_tokens_sum").alias("n_sentences"),
+    )
+
+
+def _hotel_texts(spark, sf):
     reviews = _docs(spark, sf).select(
         F.col("source").alias("name"), F.col("doc_id").alias("review_id"), "text",
         F.when(F.col("lang") != "en", "Obrigado.").alias("response_text"), F.array(F.lit("a"), F.col("lang")).alias("highlights"),
     )
-    docs = prepare.hotel_documents(prepare.text_table(reviews, stopwords=STOPWORDS), order=("review_id",))
-    return docs.select(
-        "name", "part", "n_rows", "review_count", "text_count", "response_text_count", F.md5("text_sum").alias("text_sum"),
-        F.md5("text_normalized_sum").alias("text_normalized_sum"), "highlights_sum", F.size("text_tokens_sum").alias("n_sentences"),
+    return prepare.text_table(reviews, stopwords=STOPWORDS)
+
+
+@Q.add("hotel_counts", """
+SELECT source AS name, count(*) AS n_rows, count(*) AS review_count, count(text) AS text_count,
+  count(*) FILTER (WHERE lang <> 'en') AS response_text_count FROM documents GROUP BY source""")
+def hotel_counts(spark, sf):
+    return prepare.hotel_counts(_hotel_texts(spark, sf))
+
+
+@Q.add("text_report", rf"""
+WITH w AS (SELECT *, len(regexp_extract_all(text, '{_NOT_BLANK}+')) AS n, len({_tokens('text')}) AS t FROM documents)
+SELECT source AS name, min_by('P' || doc_id, doc_id) AS place_name, count(*) AS review_id, count(text) AS text,
+  count(*) FILTER (WHERE lang <> 'en') AS response_text, sum(n)::BIGINT AS words_len, sum(t)::BIGINT AS tokens_len FROM w GROUP BY source""")
+def text_report(spark, sf):
+    reviews = _docs(spark, sf).select(
+        F.col("source").alias("name"), F.col("doc_id").alias("review_id"), "text", F.concat(F.lit("P"), F.col("doc_id").cast("string")).alias("place_name"),
+        F.when(F.col("lang") != "en", "Obrigado.").alias("response_text"), X.word_count("text").alias("words_len"),
+        F.size(X.tokenize("text", STOPWORDS)).alias("tokens_len"),
     )
+    return prepare.text_report(reviews, ("review_id",))

@@ -140,12 +140,31 @@ def test_broadcast_check_measures_rows_and_bytes(spark):
     assert not joins.fits_broadcast(df, max_bytes=5_000)
 
 
-def test_validate_key(spark):
+def test_checked_key(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, v int")
     assert rows(joins.key_violations(df, ["k"]), "k", "n_rows") == [("a", 2)]
-    with pytest.raises(joins.KeyViolation):
-        joins.validate_key(df, ["k"])
-    assert joins.validate_key(df, ["v"]) is df
+    with pytest.raises(Exception, match="is not unique"):
+        joins.checked_key(df, ["k"]).collect()
+    assert rows(joins.checked_key(df, ["v"]), "k", "v") == rows(df, "k", "v")
+    assert joins.checked_key(df.select("v"), ["v"]).count() == 3
+
+
+def test_salted_join_refuses_what_it_would_repeat(spark):
+    fact = spark.createDataFrame([(1,)] * 5, "k int")
+    dim = spark.createDataFrame([(1, "x"), (2, "y")], "k int, t string")
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            joins.salted_join(fact, dim, ["k"], how)
+        assert joins.lookup_join(fact, dim, "k", how, small=False).count() == 6
+
+
+def test_dictionary_and_lexicon_must_be_unique(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"])], "id int, t array<string>")
+    twice = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0)], "form string, canonical string, valence double")
+    with pytest.raises(Exception, match="is not unique"):
+        vocabulary.reduce_tokens(df, "id", "t", twice).collect()
+    with pytest.raises(Exception, match="is not unique"):
+        sentiment.lexicon_sentiment(df, "id", "t", twice.withColumnRenamed("form", "token")).collect()
 
 
 def test_semi_and_anti_joins(spark):
@@ -204,14 +223,17 @@ def test_entity_document_parts_are_the_whole_document(skewed):
     data, df = skewed
     texts = df.withColumn("t", F.concat(F.lit("t"), F.col("id").cast("string"))).withColumn("w", F.array("t"))
     whole = profile.entity_document(texts, ["k"], ["id"], {"doc": "t"}, {"all": "w"})
-    parts = profile.entity_document(texts, ["k"], ["id"], {"doc": "t"}, {"all": "w"}, part_rows=37)
+    parts = profile.entity_document(texts, ["k"], ["id"], {"doc": "t"}, {"all": "w"}, part_bytes=40)
     want = {k: [f"t{i}" for i, _ in sorted(v)] for k, v in by_key(data).items()}
     assert {r.k: r.doc.split("\n") for r in whole.collect()} == want
     got, sizes = defaultdict(list), []
     for r in parts.orderBy("k", "part").collect():
         got[r.k] += r.all
-        sizes.append(r.n_rows)
-    assert dict(got) == want and max(sizes) <= 37
+        sizes.append(len(r.doc.replace("\n", "")))
+    assert dict(got) == want and max(sizes) <= 40 + 4
+    totals = profile.entity_totals(df, ["k"], {"low": (F.col("v") < 10).cast("int")})
+    assert {(r.k, r.n_rows, r.low) for r in totals.collect()} == {
+        (k, len(v), sum(x < 10 for _, x in v)) for k, v in by_key(data).items()}
 
 
 # --- chunks and packs ------------------------------------------------------------------------------

@@ -8,34 +8,18 @@ these strings.
 from __future__ import annotations
 
 # --- relative dates ------------------------------------------------------------
-RELATIVE_DATE = {
-    "pt-br": {
-        "one": r"^uma?\b",
-        "ago": r"\satras$",
-        "units": {
-            "ano": "years", "anos": "years",
-            "mes": "months", "meses": "months",
-            "semana": "weeks", "semanas": "weeks",
-            "dia": "days", "dias": "days",
-            "hora": "hours", "horas": "hours",
-            "minuto": "minutes", "minutos": "minutes",
-            "segundo": "seconds", "segundos": "seconds",
-        },
-    },
-    "en": {
-        "one": r"^an?\b",
-        "ago": r"\sago$",
-        "units": {
-            "year": "years", "years": "years",
-            "month": "months", "months": "months",
-            "week": "weeks", "weeks": "weeks",
-            "day": "days", "days": "days",
-            "hour": "hours", "hours": "hours",
-            "minute": "minutes", "minutes": "minutes",
-            "second": "seconds", "seconds": "seconds",
-        },
-    },
+# Every word of a span of time as (months, seconds), the word for one, and the ending.
+_SPANS = {"year": (12, 0), "month": (1, 0), "week": (0, 604800), "day": (0, 86400), "hour": (0, 3600), "minute": (0, 60), "second": (0, 1)}
+_PORTUGUESE = {
+    "year": ("ano", "anos"), "month": ("mes", "meses"), "week": ("semana", "semanas"), "day": ("dia", "dias"),
+    "hour": ("hora", "horas"), "minute": ("minuto", "minutos"), "second": ("segundo", "segundos"),
 }
+DATE_WORDS = {
+    "pt-br": {word: _SPANS[span] for span, words in _PORTUGUESE.items() for word in words},
+    "en": {span + ending: step for span, step in _SPANS.items() for ending in ("", "s")},
+}
+DATE_ONE = {"pt-br": r"^uma?\b", "en": r"^an?\b"}
+DATE_AGO = {"pt-br": r"\satras$", "en": r"\sago$"}
 
 # --- machine translation marks ---------------------------------------------------
 TRANSLATION_FLAG = {"pt-br": "Tradução do Google", "en": "Translated by Google"}
@@ -96,21 +80,14 @@ OTHER_NOTES = {
     "nota_localizacao": "Localização",
     "nota_servico": "Serviço",
 }
+# own value: what stands in a context for something not known
+UNKNOWN = "não informado"
 LOCAL_GUIDE = "; Usuário é guia local"
 NOT_LOCAL_GUIDE = "; Usuário não é guia local"
 SUMMARY_CONTEXT_INTRO = "Informações gerais sobre o hotel:"
 SUMMARY_CONTEXT_TOP = "\nTop {n} avaliações do hotel mais semelhantes à pergunta:\n"
 
-# --- summary topics and questions ------------------------------------------------------------
-TOPICS = (
-    "Infraestrutura e Acomodações – Conforto, limpeza, tecnologia, lazer, estacionamento.",
-    "Atendimento e Serviço – Cordialidade, eficiência, limpeza, concierge, check-in ágil.",
-    "Localização e Acessibilidade – Proximidade, transporte, segurança, acessibilidade.",
-    "Alimentação e Bebidas – Café da manhã, restaurante, serviço de quarto, qualidade.",
-    "Experiência e Entretenimento – Lazer, eventos, recreação, passeios, parcerias.",
-    "Custo-benefício e Políticas – Preço justo, flexibilidade, transparência, fidelidade.",
-)
-CRITERIA = ("Relevância", "Coerência", "Consistência", "Fluência")
+# --- summary questions ------------------------------------------------------------
 ASK_FULL_HEAD = 'Faça um resumo do hotel "{hotel}" com base nos seguintes tópicos:\n'
 ASK_FULL_TAIL = (
     "Para cada tópico, escreva um parágrafo com os principais aspectos positivos e "
@@ -125,14 +102,6 @@ FINAL_TITLE = {
     True: 'Aspectos positivos do hotel no quesito "{topic}":\n',
     False: 'Aspectos negativos do hotel no quesito "{topic}":\n',
 }
-SUMMARY_PROMPT = (
-    "\nVocê é um assistente de sumarização de hotéis em português.\n"
-    "Utilize os seguintes trechos de CONTEXTO recuperado de avaliações de hotéis para escrever o RESUMO.\n"
-    "Siga as INSTRUÇÕES do usuário para escrever um resumo detalhado do que se pede.\n\n"
-    "CONTEXTO:\n{context}\n\n"
-    "INSTRUÇÕES:\n{query}\n\n"
-    "RESUMO:"
-)
 MIN_POSITIVE_NOTE = 3
 MAX_NEGATIVE_NOTE = 3
 

@@ -29,22 +29,16 @@ def relative_date(c: Column | str, retrieved: Column | str, hl: str | Column = "
     """
     if isinstance(hl, Column):
         out = F.lit(None)
-        for lang in V.RELATIVE_DATE:
+        for lang in V.DATE_WORDS:
             out = F.when(hl == lang, relative_date(c, retrieved, lang)).otherwise(out)
         return out
-    rules = V.RELATIVE_DATE[hl]
     shape = r"^(\d{1,6}(?:\.\d+)?) (\S+)$"
-    # Every unit as (months, seconds).
-    steps = {
-        "years": (12, 0), "months": (1, 0), "weeks": (0, 604800), "days": (0, 86400),
-        "hours": (0, 3600), "minutes": (0, 60), "seconds": (0, 1),
-    }
     step = F.create_map(*[
-        x for word, unit in rules["units"].items()
-        for x in (F.lit(word), F.struct(F.lit(steps[unit][0]).alias("m"), F.lit(steps[unit][1]).alias("s")))
+        x for word, (months, seconds) in V.DATE_WORDS[hl].items()
+        for x in (F.lit(word), F.struct(F.lit(months).alias("m"), F.lit(seconds).alias("s")))
     ])
     phrase = strip(F.lower(fold_accents(c)))
-    phrase = F.regexp_replace(F.regexp_replace(phrase, rules["one"], "1"), rules["ago"], "")
+    phrase = F.regexp_replace(F.regexp_replace(phrase, V.DATE_ONE[hl], "1"), V.DATE_AGO[hl], "")
     at = col(retrieved).cast("timestamp_ntz")
 
     def parsed(p: Column) -> Column:

@@ -9,15 +9,14 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from voxspark.operators.ordering import row_salt
+from voxspark.session import settle
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 64
 SALTS = 64
-
-
-class KeyViolation(ValueError):
-    """A join key that should be unique is not."""
+#: Joins whose result holds no dimension row that did not match.
+SALTED = ("inner", "left", "left_outer", "leftouter", "left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti")
 
 
 def _width(field: T.StructField) -> Column:
@@ -51,7 +50,8 @@ def hot_keys(
     need not be read for it.
     """
     if counts is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+        # one row per key, written so that the rows are read once
+        counts = settle(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)))
     biggest = counts.orderBy(F.desc(n)).limit(share).collect()
     if not biggest:
         return []
@@ -66,8 +66,11 @@ def salted_join(
     """Shuffle join in which the hot keys of ``fact`` are spread over ``salts`` parts.
 
     Only the dimension rows of hot keys are repeated, so the right side grows by
-    less than HOT_SHARE * salts rows.
+    less than HOT_SHARE * salts rows. Joins that keep unmatched rows of the
+    dimension are refused: each copy would come out.
     """
+    if how not in SALTED:
+        raise ValueError(f"a salted join cannot be {how}")
     on = list(on)
     hot = [k for k in (hot_keys(fact, on) if hot is None else hot) if None not in k]
     if not hot:
@@ -93,9 +96,12 @@ def lookup_join(
     """Join a table of unique keys to a large one.
 
     Broadcast when the dimension's measured size is within bounds, otherwise a
-    salted shuffle join. ``small`` brings a measurement made before.
+    salted shuffle join. ``small`` brings a measurement made before. A right or
+    full join is a plain shuffle join.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if how not in SALTED:
+        return fact.join(dim, on, how)
     if fits_broadcast(dim, max_rows) if small is None else small:
         return fact.join(F.broadcast(dim), on, how)
     return salted_join(fact, dim, on, how)
@@ -108,17 +114,22 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def validate_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` unchanged, or KeyViolation when ``keys`` do not identify its rows."""
-    bad = key_violations(df, keys).head(1)
-    if bad:
-        raise KeyViolation(f"{list(keys)} is not unique: {bad[0].asDict()}")
-    return df
+def checked_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with a check in its plan: reading it fails if ``keys`` do not identify its rows.
+
+    The rows are combined by key, which a join on these keys needs anyway, so
+    nothing is computed or shuffled twice.
+    """
+    keys, rest = list(keys), [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest) if rest else F.lit(1)).alias("_row"))
+    message = F.concat(F.lit(f"{keys} is not unique: "), F.to_json(F.struct(*keys)))
+    whole = one.where(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return whole.select(*[f"_row.{c}" if c in rest else c for c in df.columns])
 
 
 def unique_join(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """One-to-one join; KeyViolation when either side repeats a key."""
-    return validate_key(a, [on]).join(validate_key(b, [on]), on, how)
+    """One-to-one join; reading it fails when either side repeats a key."""
+    return checked_key(a, [on]).join(checked_key(b, [on]), on, how)
 
 
 def contains_all(df: DataFrame, other: DataFrame, on: str) -> bool:

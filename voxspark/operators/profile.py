@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions.text import col
 from voxspark.operators.ordering import (
-    exact_percentiles, split_by_size, top_n_per_group, with_row_number,
+    exact_percentiles, top_n_per_group, with_running_total,
 )
 
-PART_ROWS = 2_000
+PART_BYTES = 16 << 20
 
 
 def _first_present(c: str, order: Sequence[str]) -> Column:
@@ -97,6 +97,11 @@ def group_median(df: DataFrame, key: str, columns: Sequence[str], limit: int = 1
     )
 
 
+def ranked_entities(counts: DataFrame, key: str, n: int = 100, count: str = "count_") -> DataFrame:
+    """The ``n`` entities with most present values, largest first, ties by key."""
+    return counts.orderBy(F.desc(count), key).limit(n)
+
+
 def entity_counts(
     df: DataFrame, key: str, c: str, min_count: int = 10, big: int = 1000
 ) -> DataFrame:
@@ -110,39 +115,40 @@ def entity_counts(
     )
 
 
+def entity_totals(df: DataFrame, keys: Sequence[str], counts: Mapping[str, Column]) -> DataFrame:
+    """(keys, n_rows, counts): one row per entity, combined before the shuffle."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(v), F.lit(0)).alias(n) for n, v in counts.items()]
+    )
+
+
 def entity_document(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], texts: Mapping[str, str],
-    tokens: Mapping[str, str] | None = None, counts: Mapping[str, Column] | None = None,
-    sep: str = "\n", part_rows: int = PART_ROWS,
+    tokens: Mapping[str, str] | None = None, sep: str = "\n", part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """All texts (joined) and token lists (concatenated) of an entity, in order.
-
-    An entity with up to ``part_rows`` rows gives one row, part 0. A larger one
-    gives consecutive parts of that many rows; nothing is cut, and the parts in
-    order are the document. ``order`` must identify a row within the entity.
+    """(keys, part, n_rows, texts, tokens): the ordered document of every entity.
+
+    All texts (joined) and token lists (concatenated), in order. A row belongs to
+    the part in whose ``part_bytes`` bytes of the entity's texts it begins, so a
+    part never holds more than the budget and one row. The same rule holds for
+    every entity; nothing is cut, and the parts in order are the document. Part
+    numbers rise from 0 and skip what a longer row covers. ``order`` must
+    identify a row within the entity.
     """
     keys, order, tokens = list(keys), list(order), dict(tokens or {})
     used = [*dict.fromkeys([*order, *texts.values(), *tokens.values()])]
-    counted = {f"_c{i}": v for i, v in enumerate((counts or {}).values())}
-    data = df.select(*keys, *used, *[v.alias(n) for n, v in counted.items()])
-    small, large = split_by_size(data, keys, part_rows)
-    pieces = small.withColumn("part", F.lit(0).cast("bigint"))
-    if large is not None:
-        numbered = with_row_number(large, keys, order, "_row")
-        pieces = pieces.unionByName(
-            numbered.withColumn("part", F.floor((F.col("_row") - 1) / part_rows)).drop("_row")
-        )
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in dict.fromkeys(texts.values())), F.lit(0)).cast("bigint")
+    upto = with_running_total(df.select(*keys, *used), keys, order, size, "_upto")
+    pieces = upto.withColumn("part", F.floor((F.col("_upto") - size) / part_bytes))
     row = F.struct(
         *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
         *[F.col(c).alias(f"x_{n}") for n, c in {**texts, **tokens}.items()],
     )
     grouped = pieces.groupBy(*keys, "part").agg(
-        F.array_sort(F.collect_list(row)).alias("_rows"),
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.sum(c).alias(n) for c, n in zip(counted, counts or {})],
+        F.array_sort(F.collect_list(row)).alias("_rows"), F.count(F.lit(1)).alias("n_rows"),
     )
     return grouped.select(
-        *keys, "part", "n_rows", *(counts or {}),
+        *keys, "part", "n_rows",
         *[F.array_join(F.col(f"_rows.x_{n}"), sep).alias(n) for n in texts],
         *[F.flatten(F.col(f"_rows.x_{n}")).alias(n) for n in tokens],
     )

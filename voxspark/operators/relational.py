@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions.text import col
-from voxspark.operators.joins import validate_key
+from voxspark.operators.joins import checked_key
 from voxspark.operators.ordering import dedupe_first, join_on_keys, top_n_per_group
 
 
@@ -94,7 +94,7 @@ def argmax(c: Column | str) -> Column:
 
 def assemble(frames: Sequence[DataFrame], key: str) -> DataFrame:
     """Side-by-side features of one entity, joined on its stable key."""
-    return reduce(lambda a, b: a.join(b, key, "full"), [validate_key(f, [key]) for f in frames])
+    return reduce(lambda a, b: a.join(b, key, "full"), [checked_key(f, [key]) for f in frames])
 
 
 def without(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from voxspark.operators.joins import lookup_join
+from voxspark.functions import text as X
+from voxspark.operators.joins import checked_key, lookup_join
 
 # Fixed value: normalisation constant of the published compound score.
 ALPHA = 15
@@ -15,19 +16,22 @@ def lexicon_sentiment(
 ) -> DataFrame:
     """(doc, neg, neu, pos, compound) from a (token, valence) lexicon.
 
-    The lexicon is broadcast after its size is checked, and the exploded tokens
-    of a text combine in their own task, so only one row per text is shuffled.
+    Tokens are counted inside the row, so the join carries one row per distinct
+    word of a text. The lexicon is broadcast after its size is checked; a token
+    that it holds twice is an error.
     """
-    long = df.select(doc, F.explode_outer(tokens).alias("token"))
-    v = F.col("valence")
+    entries = checked_key(lexicon.select("token", "valence"), ["token"])
+    bag = df.select(doc, F.inline_outer(X.token_counts(tokens)))
+    v, n = F.col("valence"), F.col("n")
+    neutral = F.col("token").isNotNull() & F.coalesce(v == 0, F.lit(True))
     per_doc = (
-        lookup_join(long, lexicon.select("token", "valence"), "token", "left")
+        lookup_join(bag, entries, "token", "left")
         .groupBy(doc)
         .agg(
-            F.coalesce(F.sum(v), F.lit(0.0)).alias("_s"),
-            F.coalesce(F.sum(F.when(v > 0, v + 1)), F.lit(0.0)).alias("_p"),
-            F.coalesce(F.sum(F.when(v < 0, 1 - v)), F.lit(0.0)).alias("_n"),
-            F.count_if(F.col("token").isNotNull() & F.coalesce(v == 0, F.lit(True))).alias("_z"),
+            F.coalesce(F.sum(v * n), F.lit(0.0)).alias("_s"),
+            F.coalesce(F.sum(F.when(v > 0, (v + 1) * n)), F.lit(0.0)).alias("_p"),
+            F.coalesce(F.sum(F.when(v < 0, (1 - v) * n)), F.lit(0.0)).alias("_n"),
+            F.coalesce(F.sum(F.when(neutral, n)), F.lit(0)).alias("_z"),
         )
     )
     total = F.col("_p") + F.col("_n") + F.col("_z")

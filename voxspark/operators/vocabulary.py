@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from voxspark.functions import text as X
-from voxspark.operators.joins import hot_keys, lookup_join, salted_join
+from voxspark.operators.joins import checked_key, hot_keys, lookup_join, salted_join
 from voxspark.session import settle
 
 
@@ -38,15 +38,19 @@ def group_word_counts(df: DataFrame, key: str, tokens: str) -> DataFrame:
 
 
 def word_points(
-    df: DataFrame, key: str, doc: str, tokens: str, counts: DataFrame, points: str = "text_points"
+    df: DataFrame, key: str, doc: str, tokens: str, counts: DataFrame | None = None, points: str = "text_points"
 ) -> DataFrame:
     """(key, doc, points): sum over a text's tokens of its entity's count of each.
 
-    Tokens are counted inside the row, so the join carries one row per distinct
-    word of a text. Words the entity does not count add 0. The counts themselves
-    tell which words of which entity are hot; those are salted.
+    Tokens are counted inside the row and the bag is written once; the entity's
+    counts come from it unless they are given. The join carries one row per
+    distinct word of a text, and words the entity does not count add 0. The
+    counts tell which words of which entity are hot; those are salted.
     """
-    bag = df.select(key, doc, F.inline_outer(X.token_counts(tokens)))
+    bag = settle(df.select(key, doc, F.inline_outer(X.token_counts(tokens))))
+    if counts is None:
+        known = bag.where(F.col(key).isNotNull() & F.col("token").isNotNull())
+        counts = known.groupBy(key, "token").agg(F.sum("n").alias("n_group"))
     counts = settle(counts)
     hot = hot_keys(bag, [key, "token"], counts=counts, n="n_group")
     matched = salted_join(bag, counts, [key, "token"], "left", hot=hot)
@@ -60,18 +64,18 @@ def reduce_tokens(
 ) -> DataFrame:
     """Replace word forms by the dictionary's (form, canonical), in place and order.
 
-    Only distinct forms meet the dictionary. A form it lacks stays as it is.
+    Only the distinct forms of a document meet the dictionary; the document then
+    rewrites its tokens inside the row. A form the dictionary lacks stays as it
+    is, and one that it holds twice is an error.
     """
-    long = df.select(doc, F.posexplode(tokens).alias("pos", "form"))
-    mapped = lookup_join(long, dictionary.select("form", "canonical"), "form", "left")
-    rebuilt = mapped.groupBy(doc).agg(
-        F.array_sort(
-            F.collect_list(F.struct("pos", F.coalesce("canonical", "form").alias("t")))
-        ).alias("_s")
-    )
+    entries = checked_key(dictionary.select("form", "canonical"), ["form"])
+    forms = df.select(doc, F.explode(F.array_distinct(tokens)).alias("form"))
+    found = lookup_join(forms, entries, "form", "inner").where("canonical IS NOT NULL")
+    maps = found.groupBy(doc).agg(F.map_from_entries(F.collect_list(F.struct("form", "canonical"))).alias("_m"))
+    rewritten = F.transform(F.col(tokens), lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t))
     empty = F.array().cast("array<string>")
     return (
-        df.join(rebuilt, doc, "left")
-        .withColumn(out, F.coalesce(F.col("_s.t"), empty))
-        .drop("_s")
+        df.join(maps, doc, "left")
+        .withColumn(out, F.coalesce(F.when(F.col("_m").isNull(), F.col(tokens)).otherwise(rewritten), empty))
+        .drop("_m")
     )

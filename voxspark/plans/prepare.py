@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from voxspark import schemas as S
 from voxspark.functions import parsers as P, text as X
 from voxspark.operators import profile
-from voxspark.operators.joins import lookup_join, validate_key
+from voxspark.operators.joins import checked_key, lookup_join
 from voxspark.operators.ordering import dedupe_first
 from voxspark.operators.relational import consolidate, select_rename
 
@@ -32,6 +32,13 @@ PLACE_REPORT = {
     "user_is_local_guide": ("user_is_local_guide", "sum"),
 }
 
+# The per-place aggregates of the text report.
+TEXT_REPORT = {
+    "place_name": ("place_name", "first"),
+    **{c: (c, "count") for c in ("review_id", "text", "response_text")},
+    **{c: (c, "sum") for c in ("words_len", "tokens_len")},
+}
+
 
 def join_sources(inputs: DataFrame, meta: DataFrame, reviews: DataFrame) -> DataFrame:
     """Review rows with the columns of their place.
@@ -40,8 +47,8 @@ def join_sources(inputs: DataFrame, meta: DataFrame, reviews: DataFrame) -> Data
     input list and ``file_name`` in the metadata.
     """
     renamed = inputs.withColumnsRenamed({"name": "name_input", "n_reviews": "n_reviews_input"})
-    hotels = validate_key(renamed, ["url"]).join(meta, "url", "inner")
-    return lookup_join(reviews, validate_key(hotels, ["file_name"]), "file_name", "inner")
+    hotels = checked_key(renamed, ["url"]).join(meta, "url", "inner")
+    return lookup_join(reviews, checked_key(hotels, ["file_name"]), "file_name", "inner")
 
 
 def first_reviews(df: DataFrame) -> DataFrame:
@@ -67,9 +74,13 @@ def prepare(df: DataFrame) -> DataFrame:
 
 
 def place_report(df: DataFrame) -> DataFrame:
-    """Counts, first values, means and coverage per place name."""
-    spec = {n: (c, how) for n, (c, how) in PLACE_REPORT.items() if c in df.columns}
-    per_place = profile.entity_summary(df, "name", spec, ["retrieval_date", "review_id"])
+    """Counts, first values, means and coverage per place name.
+
+    A column that the table lacks counts as empty: its counts are 0, its other
+    aggregates NULL.
+    """
+    absent = {c: F.lit(None).cast("double") for c in dict.fromkeys(c for c, _ in PLACE_REPORT.values()) if c not in df.columns}
+    per_place = profile.entity_summary(df.withColumns(absent), "name", PLACE_REPORT, ["retrieval_date", "review_id"])
     return profile.coverage(per_place, "n_reviews", "review_id", "text")
 
 
@@ -102,6 +113,20 @@ def text_table(df: DataFrame, columns: tuple = ("text", "response_text"), stopwo
     return df
 
 
+def hotel_counts(df: DataFrame) -> DataFrame:
+    """Reviews, and those with text and with a response, per hotel: one row each."""
+    return profile.entity_totals(df, ["name"], {
+        "review_count": F.col("review_id").isNotNull().cast("int"),
+        "text_count": F.col("has_text").cast("int"),
+        "response_text_count": F.col("has_response_text").cast("int"),
+    })
+
+
+def text_report(df: DataFrame, order: tuple = ("review_date", "review_id")) -> DataFrame:
+    """Place name, reviews, texts, responses, words and tokens per hotel."""
+    return profile.entity_summary(df, "name", TEXT_REPORT, list(order))
+
+
 def hotel_documents(df: DataFrame, order: tuple = ("review_date", "review_id"), **options) -> DataFrame:
     """All prepared texts and tokens per hotel (see ``entity_document`` for its parts)."""
     texts = {f"{c}_sum": c for c in (
@@ -110,13 +135,5 @@ def hotel_documents(df: DataFrame, order: tuple = ("review_date", "review_id"),
     tokens = {f"{c}_sum": c for c in (
         "text_tokens", "response_text_tokens", "highlights_tokens",
     ) if c in df.columns}
-    docs = profile.entity_document(
-        df, ["name"], order, texts, tokens,
-        counts={
-            "review_count": F.col("review_id").isNotNull().cast("int"),
-            "text_count": F.col("has_text").cast("int"),
-            "response_text_count": F.col("has_response_text").cast("int"),
-        },
-        **options,
-    )
+    docs = profile.entity_document(df, ["name"], order, texts, tokens, **options)
     return docs.withColumns({c: X.space_marks(c) for c in texts})

@@ -12,18 +12,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark import fixed_values as V
 from voxspark.functions import parsers as P
+from voxspark.functions.filters import compile_filter, parse_filter
 from voxspark.operators.joins import keep_not_in
 from voxspark.operators.ordering import top_n_per_group
-from voxspark.operators.vectors import search_within
-
+from voxspark.operators.relational import union_all
+from voxspark.operators.vectors import search, search_within
+from voxspark.session import settle
 
 MAX_CRITERIA = 1000
+MAX_FILTERS = 200
 
 
 def fill(template: str, values: Mapping[str, Column]) -> Column:
     """A text template with ``{name}`` places filled from columns.
 
     The template is cut at its places, so inserted text is never scanned again.
+    A missing value leaves its place as V.UNKNOWN.
     """
     parts, rest = [], template
     while rest:
@@ -31,22 +35,27 @@ def fill(template: str, values: Mapping[str, Column]) -> Column:
         if not found:
             break
         at, name = min(found)
-        parts += [F.lit(rest[:at]), values[name]]
+        parts += [F.lit(rest[:at]), _known(values[name])]
         rest = rest[at + len(name) + 2 :]
     return F.concat(*parts, F.lit(rest))
 
 
+def _known(c: Column | str) -> Column:
+    """A value as text; what is not known is said to be so."""
+    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(V.UNKNOWN))
+
+
 def _whole(c: str) -> Column:
-    return F.col(c).cast("bigint").cast("string")
+    return _known(F.col(c).cast("bigint"))
 
 
 def hotel_header() -> Column:
     """Three header lines of the hotel a review belongs to."""
     return F.concat(
-        F.lit("Hotel: "), F.col("nome"), F.lit(", "), _whole("estrelas"), F.lit(" Estrelas.\n"),
-        F.lit("Região:"), F.col("regiao"), F.lit("; Estado:"), F.col("estado"),
-        F.lit("; Cidade:"), F.col("cidade"), F.lit("\nTipo:"), F.col("subcategoria"),
-        F.lit("; Classificação:"), F.col("classificacao_geral").cast("string"),
+        F.lit("Hotel: "), _known("nome"), F.lit(", "), _whole("estrelas"), F.lit(" Estrelas.\n"),
+        F.lit("Região:"), _known("regiao"), F.lit("; Estado:"), _known("estado"),
+        F.lit("; Cidade:"), _known("cidade"), F.lit("\nTipo:"), _known("subcategoria"),
+        F.lit("; Classificação:"), _known("classificacao_geral"),
         F.lit("; Quantidade Avaliações:"), _whole("quantidade_avaliacoes"), F.lit("\n"),
     )
 
@@ -54,7 +63,7 @@ def hotel_header() -> Column:
 def render_review(
     rank: Column | str, score: Column | str | None = None, with_hotel: bool = True
 ) -> Column:
-    """One review as a context block; missing sub-ratings are left out."""
+    """One review as a context block; missing sub-ratings are left out, the rest is V.UNKNOWN."""
     no = F.col(rank) if isinstance(rank, str) else rank
     likeness = F.lit("")
     if score is not None:
@@ -72,10 +81,10 @@ def render_review(
         F.coalesce(F.col("usuario_guia_local") != 0, F.lit(True)), V.LOCAL_GUIDE
     ).otherwise(V.NOT_LOCAL_GUIDE)
     return F.concat(
-        F.lit(" - Avaliação "), no.cast("string"), likeness, F.lit("\n"),
+        F.lit(" - Avaliação "), _known(no), likeness, F.lit("\n"),
         hotel_header() if with_hotel else F.lit(""),
         F.lit("Nota:"), _whole("nota_avaliacao"), F.lit("; Curtidas:"), _whole("curtidas_avaliacao"),
-        guide, *notes, F.lit("\nAvaliação: "), F.col("text"), F.lit("\n\n"),
+        guide, *notes, F.lit("\nAvaliação: "), _known("text"), F.lit("\n\n"),
     )
 
 
@@ -120,13 +129,13 @@ def newest_context(
     return hotel_context(newest, [key], **options)
 
 
-def ask_full(hotel: Column, topics: Sequence[str] = V.TOPICS) -> Column:
+def ask_full(hotel: Column, topics: Sequence[str]) -> Column:
     """The instruction that asks for all topics at once."""
     listed = "".join(f"{i}. {t}\n" for i, t in enumerate(topics, 1))
     return F.concat(fill(V.ASK_FULL_HEAD, {"hotel": hotel}), F.lit(listed + V.ASK_FULL_TAIL))
 
 
-def topic_table(hotels: DataFrame, key: str = "nome", topics: Sequence[str] = V.TOPICS) -> DataFrame:
+def topic_table(hotels: DataFrame, topics: Sequence[str], key: str = "nome") -> DataFrame:
     """(key, topic_no, positive, topic, query): every topic in both polarities.
 
     The topics are a constant array on each row, so no join is involved.
@@ -157,21 +166,21 @@ def polarity_filter(positive: str = "positive", note: str = "nota_avaliacao") ->
     )
 
 
-def full_prompts(contexts: DataFrame, key: str = "nome", template: str = V.SUMMARY_PROMPT, topics: Sequence[str] = V.TOPICS) -> DataFrame:
+def full_prompts(contexts: DataFrame, template: str, topics: Sequence[str], key: str = "nome") -> DataFrame:
     """(key, prompt, context): one summary prompt per hotel."""
     query = ask_full(F.col(key), topics)
     return contexts.withColumn("prompt", fill(template, {"context": F.col("context"), "query": query}))
 
 
 def topic_prompts(
-    docs: DataFrame, topic_queries: DataFrame, id: str, vector: str, query_vector: str,
-    n: int = 100, key: str = "nome", metric: str = "ip", template: str = V.SUMMARY_PROMPT,
+    docs: DataFrame, topic_queries: DataFrame, id: str, vector: str, query_vector: str, template: str,
+    n: int = 100, key: str = "nome", metric: str = "ip",
 ) -> DataFrame:
     """Prompt per (hotel, topic, polarity) from its ``n`` most similar fitting reviews.
 
     ``topic_queries`` is ``topic_table`` with a query vector. Per hotel and topic
     the reviews are ranked where they lie; only the best ``n`` ids are joined
-    back to their texts.
+    back to their texts. A topic without a fitting review has an empty context.
     """
     queries = topic_queries.withColumn("_query", F.struct("topic_no", "positive"))
     best = search_within(
@@ -183,13 +192,30 @@ def topic_prompts(
     keys = [key, "topic_no", "positive"]
     contexts = hotel_context(rows, keys, score="score")
     asked = topic_queries.select(*keys, "topic", "query")
-    return asked.join(contexts, keys).withColumn(
+    return asked.join(contexts, keys, "left").na.fill({"n_blocks": 0, "context": ""}).withColumn(
         "prompt", fill(template, {"context": F.col("context"), "query": F.col("query")})
     )
 
 
+def similar_prompts(
+    docs: DataFrame, queries: DataFrame, id: str, vector: str, query_vector: str, template: str,
+    topics: Sequence[str], n: int = 100, key: str = "nome", metric: str = "ip",
+) -> DataFrame:
+    """(key, n_blocks, context, prompt): a full summary from the ``n`` reviews nearest to its instruction.
+
+    ``queries`` has one row per hotel with the vector of its ``ask_full`` text.
+    """
+    asked = queries.withColumn("_query", F.lit(0))
+    best = search_within(
+        docs, asked, on=key, id=id, vector=vector, query_id="_query", query_vector=query_vector, metric=metric, n=n)
+    rows = best.select(key, id, "score", "rank").join(docs.drop(vector), [key, id])
+    contexts = hotel_context(rows, [key], score="score")
+    out = queries.select(key).join(contexts, key, "left").na.fill({"n_blocks": 0, "context": ""})
+    return full_prompts(out, template, topics, key)
+
+
 def final_prompts(
-    replies: DataFrame, key: str = "nome", template: str = V.SUMMARY_PROMPT, topics: Sequence[str] = V.TOPICS
+    replies: DataFrame, template: str, topics: Sequence[str], key: str = "nome"
 ) -> DataFrame:
     """(key, context, prompt): the topic replies of a hotel merged into one prompt.
 
@@ -199,11 +225,11 @@ def final_prompts(
         fill(V.FINAL_TITLE[False], {"topic": F.col("topic")})
     )
     ordered = replies.withColumn("_r", F.col("topic_no") * 2 + F.when(F.col("positive"), 0).otherwise(1))
-    merged = blocks_in_order(ordered, [key], "_r", F.concat(title, F.col("response"), F.lit("\n")), "_blocks")
+    merged = blocks_in_order(ordered, [key], "_r", F.concat(title, _known("response"), F.lit("\n")), "_blocks")
     out = merged.withColumn(
         "context", F.concat(fill(V.FINAL_INTRO, {"hotel": F.col(key)}), F.col("_blocks"))
     ).drop("_blocks")
-    return full_prompts(out, key, template, topics)
+    return full_prompts(out, template, topics, key)
 
 
 def eval_prompts(
@@ -245,6 +271,41 @@ def parsed_questions(df: DataFrame, reply: str, question: str) -> DataFrame:
     return df.withColumns({"filter_json": parsed["filter_json"], "asked": parsed["question"]})
 
 
+def answer_prompts(
+    docs: DataFrame, questions: DataFrame, *, id: str, vector: str, query_id: str, question: str, reply: str,
+    query_vector: str, template: str, n: int = 5, metric: str = "ip", max_filters: int = MAX_FILTERS,
+) -> DataFrame:
+    """(query_id, filter_json, context, prompt): each question answered under the filter of its reply.
+
+    ``reply`` is the model's answer to "which filter?". One that is no filter
+    document, or one that does not fit the index columns, filters nothing.
+    Questions with the same filter are searched together, one scan for each
+    distinct filter; more than ``max_filters`` of them are refused.
+    """
+    parsed = settle(parsed_questions(questions, reply, question))
+    filters = [r[0] for r in parsed.select("filter_json").distinct().orderBy("filter_json").limit(max_filters + 1).collect()]
+    if len(filters) > max_filters:
+        raise ValueError(f"more than {max_filters} distinct filters")
+    found = []
+    for text in filters:
+        own = parsed.where(F.col("filter_json").eqNullSafe(F.lit(text)))
+        found.append(search(
+            docs, own, id=id, vector=vector, query_id=query_id, query_vector=query_vector, metric=metric, n=n,
+            where=_lenient_filter(text, docs)))
+    ranked = union_all(found) if found else None
+    if ranked is None:
+        return parsed.select(query_id, "filter_json", F.lit("").alias("context"), F.lit("").alias("prompt"))
+    out = question_prompts(ranked.join(docs.drop(vector), id), parsed, query_id, question, template)
+    return parsed.select(query_id, "filter_json").join(out.drop(question), query_id)
+
+
+def _lenient_filter(text: str | None, docs: DataFrame) -> Column:
+    try:
+        return compile_filter(parse_filter(text), docs.schema)
+    except (ValueError, TypeError, AttributeError):
+        return F.lit(True)
+
+
 def question_prompts(
     ranked: DataFrame, questions: DataFrame, query_id: str, question: str, template: str
 ) -> DataFrame:

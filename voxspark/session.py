@@ -40,10 +40,16 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten.
 
-    All paths of an application share one folder, which can go when it is done.
+    All paths of an application share one folder, which is deleted when it ends.
     """
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/voxspark-{app}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/voxspark-{app}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

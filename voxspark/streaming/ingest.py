@@ -74,14 +74,11 @@ def run_to_folder(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Run an aggregate over all that is there; the last complete result.
 
     Every batch writes its own folder, so a batch that runs again after a failure
-    replaces only itself.
+    replaces only itself. The result is the newest folder that was written to the
+    end, so a restart without new rows returns what was there before.
     """
-    last = []
-
     def write(batch: DataFrame, number: int) -> None:
-        path = f"{out}/batch={number}"
-        batch.write.mode("overwrite").parquet(path)
-        last.append(path)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     query = (
         stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
@@ -89,4 +86,15 @@ def run_to_folder(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     spark = stream.sparkSession
-    return spark.read.schema(stream.schema).parquet(last[-1]) if last else spark.createDataFrame([], stream.schema)
+    last = _last_batch(spark, out)
+    if last is None:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch={last}")
+
+
+def _last_batch(spark: SparkSession, out: str) -> int | None:
+    """Number of the newest batch folder that carries its success mark."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/batch=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    numbers = [int(f.getPath().getParent().getName().split("=")[1]) for f in found or []]
+    return max(numbers, default=None)
