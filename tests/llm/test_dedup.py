@@ -133,10 +133,9 @@ def test_estimate_takes_chance_out():
 
 def test_lanes_are_counted_in_the_engine(spark):
     rng = np.random.default_rng(1)
-    signer = minhash.Signer()
     m = rng.integers(0, 1 << 32, (6, minhash.HASHES), dtype=np.uint32)
     m[1] = m[0]
-    sig = signer.packed(m).tolist()
+    sig = minhash._packed(m, minhash.BITS).tolist()
     got = spark.createDataFrame([(sig[i], sig[j]) for i in range(6) for j in range(6)], "x array<long>, y array<long>").select(
         minhash.equal_lanes(F.col("x"), F.col("y"))).collect()
     assert [r[0] for r in got] == [int(((m[i] & 3) == (m[j] & 3)).sum()) for i in range(6) for j in range(6)]

@@ -9,10 +9,10 @@ whose estimate could belong to a true link are confirmed on their full sets.
 At a similarity of 0.75 a pair shares a band with a chance of 1 - 5e-6, and a
 true pair falls below the estimate's floor (five standard deviations) with a
 chance of about 1e-6. Exact copies form one class and never meet as pairs. Each
-member of a band's bucket is first compared with one pivot, then, if that leaves
-its buckets unconnected, with others. What is still unconnected is compared with
-all of the bucket's other components, so nothing is lost, and a large group of
-near copies costs pairs in proportion to its size.
+member of a band's bucket is first compared with one pivot. What is still
+unconnected is compared with all of the bucket's other components, so nothing is
+lost, but members of one component never meet again: a large group of near
+copies costs pairs in proportion to its size and to what stays outside of it.
 """
 
 from __future__ import annotations
@@ -31,22 +31,24 @@ from voxspark.session import settle
 
 HASHES, BAND_ROWS, BITS = 128, 4, 2
 BANDS = HASHES // BAND_ROWS
-LANES = 64 // BITS
+#: One-bit minima of the finer signature, made only for documents that are still in question.
+FINE = 1024
 _ODD_LANES = 0x5555555555555555
 
 
 class Signer:
-    def __init__(self, seed: int = 11):
+    def __init__(self, hashes: int = HASHES, seed: int = 11):
         rng = np.random.default_rng(seed)
-        self.a = (rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-        self.b = rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
+        self.a = (rng.integers(0, 1 << 31, hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+        self.b = rng.integers(0, 1 << 32, hashes, dtype=np.uint32)[:, None]
         self.salt = rng.integers(0, 1 << 63, BANDS, dtype=np.uint64)
 
     def minima(self, shingles: np.ndarray) -> np.ndarray:
         x = (shingles >> np.uint64(32)).astype(np.uint32)
-        low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-        for at in range(0, len(x), 2048):
-            np.minimum(low, (x[at : at + 2048] * self.a + self.b).min(axis=1), out=low)
+        low = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
+        step = max(1, (1 << 18) // len(self.a))
+        for at in range(0, len(x), step):
+            np.minimum(low, (x[at : at + step] * self.a + self.b).min(axis=1), out=low)
         return low
 
     def bands(self, minima: np.ndarray) -> np.ndarray:
@@ -57,10 +59,12 @@ class Signer:
             key = mixed(key + rows[:, :, j])
         return key.view(np.int64)
 
-    def packed(self, minima: np.ndarray) -> np.ndarray:
-        """(documents, HASHES * BITS / 64) longs of the minima's low bits."""
-        low = (minima & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(minima), -1, LANES)
-        return (low << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+def _packed(minima: np.ndarray, bits: int) -> np.ndarray:
+    """(documents, hashes * bits / 64) longs of the minima's low bits."""
+    lanes = 64 // bits
+    low = (minima & np.uint32((1 << bits) - 1)).astype(np.uint64).reshape(len(minima), -1, lanes)
+    return (low << (np.arange(lanes, dtype=np.uint64) * np.uint64(bits))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -81,7 +85,7 @@ def signatures(texts: DataFrame, width: int = 5) -> DataFrame:
             none = n == 0
             minima = np.stack([signer.minima(s) for s in sets])
             digest = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets])
-            sig, bands = _lists(signer.packed(minima)), _lists(signer.bands(minima))
+            sig, bands = _lists(_packed(minima, BITS)), _lists(signer.bands(minima))
             return pa.RecordBatch.from_arrays([
                 part.column("id"), pa.array(n), pa.array(digest[:, 0], mask=none), pa.array(digest[:, 1], mask=none),
                 sig, bands,
@@ -111,29 +115,29 @@ def shingle_sets(texts: DataFrame, width: int = 5) -> DataFrame:
     return per_slice(texts, work, "id long, d1 long, d2 long, shingles array<long>")
 
 
-def equal_lanes(a: Column, b: Column) -> Column:
-    """How many of the HASHES low-bit lanes agree."""
+def equal_lanes(a: Column, b: Column, hashes: int = HASHES, bits: int = BITS) -> Column:
+    """How many of the low-bit lanes agree (lanes of one or two bits)."""
     off = F.lit(0)
-    for i in range(HASHES // LANES):
+    for i in range(hashes * bits // 64):
         x = a[i].bitwiseXOR(b[i])
-        off = off + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_ODD_LANES)))
-    return F.lit(HASHES) - off
+        off = off + F.bit_count(x if bits == 1 else x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_ODD_LANES)))
+    return F.lit(hashes) - off
 
 
-def estimate(equal: Column) -> Column:
+def estimate(equal: Column, hashes: int = HASHES, bits: int = BITS) -> Column:
     """Similarity with the chance agreement of the low bits taken out."""
-    chance = 2.0 ** -BITS
-    return (equal / F.lit(float(HASHES)) - chance) / (1 - chance)
+    chance = 2.0 ** -bits
+    return (equal / F.lit(float(hashes)) - chance) / (1 - chance)
 
 
-def floor_of(threshold: float, deviations: float = 5.0) -> float:
+def floor_of(threshold: float, hashes: int = HASHES, bits: int = BITS, deviations: float = 5.0) -> float:
     """The estimate that a pair at the threshold falls below only beyond so many standard deviations."""
-    chance = 2.0 ** -BITS
+    chance = 2.0 ** -bits
     p = threshold + (1 - threshold) * chance
-    return threshold - deviations * math.sqrt(p * (1 - p) / HASHES) / (1 - chance)
+    return threshold - deviations * math.sqrt(p * (1 - p) / hashes) / (1 - chance)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5, pivots: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, class_id, component_id, kept.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the
@@ -177,17 +181,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = members.groupBy("node").agg(F.min("pivot").alias("pivot"))
     links = confirmed(plausible(ordered(first, "node", "pivot")))
     parts = components(links)
-    for turn in range(pivots):
-        open_ = _open_members(members, parts)
-        if turn < pivots - 1:
-            dice = F.xxhash64("node", F.lit(turn))
-            pivot = open_.groupBy("key").agg(F.min_by(F.struct("node", "part", dice.alias("dice")), dice).alias("p"))
-            pairs = open_.join(pivot, "key").where("part <> p.part").groupBy("node").agg(F.min_by("p.node", "p.dice").alias("pivot"))
-            pairs = plausible(ordered(pairs, "node", "pivot"))
-        else:
-            pairs = _across(open_.join(info, "node"), percent)
-        links = links.union(confirmed(pairs))
-        parts = components(links)
+    links = links.union(confirmed(_across(_open_members(members, parts), sets, percent)))
+    parts = components(links)
     parts = settle(parts)
     named = classes.select("d1", "d2", "node").join(parts, "node", "left").select(
         "d1", "d2", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
@@ -210,18 +205,49 @@ def _open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
     return settle(own.join(split, "key", "left_semi"))
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs of a bucket between members of different components.
+def _fine_facts(sets: DataFrame) -> DataFrame:
+    """node, n, common and fine of each set.
+
+    ``common`` is the number of its shingles that another of these sets has too;
+    no pair can share more. ``fine`` packs the lowest bit of FINE minima.
+    """
+    def work():
+        signer = Signer(hashes=FINE, seed=23)
+
+        def step(part: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [np.asarray(x.values).view(np.uint64) for x in part.column("shingles")]
+            minima = np.stack([signer.minima(x) for x in rows])
+            return pa.RecordBatch.from_arrays(
+                [part.column("node"), pa.array([len(x) for x in rows], pa.int64()), _lists(_packed(minima, 1))], ["node", "n", "fine"])
+
+        return step
+
+    fine = per_slice(sets, work, "node long, n long, fine array<long>")
+    single = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("node").alias("node"))
+    single = single.where("c = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    return fine.join(single, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "fine")
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs of a bucket between members of different components, each pair once.
 
     One side leaves out the bucket's largest component, so that its members
-    never meet each other.
+    never meet each other. What is left is sifted by exact bounds on the
+    similarity and by a finer signature of the few documents that are left, with
+    the same margin of five standard deviations.
     """
+    own = sets.join(members.select("node").distinct(), "node", "left_semi")
+    facts = settle(_fine_facts(own).join(members.groupBy("node").agg(F.collect_list("key").alias("keys")), "node"))
     sizes = members.groupBy("key", "part").count()
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
-    small = members.join(main, "key").where("part <> main").select(
-        "key", F.col("node").alias("x"), F.col("part").alias("px"), F.col("n").alias("nx"), F.col("sig").alias("sx"), "main")
-    every = members.select("key", F.col("node").alias("y"), F.col("part").alias("py"), F.col("n").alias("ny"), F.col("sig").alias("sy"))
+    rows = members.join(facts, "node").select("key", F.struct("node", "part", "n", "common", "fine", "keys").alias("m"))
+    small = rows.join(main, "key").where("m.part <> main").select("key", "main", F.col("m").alias("x"))
+    every = rows.select("key", F.col("m").alias("y"))
     # two small members meet once; a small one meets each of the main part
-    once = (F.col("py") == F.col("main")) | (F.col("x") < F.col("y"))
-    pairs = small.join(every, "key").where((F.col("px") != F.col("py")) & once & _may_link("nx", "ny", "sx", "sy", percent))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    once = (F.col("y.part") == F.col("main")) | (F.col("x.node") < F.col("y.node"))
+    shared = F.least("x.common", "y.common")
+    bound = shared * 100 >= (F.col("x.n") + F.col("y.n") - shared) * percent
+    near = estimate(equal_lanes(F.col("x.fine"), F.col("y.fine"), FINE, 1), FINE, 1) >= floor_of(percent / 100, FINE, 1)
+    here = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("key")
+    pairs = small.join(every, "key").where((F.col("x.part") != F.col("y.part")) & once & bound & near & here)
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
