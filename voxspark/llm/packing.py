@@ -26,9 +26,10 @@ from voxspark.llm.common import in_slices
 from voxspark.session import settle
 
 K1, B = 1.2, 0.75
-#: One chunk a line: lower-case letters that Unicode composition leaves alone, then ASCII signs without the apostrophe.
-_PLAIN = re.compile(r"(?m)^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$")
-_MOST = 300_000
+#: ASCII signs without the apostrophe, and letters beyond ASCII that Unicode composition leaves alone.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_LATIN = re.compile(r"[a-zß-öø-ÿ]+")
+_MOST = 500_000
 
 
 class _Numbered(dict):
@@ -47,10 +48,11 @@ class _Numbered(dict):
 class WordTokens:
     """Token ids of whole texts by the word tokenizer, for each blank-separated chunk once.
 
-    No token crosses a blank. A chunk of plain letters and trailing signs is cut
-    as the tokenizer's own pattern does, and the parts are merged by the same
-    vocabulary without its normaliser; any other chunk goes through it whole.
-    New chunks are encoded together, and forgotten when there are too many.
+    No token crosses a blank. A chunk of plain letters and trailing signs has two
+    parts, as the tokenizer's own pattern cuts it, which are merged by the same
+    vocabulary without its normaliser; any other chunk goes through it whole as
+    one part. New parts are encoded together, and forgotten when there are too
+    many chunks.
     """
 
     def __init__(self, path: str):
@@ -62,18 +64,27 @@ class WordTokens:
         self.forget()
 
     def forget(self) -> None:
-        self.chunks, self.parts = _Numbered(), {"": []}
+        self.chunks, self.parts = _Numbered(), _Numbered()
+        self.pairs = np.empty((0, 2), np.int32)  # the two parts of each chunk
         self.flat, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _learn(self) -> None:
-        chunks, self.chunks.new = [c.decode("utf-8") for c in self.chunks.new], []
-        cut = [m.groups() for m in _PLAIN.finditer("\n".join(chunks).lower())]
-        unknown = list({p for pair in cut if pair[0] for p in pair if p not in self.parts})
-        for part, got in zip(unknown, self.bare.encode_batch_fast(unknown, add_special_tokens=False)):
-            self.parts[part] = got.ids
-        other = [c for c, (word, _) in zip(chunks, cut) if not word]
-        rest = iter(self.whole.encode_batch_fast(other, add_special_tokens=False))
-        ids = [self.parts[word] + self.parts[signs] if word else next(rest).ids for word, signs in cut]
+        """Cut the new chunks and encode the parts that are new."""
+        chunks, self.chunks.new = self.chunks.new, []
+        parts, pairs = self.parts, []
+        for raw in chunks:
+            chunk = raw.decode("utf-8")
+            low = chunk.lower()
+            word = low.rstrip(_SIGNS)
+            if word.isalpha() and (word.isascii() or _LATIN.fullmatch(word)):
+                pairs += (parts[word], parts[low[len(word) :]])
+            else:
+                pairs += (parts[chunk, None], parts[""])
+        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int32).reshape(-1, 2)])
+        new, parts.new = parts.new, []
+        bare = iter(self.bare.encode_batch_fast([p for p in new if isinstance(p, str)], add_special_tokens=False))
+        whole = iter(self.whole.encode_batch_fast([p[0] for p in new if not isinstance(p, str)], add_special_tokens=False))
+        ids = [next(bare if isinstance(p, str) else whole).ids for p in new]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
@@ -87,10 +98,11 @@ class WordTokens:
         at = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(rows)), np.int64, int(count.sum()))
         if self.chunks.new:
             self._learn()
-        size = self.size[at]
+        part = self.pairs[at].reshape(-1)
+        size = self.size[part]
         ends = np.concatenate([[0], np.cumsum(size)])
-        flat = self.flat[np.repeat(self.start[at] - ends[:-1], size) + np.arange(ends[-1])]
-        return np.split(flat, ends[np.cumsum(count)][:-1]) if len(rows) else []
+        flat = self.flat[np.repeat(self.start[part] - ends[:-1], size) + np.arange(ends[-1])]
+        return np.split(flat, ends[2 * np.cumsum(count)][:-1]) if len(rows) else []
 
     def __call__(self, text: str) -> np.ndarray:
         return self.many([text])[0]
