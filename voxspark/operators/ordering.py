@@ -116,8 +116,9 @@ def with_row_number(
 
     Rows are range-partitioned and sorted by key and order, so a hot key spreads
     over many partitions, and written with their position in the partition. One
-    small row per key and partition then tells where each partition starts; the
-    rows themselves are not shuffled again. ``order`` must be unique per key.
+    small row per key and partition then tells where each partition starts. These
+    rows are joined back: by broadcast while they are few, else by a shuffle.
+    Without keys their sums are one window over a row per partition. ``order`` must be unique per key.
     """
     keys = list(keys)
     by = [*[F.col(k) for k in keys], *[col(o) for o in order]]

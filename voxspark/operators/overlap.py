@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions import text as X
-from voxspark.session import by_key
 
 
 def rouge_tokens(c: Column | str) -> Column:
@@ -20,15 +19,19 @@ def bleu_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(X.col(c), F.lit(rf"({X.WORD}|[^\s\p{{L}}\p{{N}}_])"), 1)
 
 
-def _grams(tokens: Column, orders: range | tuple) -> Column:
-    """All n-grams of all orders as an array of (n, gram)."""
-    def of_order(n: int) -> Column:
-        return F.transform(
-            X.ngrams(tokens, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
-        )
+_NONE = F.array().cast("array<string>")
+
+
+def _numbered(grams: Column) -> Column:
+    """The grams with their occurrence numbers: a bag written as a set.
+
+    The intersection of two such sets has the smaller count of every gram, their
+    union the larger one.
+    """
+    def each(c: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), c["n"]), lambda k: F.concat(c["token"], F.lit("\x00"), k.cast("string")))
 
-    per_order = [of_order(n) for n in orders]
-    return F.concat(*per_order)
+    return F.coalesce(F.flatten(F.transform(X.token_counts(grams), each)), _NONE)
 
 
 def rouge(
@@ -36,38 +39,25 @@ def rouge(
 ) -> DataFrame:
     """(pair, n, precision, recall, fmeasure) of summary against reference.
 
-    ``pair`` identifies a row. Only the texts are shuffled, by pair; their n-grams
-    are made, counted and summed where they are.
+    ``pair`` identifies a row. N-grams are counted and compared inside the row,
+    so nothing is shuffled. A missing text has no n-grams.
     """
-    tokens = by_key(df.select(pair, reference, summary), pair).select(
-        pair, rouge_tokens(reference).alias("_r"), rouge_tokens(summary).alias("_h")
-    )
-    sides = F.concat(
-        F.transform(_grams(F.col("_r"), orders), lambda g: F.struct(g.n.alias("n"), g.gram.alias("gram"), F.lit(1).alias("r"), F.lit(0).alias("h"))),
-        F.transform(_grams(F.col("_h"), orders), lambda g: F.struct(g.n.alias("n"), g.gram.alias("gram"), F.lit(0).alias("r"), F.lit(1).alias("h"))),
-    )
-    per_gram = (
-        tokens.select(pair, F.inline_outer(sides))
-        .groupBy(pair, "n", "gram")
-        .agg(F.sum("r").alias("r"), F.sum("h").alias("h"))
-    )
-    totals = per_gram.groupBy(pair).agg(*[
-        F.struct(*[
-            F.coalesce(F.sum(F.when(F.col("n") == n, v)), F.lit(0)).alias(name)
-            for name, v in (("r", F.col("r")), ("h", F.col("h")), ("m", F.least("r", "h")))
-        ]).alias(f"_{n}")
-        for n in orders
-    ])
-    each = F.array(*[
-        F.struct(
-            F.lit(n).alias("n"),
-            F.coalesce(F.try_divide(F.col(f"_{n}.m"), F.col(f"_{n}.h")), F.lit(0.0)).alias("precision"),
-            F.coalesce(F.try_divide(F.col(f"_{n}.m"), F.col(f"_{n}.r")), F.lit(0.0)).alias("recall"),
-        )
-        for n in orders
-    ])
+    def order(r: Column, h: Column, n: int) -> Column:
+        def compared(g: Column) -> Column:
+            common = F.size(F.array_intersect(_numbered(g["r"]), _numbered(g["h"])))
+            return F.struct(
+                F.lit(n).alias("n"),
+                F.coalesce(F.try_divide(common, F.size(g["h"])), F.lit(0.0)).alias("precision"),
+                F.coalesce(F.try_divide(common, F.size(g["r"])), F.lit(0.0)).alias("recall"),
+            )
+
+        return X.once(F.struct(X.ngrams(r, n).alias("r"), X.ngrams(h, n).alias("h")), compared)
+
+    tokens = F.struct(
+        F.coalesce(rouge_tokens(reference), _NONE).alias("r"), F.coalesce(rouge_tokens(summary), _NONE).alias("h"))
+    each = X.once(tokens, lambda t: F.array(*[order(t["r"], t["h"], n) for n in orders]))
     p, r = F.col("precision"), F.col("recall")
-    return totals.select(pair, F.inline(each)).withColumn(
+    return df.select(pair, F.inline(each)).withColumn(
         "fmeasure", F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
     )
 
@@ -79,51 +69,32 @@ def bleu(
     """Corpus BLEU of predictions against arrays of references.
 
     One row, or one per ``by`` group: clipped precisions of order 1..4, brevity
-    penalty against the shortest reference, and their product.
+    penalty against the shortest reference, and their product. N-grams are
+    clipped inside the row; only sums are shuffled. ``pair`` identifies a row.
     """
     by = list(by or [])
     orders = range(1, max_order + 1)
-    toks = by_key(df.select(*by, pair, references, prediction), pair).select(
-        *by, pair, bleu_tokens(prediction).alias("_h"),
-        F.transform(F.col(references), lambda r: bleu_tokens(r)).alias("_rs"),
-    )
-    lengths = toks.groupBy(*by).agg(
-        F.sum(F.size("_h")).alias("translation_length"),
-        F.sum(F.array_min(F.transform("_rs", lambda r: F.size(r)))).alias("reference_length"),
-        *[
-            F.sum(F.greatest(F.size("_h") - (n - 1), F.lit(0))).alias(f"possible_{n}")
-            for n in orders
-        ],
-    )
-    sides = F.concat(
-        F.transform(_grams(F.col("_h"), orders), lambda g: F.struct(F.lit(-1).alias("_side"), g.n.alias("n"), g.gram.alias("gram"))),
-        F.flatten(F.transform("_rs", lambda r, i: F.transform(
-            _grams(r, orders), lambda g: F.struct(i.alias("_side"), g.n.alias("n"), g.gram.alias("gram"))
-        ))),
-    )
-    per_side = (
-        toks.select(*by, pair, F.inline(sides))
-        .groupBy(*by, pair, "n", "gram", "_side")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    clipped = (
-        per_side.groupBy(*by, pair, "n", "gram")
-        .agg(
-            F.max(F.when(F.col("_side") < 0, F.col("c"))).alias("h"),
-            F.max(F.when(F.col("_side") >= 0, F.col("c"))).alias("r"),
+
+    def measured(t: Column) -> Column:
+        def matches(n: int) -> Column:
+            known = F.array_distinct(F.flatten(F.transform(t["rs"], lambda r: _numbered(X.ngrams(r, n)))))
+            return F.size(F.array_intersect(_numbered(X.ngrams(t["h"], n)), known))
+
+        return F.struct(
+            F.size(t["h"]).alias("h"), F.array_min(F.transform(t["rs"], lambda r: F.size(r))).alias("r"),
+            *[matches(n).alias(f"m{n}") for n in orders],
         )
-        .where(F.col("h").isNotNull() & F.col("r").isNotNull())
-        .groupBy(*by)
-        .agg(*[
-            F.coalesce(F.sum(F.when(F.col("n") == n, F.least("h", "r"))), F.lit(0)).alias(f"match_{n}")
-            for n in orders
-        ])
+
+    tokens = F.struct(
+        F.coalesce(bleu_tokens(prediction), _NONE).alias("h"),
+        F.transform(F.col(references), lambda r: F.coalesce(bleu_tokens(r), _NONE)).alias("rs"),
+    )
+    rows = df.select(*by, X.once(tokens, measured).alias("_x"))
+    both = rows.groupBy(*by).agg(
+        F.sum("_x.h").alias("translation_length"), F.sum("_x.r").alias("reference_length"),
+        *[F.sum(F.greatest(F.col("_x.h") - (n - 1), F.lit(0))).alias(f"possible_{n}") for n in orders],
+        *[F.coalesce(F.sum(f"_x.m{n}"), F.lit(0)).alias(f"match_{n}") for n in orders],
     )
-    if by:
-        both = lengths.join(clipped, by, "left")
-    else:
-        one = F.lit(1).alias("_one")
-        both = lengths.select("*", one).join(clipped.select("*", one), "_one", "left").drop("_one")
     precisions = [
         F.coalesce(F.try_divide(F.col(f"match_{n}"), F.col(f"possible_{n}")), F.lit(0.0))
         for n in orders

@@ -26,21 +26,18 @@ def sentence_summary(
     """The ``n`` distinct sentences per entity with the highest sum of word counts.
 
     Ties go to the sentence seen first by (doc, position); the summary lists the
-    best sentence first. A sentence is carried once per entity, its words travel
-    without the text, and only the texts of the chosen ones are read again.
+    best sentence first. Sentences are told apart by a 128-bit digest, so their
+    words travel without the text, and only the chosen ones are read again.
     """
-    located = df.select(key, doc, F.posexplode(X.sentences(text, separators)).alias("pos", "s"))
     counted = X.once(X.tokenize("s", stopwords, min_len), X.token_counts)
-    all_tokens = F.flatten(F.transform(
-        X.sentences(text, separators), lambda s: X.tokenize(s, stopwords, min_len)
-    ))
+    located = df.select(key, doc, F.posexplode(X.sentences(text, separators)).alias("pos", "s"))
+    located = settle(located.select(key, doc, "pos", F.unhex(F.md5("s")).alias("d"), counted.alias("t")))
     counts = settle(
-        df.select(key, F.inline(X.token_counts(all_tokens)))
-        .groupBy(key, "token")
-        .agg(F.sum("n").alias("n_group"))
+        located.select(key, F.inline("t")).groupBy(key, "token").agg(F.sum("n").cast("bigint").alias("n_group"))
     )
-    distinct = located.groupBy(key, "s").agg(F.min(F.struct(doc, "pos")).alias("at"))
-    words = distinct.select(key, "at", F.inline_outer(counted))
+    first = located.groupBy(key, "d").agg(F.min(F.struct(doc, "pos")).alias("at"))
+    distinct = located.withColumn("at", F.struct(doc, "pos")).join(first, [key, "d", "at"], "left_semi")
+    words = distinct.select(key, "at", F.inline_outer("t"))
     hot = hot_keys(words, [key, "token"], counts=counts, n="n_group")
     scored = (
         salted_join(words, counts, [key, "token"], "left", hot=hot)
