@@ -83,8 +83,14 @@ def review_pages(spark, sf):
         F.when(key % 7 == 0, "").otherwise(F.concat(
             F.lit('<span class="lTi8oc z3HNkc" aria-label="Classificado como '), (key % 5 + 1).cast("string"), F.lit(',0 de 5,0,"></span>'),
         )),
-        F.lit('<span class="dehysf lTi8oc">2 dias atrás</span><span class="review-full-text">Bom\n\''), F.col("o_orderpriority"),
-        F.lit('\'</span><span jsname="CMh1ye">'), (key % 9).cast("string"), F.lit("</span></div>"),
+        F.lit('<span class="dehysf lTi8oc">2 dias atrás</span>'),
+        # a full text, a short one in its section, and one with nested elements and a child of its own class
+        F.when(key % 3 == 0, F.concat(F.lit('<span class="review-full-text">Bom\n\''), F.col("o_orderpriority"), F.lit("'</span>")))
+        .when(key % 3 == 1, F.concat(F.lit('<span data-expandable-section="x">Bom <span>\''), F.col("o_orderpriority"), F.lit("'</span></span>")))
+        .otherwise(F.concat(
+            F.lit('<span class="review-full-text"><span>Bom</span><br/><span><b>'), F.col("o_orderpriority"),
+            F.lit('</b></span><span class="k8MTF">Quartos: 5</span> depois</span>'))),
+        F.lit('<span jsname="CMh1ye">'), (key % 9).cast("string"), F.lit("</span></div>"),
     )
     per_page = table(spark, sf, "orders").select("o_custkey", F.floor(key / 1000).alias("page"), block.alias("block"))
     html = per_page.groupBy("o_custkey", "page").agg(F.array_join(F.collect_list("block"), "").alias("html"))

@@ -73,6 +73,7 @@ REVIEW_CLASSES = {
     "trip_type_travel_group": "PV7e7",
 }
 LIKES_NAME = "CMh1ye"
+SHORT_TEXT = "data-expandable-section"
 
 # --- context blocks -----------------------------------------------------------------------
 OTHER_NOTES = {

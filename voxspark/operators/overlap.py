@@ -19,7 +19,8 @@ def bleu_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(X.col(c), F.lit(rf"({X.WORD}|[^\s\p{{L}}\p{{N}}_])"), 1)
 
 
-_NONE = F.array().cast("array<string>")
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _numbered(grams: Column) -> Column:
@@ -31,7 +32,7 @@ def _numbered(grams: Column) -> Column:
     def each(c: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), c["n"]), lambda k: F.concat(c["token"], F.lit("\x00"), k.cast("string")))
 
-    return F.coalesce(F.flatten(F.transform(X.token_counts(grams), each)), _NONE)
+    return F.coalesce(F.flatten(F.transform(X.token_counts(grams), each)), _none())
 
 
 def rouge(
@@ -54,7 +55,7 @@ def rouge(
         return X.once(F.struct(X.ngrams(r, n).alias("r"), X.ngrams(h, n).alias("h")), compared)
 
     tokens = F.struct(
-        F.coalesce(rouge_tokens(reference), _NONE).alias("r"), F.coalesce(rouge_tokens(summary), _NONE).alias("h"))
+        F.coalesce(rouge_tokens(reference), _none()).alias("r"), F.coalesce(rouge_tokens(summary), _none()).alias("h"))
     each = X.once(tokens, lambda t: F.array(*[order(t["r"], t["h"], n) for n in orders]))
     p, r = F.col("precision"), F.col("recall")
     return df.select(pair, F.inline(each)).withColumn(
@@ -86,8 +87,8 @@ def bleu(
         )
 
     tokens = F.struct(
-        F.coalesce(bleu_tokens(prediction), _NONE).alias("h"),
-        F.transform(F.col(references), lambda r: F.coalesce(bleu_tokens(r), _NONE)).alias("rs"),
+        F.coalesce(bleu_tokens(prediction), _none()).alias("h"),
+        F.transform(F.col(references), lambda r: F.coalesce(bleu_tokens(r), _none())).alias("rs"),
     )
     rows = df.select(*by, X.once(tokens, measured).alias("_x"))
     both = rows.groupBy(*by).agg(

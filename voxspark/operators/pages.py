@@ -43,6 +43,42 @@ def element_html(c: Column | str, value: str, attribute: str = "class") -> Colum
     return F.nullif(F.regexp_extract(X.col(c), pattern, 2), F.lit(""))
 
 
+# Tags that have no end.
+_VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)\b"
+
+
+def leading_text(c: Column | str, opening: str) -> Column:
+    """Text of the element that the ``opening`` tag begins, up to its first child with a class.
+
+    Nested elements are counted, so an element of the same name inside does not
+    end it. NULL without such an element.
+    """
+    rest = F.regexp_extract(X.col(c), rf"(?s){opening}(.*)", 1)
+    pieces = F.regexp_extract_all(rest, F.lit(r"(?s)(<[^>]*>|[^<]+)"), 1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("over"), F.lit("").alias("text"))
+
+    def read(state: Column, piece: Column) -> Column:
+        depth, text = state["depth"], state["text"]
+        tag, ends = piece.startswith("<"), piece.startswith("</")
+        closed = piece.rlike(_VOID) | piece.endswith("/>") | piece.startswith("<!")
+        named = tag & ~ends & (depth == 0) & piece.rlike(r"\bclass\s*=")
+        over = state["over"] | (ends & (depth == 0)) | named
+        moved = F.when(over | ~tag, depth).when(ends, depth - 1).when(closed, depth).otherwise(depth + 1)
+        return F.struct(
+            moved.alias("depth"), over.alias("over"), F.when(over | tag, text).otherwise(F.concat(text, F.lit(" "), piece)).alias("text"),
+        )
+
+    found = F.aggregate(pieces, start, read, lambda state: state["text"])
+    return F.when(X.col(c).rlike(rf"(?s){opening}"), plain_text(found))
+
+
+def review_text(c: Column | str) -> Column:
+    """A review's full text; a short review has it in its expandable section."""
+    full = rf"<\w+\b[^>]*{_attribute('class', V.REVIEW_CLASSES['text'])}[^>]*>"
+    short = rf"<\w+\b[^>]*\b{V.SHORT_TEXT}\b[^>]*>"
+    return F.coalesce(leading_text(c, full), leading_text(c, short))
+
+
 def element_attribute(c: Column | str, value: str, wanted: str) -> Column:
     """An attribute of the first element of that class."""
     tag = F.regexp_extract(X.col(c), rf"<\w+\b[^>]*{_attribute('class', value)}[^>]*>", 0)
@@ -108,7 +144,7 @@ def parse_reviews(df: DataFrame, block: str) -> DataFrame:
     counts = P.user_counts(plain_text(user))
     has_user = element_attribute(html, cls["user"], "href").isNotNull()
     fields = {
-        "text": X.one_line(words("text")),
+        "text": X.one_line(review_text(html)),
         "rating": ratings["rating"],
         "rating_max": ratings["rating_max"],
         "other_ratings": words("other_ratings"),
