@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from voxspark.llm.common import Memo, in_slices
 
 TEXT_SIZE, META_SIZE, BINS = 1 << 17, 1 << 10, 12
-LABELLED, POOL, ROUNDS, SURE = 16000, 8000, 3, 0.97
+LABELLED, POOL, ROUNDS, SURE = 10000, 5000, 3, 0.97
 _LETTERS = string.ascii_letters.encode() + bytes(range(128, 256))
 _SIGNS = string.punctuation
 

@@ -105,12 +105,12 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
             least = at + 1
             break
         kept += types
-    top = counts.where(level >= least).select("h", "n").toPandas().sort_values(["n", "h"], ascending=[False, True])
-    frequent = dict(zip(top["h"].tolist(), top["n"].tolist()))
-    short = {h: i for i, h in enumerate(top["h"].tolist()[:SHORT])}
+    top = counts.where(level >= least).select("h", "n").toArrow().sort_by([("n", "descending"), ("h", "ascending")])
+    frequent = dict(zip(top["h"].to_pylist(), top["n"].to_pylist()))
+    short = {h: i for i, h in enumerate(top["h"].slice(0, SHORT).to_pylist())}
     rest = {r[0]: (r[1], r[2]) for r in counts.where(~F.col("h").isin(list(short) or [0])).groupBy("class").agg(F.sum("n"), F.count("*")).collect()}
     share = np.ones(OUTCOMES)
-    share[: len(short)] += top["n"].to_numpy()[:SHORT]
+    share[: len(short)] += top["n"].slice(0, SHORT).to_numpy()
     base = np.zeros(CLASSES)
     for k in range(CLASSES):
         n, types = rest.get(k, (0, 0))
