@@ -18,7 +18,7 @@ GROUP_ROWS = 100_000
 
 
 def cluster_representatives(
-    df: DataFrame, key: str, id: str, features: Sequence[str], k: int = 5, max_iter: int = 20,
+    df: DataFrame, key: str, id: str, features: Sequence[str], k: int = 5, max_iter: int = 300,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """(key, cluster, id, distance): the row nearest to each of ``k`` centres per entity.
