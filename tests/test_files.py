@@ -251,3 +251,30 @@ def test_run_summary_and_corpus_stats(spark):
 def test_cast_columns_keeps_rows(spark):
     df = spark.createDataFrame([("2024-01-01",), ("bad",)], "d string")
     assert [r.d for r in cast_columns(df, {"d": "timestamp_ntz"}).collect()] == [datetime(2024, 1, 1), None]
+
+
+def test_review_text_ends_where_the_page_ends_it(spark):
+    cases = {
+        '<span class="review-full-text">Bom <b>e <b>caro</b></b> hotel</span> fora': "Bom e caro hotel",
+        '<div class="a review-full-text b">Um<br>dois<img src="x"/>tres<span class="k8MTF">Quartos: 5</span>quatro</div>': "Um dois tres",
+        '<div><span data-expandable-section="1">Curto <i>texto</i></span></div>': "Curto texto",
+        '<span class="review-full-text">longo</span><span data-expandable-section>curto</span>': "longo",
+        '<span class="review-full-text"><span class="x">nada</span></span>': "",
+        "<p>sem texto</p>": None,
+        None: None,
+    }
+    df = spark.createDataFrame([(h, t) for h, t in cases.items()], "html string, want string")
+    got = [(r.want, r.got) for r in df.select("want", pages.review_text("html").alias("got")).collect()]
+    assert all(a == b for a, b in got), got
+
+
+def test_contexts_say_what_is_not_known(spark):
+    columns = ("nome", "estrelas", "regiao", "estado", "cidade", "subcategoria", "classificacao_geral", "quantidade_avaliacoes",
+               "nota_avaliacao", "curtidas_avaliacao", "usuario_guia_local", "nota_quartos", "nota_localizacao", "nota_servico", "text")
+    kinds = {c: "string" if c in ("nome", "regiao", "estado", "cidade", "subcategoria", "text") else "double" for c in columns}
+    df = spark.createDataFrame([tuple([None] * len(columns))], ", ".join(f"{c} {k}" for c, k in kinds.items())).withColumn("rank", F.lit(1))
+    text = df.select(retrieval.render_review("rank").alias("t")).head().t
+    assert text.count("não informado") == 11 and text.startswith(" - Avaliação 1")
+    row = retrieval.hotel_context(df.withColumn("k", F.lit(1)), ["k"]).head()
+    assert row.n_blocks == 1 and "Top 1" in row.context
+    assert spark.range(1).select(retrieval.fill("a {x} b", {"x": F.lit(None).cast("string")})).head()[0] == "a não informado b"

@@ -175,7 +175,7 @@ def search_within(
     """Nearest rows of an entity for each of the entity's own queries.
 
     An entity usually has a handful of queries; up to ``MAX_QUERIES`` of them
-    travel as one array per entity, and a document is scored where it is. More
+    travel as one array per entity, and a document is scored inside its row. More
     are joined row by row. ``keep`` is a further condition on a (document, query)
     pair. Result: (on, query_id, id, carry, score, rank).
     """
@@ -186,14 +186,21 @@ def search_within(
     packed = few.groupBy(on).agg(
         F.collect_list(F.struct(query_id, *query_carry, "_qv")).alias("_qs")
     )
-    pairs = lookup_join(rows, packed, on, "inner").select(on, id, vector, *carry, F.inline("_qs"))
+
+    def scored(q: Column) -> Column:
+        kept = [q[c].alias(c) for c in (query_id, *query_carry)]
+        return F.struct(*kept, F.round(measure(vector, q["_qv"]), SCORE_DIGITS).alias("score"))
+
+    # the vector stays in its row; only (query, score) is repeated
+    pairs = lookup_join(rows, packed, on, "inner").select(on, id, *carry, F.inline(F.transform("_qs", scored)))
     if many is not None:
-        pairs = pairs.unionByName(salted_join(rows, many, [on], "inner"))
+        joined = salted_join(rows, many, [on], "inner")
+        joined = joined.withColumn("score", F.round(measure(vector, "_qv"), SCORE_DIGITS))
+        pairs = pairs.unionByName(joined.drop(vector, "_qv"))
     if keep is not None:
         pairs = pairs.where(keep)
-    scored = pairs.withColumn("score", F.round(measure(vector, "_qv"), SCORE_DIGITS)).drop(vector, "_qv")
     order = F.desc("score") if metric == "ip" else F.asc("score")
-    return top_n_per_group(scored, [on, query_id], [order, id], n, rank="rank")
+    return top_n_per_group(pairs, [on, query_id], [order, id], n, rank="rank")
 
 
 def with_shards(df: DataFrame, id: str, shard_rows: int = INDEX_SHARD_ROWS) -> DataFrame:

@@ -41,22 +41,30 @@ def ingest(
 ) -> StreamingQuery:
     """Write each id once to Parquet, reading all that is there and then stopping.
 
-    Without a delay the file sink itself gives exactly-once output. With one,
-    the state may have forgotten an id, so every batch is also checked against
-    the ids already written; a batch that runs again finds its own rows there.
+    Without a delay the file sink itself gives exactly-once output, and every id
+    is remembered. With one, which a long-lived stream should have, the state is
+    bounded but may have forgotten an id, so every batch is also checked against
+    the ids already written: the sink is partitioned by ``event_day``, and only
+    days within the delay of the batch are read. A batch that runs again finds
+    its own rows there.
     """
     first = once_per_id(stream, id, event_time, delay)
     writer = first.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if delay is None:
         return writer.format("parquet").option("path", out).outputMode("append").start()
-    schema = first.schema
+    dated = first.withColumn("event_day", F.to_date(event_time)).schema
 
     def append(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
+        reach = batch.agg(F.to_date(F.min(F.col(event_time)) - F.expr(f"INTERVAL {delay}"))).head()[0]
+        if reach is None and batch.isEmpty():
+            return
         # the folder exists after this, so that the first batch can read it too
-        spark.createDataFrame([], schema).write.mode("append").parquet(out)
-        known = spark.read.schema(schema).parquet(out).select(id)
-        batch.join(known, id, "left_anti").write.mode("append").parquet(out)
+        spark.createDataFrame([], dated).write.mode("append").partitionBy("event_day").parquet(out)
+        near = F.col("event_day").isNull() | (F.col("event_day") >= F.lit(reach))
+        known = spark.read.schema(dated).parquet(out).where(near).select(id)
+        fresh = batch.withColumn("event_day", F.to_date(event_time)).join(known, id, "left_anti")
+        fresh.hint("rebalance", "event_day").write.mode("append").partitionBy("event_day").parquet(out)
 
     return writer.foreachBatch(append).start()
 
