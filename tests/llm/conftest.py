@@ -22,10 +22,3 @@ def edge_docs(spark):
 @pytest.fixture(scope="session")
 def no_docs(edge_docs):
     return edge_docs.limit(0)
-
-
-def sample_texts(n: int, folder: str = "/root/testdata/sf0.001") -> list[tuple[int, str]]:
-    import pyarrow.parquet as pq
-
-    t = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"])
-    return list(zip(t["doc_id"].to_pylist(), t["text"].to_pylist()))[:n]

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import sample_texts
+from llm_samples import sample_texts
 from pyspark.sql import functions as F
 
 from voxspark.llm import cotrain, language, lm

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import sample_texts
+from llm_samples import sample_texts
 from tokenizers import Tokenizer
 
 from voxspark.llm import bpe, packing
