@@ -139,82 +139,90 @@ class Params:
         return np.concatenate([x.reshape(-1) for x in (self.inputs, self.outputs, self.bias, self.place)])
 
     @classmethod
-    def of(cls, flat: np.ndarray) -> Params:
+    def of(cls, flat: np.ndarray, copy: bool = True) -> Params:
         shapes = [(OUTCOMES + 1, WIDTH), (OUTCOMES, WIDTH), (OUTCOMES,), (CONTEXT, WIDTH)]
         ends = np.cumsum([0, *(math.prod(s) for s in shapes)])
-        return cls(*(flat[a:b].reshape(s).copy() for a, b, s in zip(ends, ends[1:], shapes)))
+        flat = flat.copy() if copy else flat
+        return cls(*(flat[a:b].reshape(s) for a, b, s in zip(ends, ends[1:], shapes)))
 
     def predicted(self, context: np.ndarray) -> np.ndarray:
-        r = self.inputs[context[:, 0]] * self.place[0]
+        r = (self.inputs * self.place[0]).take(context[:, 0], axis=0)
         for j in range(1, CONTEXT):
-            r += self.inputs[context[:, j]] * self.place[j]
+            r += (self.inputs * self.place[j]).take(context[:, j], axis=0)
         return r
 
     def log_probabilities(self, context: np.ndarray, outcome: np.ndarray) -> np.ndarray:
         """Normalised log-probabilities, from one matrix product of all contexts with all outcomes."""
-        r = self.predicted(context)
-        own = (r * self.outputs[outcome]).sum(axis=1, dtype=np.float64) + self.bias[outcome]
-        scores = np.column_stack([r, np.ones(len(r), np.float32)]) @ np.column_stack([self.outputs, self.bias]).T
+        r, n = self.predicted(context), len(outcome)
+        scores = r @ self.outputs.T
+        scores += self.bias
+        own = scores[np.arange(n), outcome].astype(np.float64)
         # by the norms, no score can leave this range; if one might, the largest is taken out first
         reach = np.sqrt((r * r).sum(axis=1).max(initial=0) * (self.outputs**2).sum(axis=1).max()) + np.abs(self.bias).max()
-        top = scores.max(axis=1) if reach > 60 else np.zeros(len(r), np.float32)
+        top = 0.0
         if reach > 60:
+            top = scores.max(axis=1)
             scores -= top[:, None]
         np.exp(scores, out=scores)
         return own - top - np.log(scores @ np.ones(OUTCOMES, np.float32))
 
 
 def contexts(outcome: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The CONTEXT outcomes before each position, START beyond the start of its text."""
+    """The CONTEXT outcomes before each position, START beyond the start of its text.
+
+    ``first`` is the place where the text of each position starts.
+    """
     n = len(outcome)
-    place = np.arange(n) - first
-    out = np.full((n, CONTEXT), START, np.int64)
+    starts = np.flatnonzero(first == np.arange(n))
+    sizes = np.diff(np.append(starts, n))
+    out = np.full((CONTEXT, n), START, np.int32)
     for j in range(CONTEXT):
-        inside = np.flatnonzero(place > j)
-        out[inside, j] = outcome[inside - j - 1]
-    return out
+        out[j, j + 1 :] = outcome[: max(n - j - 1, 0)]
+        for i in range(j + 1):
+            out[j, starts[sizes > i] + i] = START
+    return out.T
 
 
 class Trainer:
     """Noise-contrastive minibatches with Adagrad."""
 
     def __init__(self, params: Params, share: np.ndarray, seed: int):
-        self.p, self.rng = params, np.random.default_rng(seed)
-        self.square = Params.of(np.full(len(params.flat()), 1e-3, np.float32))
+        self.rng = np.random.default_rng(seed)
+        self.flat = params.flat()
+        self.p = Params.of(self.flat, copy=False)  # views of the flat parameters
+        self.square = np.full(len(self.flat), 1e-3, np.float32)
         self.noise_edges = np.cumsum(share)
         self.log_noise = (np.log(share) + math.log(NOISE)).astype(np.float32)
         self.cells = np.arange(WIDTH)
 
-    def _step(self, name: str, grad: np.ndarray) -> None:
-        square = getattr(self.square, name)
-        square += grad * grad
-        getattr(self.p, name)[...] += RATE * grad / np.sqrt(square)
-
     def _rows(self, index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
         at = (index[:, None] * WIDTH + self.cells).reshape(-1)
-        return np.bincount(at, values.reshape(-1), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
+        return np.bincount(at, values.reshape(-1), n * WIDTH)
 
     def batch(self, context: np.ndarray, outcome: np.ndarray) -> None:
         p, m = self.p, len(outcome)
         noise = np.minimum(np.searchsorted(self.noise_edges, self.rng.random(NOISE)), OUTCOMES - 1)
-        r = p.predicted(context)
-        q = p.outputs[outcome]
-        true = (r * q).sum(axis=1) + p.bias[outcome] - self.log_noise[outcome]
-        false = r @ p.outputs[noise].T + p.bias[noise] - self.log_noise[noise]
-        g = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # pull towards the word
-        h = -1 / (1 + np.exp(-np.clip(false, -30, 30)))  # push from the noise
-        to_r = g[:, None] * q + h @ p.outputs[noise]
+        index = context.T.reshape(-1)
+        own = p.inputs.take(index, axis=0).reshape(CONTEXT, m, WIDTH)
+        r = (own * p.place[:, None, :]).sum(axis=0)
+        q, q_noise = p.outputs.take(outcome, axis=0), p.outputs[noise]
+        true = (r * q).sum(axis=1) + (p.bias - self.log_noise).take(outcome)
+        false = r @ q_noise.T + (p.bias - self.log_noise)[noise]
+        with np.errstate(over="ignore"):
+            g = 1 / (1 + np.exp(true))  # pull towards the word
+            h = -1 / (1 + np.exp(-false))  # push from the noise
+        to_r = g[:, None] * q + h @ q_noise
         outputs = self._rows(outcome, g[:, None] * r, OUTCOMES)
-        np.add.at(outputs, noise, h.T @ r)
-        bias = np.bincount(outcome, g, OUTCOMES)
-        bias += np.bincount(noise, h.sum(axis=0), OUTCOMES)
-        inputs, place = np.zeros_like(p.inputs), np.zeros_like(p.place)
-        for j in range(CONTEXT):
-            own = p.inputs[context[:, j]]
-            place[j] = (to_r * own).sum(axis=0)
-            inputs += self._rows(context[:, j], to_r * p.place[j], OUTCOMES + 1)
-        for name, grad in (("inputs", inputs), ("outputs", outputs), ("bias", bias.astype(np.float32)), ("place", place)):
-            self._step(name, grad / np.float32(math.sqrt(m)))
+        np.add.at(outputs.reshape(OUTCOMES, WIDTH), noise, h.T @ r)
+        bias = np.bincount(outcome, g, OUTCOMES) + np.bincount(noise, h.sum(axis=0), OUTCOMES)
+        place = (to_r * own).sum(axis=1).reshape(-1)
+        inputs = self._rows(index, to_r * p.place[:, None, :], OUTCOMES + 1)
+        grad = np.concatenate([inputs, outputs, bias, place]).astype(np.float32)
+        grad /= np.float32(math.sqrt(m))
+        self.square += grad * grad
+        grad /= np.sqrt(self.square)
+        grad *= np.float32(RATE)
+        self.flat += grad
 
 
 def _coded(texts: list[str], codes: Memo):
@@ -292,14 +300,14 @@ def _scored(texts: DataFrame, vocab: Vocabulary, params: Params) -> DataFrame:
             outcome, count = code & 0xFFFF, code >> 16
             context = contexts(outcome, first)
             logp = np.concatenate([
-                model.log_probabilities(context[at : at + 4096], outcome[at : at + 4096]) for at in range(0, len(outcome), 4096)])
+                model.log_probabilities(context[at : at + 2048], outcome[at : at + 2048]) for at in range(0, len(outcome), 2048)])
             other = outcome >= SHORT
             share = np.log1p(count)
             logp[other] += share[other] - base[outcome[other] - SHORT]
             rare = np.flatnonzero(count == 0)
             hashes: list[Counter] = [Counter() for _ in range(n)]
-            for i in rare.tolist():
-                hashes[owner[i]][word_hash(words[i])] += 1
+            for i, doc in zip(rare.tolist(), owner[rare].tolist()):
+                hashes[doc][word_hash(words[i])] += 1
             ten = math.log(10)
             longs = pa.list_(pa.int64())
             return pa.RecordBatch.from_arrays([
