@@ -12,6 +12,7 @@ sequence of a partition is padded.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -19,8 +20,9 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
+from tokenizers import Tokenizer
 
 from voxspark.llm.common import in_slices
 from voxspark.session import settle
@@ -32,6 +34,34 @@ _LATIN = re.compile(r"[a-zß-öø-ÿ]+")
 _MOST = 500_000
 
 
+def merger(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
+    """The vocabulary's merges for whole words, one on each line, and the id of each rank.
+
+    The vocabulary writes bytes as visible characters and marks the last one of
+    a word. Here the mark is a byte of its own, and joining it to the last byte
+    comes before all merges.
+    """
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    # fixed rule of byte-level vocabularies: visible bytes are their own character, the others follow from 256 on
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    char = {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in visible)}
+    byte = {c: b for b, c in char.items()}
+    end = model["end_of_word_suffix"]
+
+    def raw(token: str) -> bytes:
+        last = token.endswith(end)
+        return bytes(byte[c] for c in (token[: -len(end)] if last else token)) + (b"\0" if last else b"")
+
+    ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 0]): 256 + b for b in range(256)}
+    ids = [model["vocab"][char[b]] for b in range(256)] + [model["vocab"][char[b] + end] for b in range(256)]
+    for pair in model["merges"]:
+        a, b = pair if isinstance(pair, list) else pair.split(" ")
+        ranks[raw(a) + raw(b)] = len(ids)
+        ids.append(model["vocab"][a + b])
+    return tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", mergeable_ranks=ranks, special_tokens={}), np.array(ids, np.int32)
+
+
 class _Numbered(dict):
     """Numbers its keys as they come; ``new`` holds those not yet worked on."""
 
@@ -49,18 +79,17 @@ class WordTokens:
     """Token ids of whole texts by the word tokenizer, for each blank-separated chunk once.
 
     No token crosses a blank. A chunk of plain letters and trailing signs has two
-    parts, as the tokenizer's own pattern cuts it, which are merged by the same
-    vocabulary without its normaliser; any other chunk goes through it whole as
+    parts, as the tokenizer's own pattern cuts it; these need no normalising and
+    are merged by ``merger``. Any other chunk goes through the tokenizer whole as
     one part. New parts are encoded together, and forgotten when there are too
     many chunks.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = self.bare.encode_special_tokens = True
-        self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.merges, self.id_of = merger(path)
         self.forget()
 
     def forget(self) -> None:
@@ -82,13 +111,21 @@ class WordTokens:
                 pairs += (parts[chunk, None], parts[""])
         self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int32).reshape(-1, 2)])
         new, parts.new = parts.new, []
-        bare = iter(self.bare.encode_batch_fast([p for p in new if isinstance(p, str)], add_special_tokens=False))
-        whole = iter(self.whole.encode_batch_fast([p[0] for p in new if not isinstance(p, str)], add_special_tokens=False))
-        ids = [next(bare if isinstance(p, str) else whole).ids for p in new]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
+        plain = [i for i, p in enumerate(new) if isinstance(p, str)]
+        other = [i for i, p in enumerate(new) if not isinstance(p, str)]
+        # one piece for each line; a word ends in the mark that its last byte is merged with
+        lines = "".join(new[i] + "\0\n" if new[i] else "\n" for i in plain)
+        ranks = np.array(self.merges.encode_ordinary(lines), np.int64)
+        ends = np.flatnonzero(ranks == ord("\n"))
+        whole = [e.ids for e in self.whole.encode_batch_fast([new[i][0] for i in other], add_special_tokens=False)]
+        size = np.empty(len(new), np.int64)
+        size[plain] = np.diff(ends, prepend=-1) - 1
+        size[other] = np.fromiter(map(len, whole), np.int64, len(whole))
+        flat = np.concatenate([self.id_of[ranks[ranks != ord("\n")]], np.fromiter(chain.from_iterable(whole), np.int32)])
+        order = np.array(plain + other, np.int64)  # as the ids lie in ``flat``
+        start = np.empty(len(new), np.int64)
+        start[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
+        self.start, self.size, self.flat = np.concatenate([self.start, start]), np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.chunks) > _MOST:
