@@ -166,9 +166,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = pairs.join(info.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
         return pairs.where(_may_link("na", "nb", "sa", "sb", percent)).select("a", "b")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        # written first: a few pairs then travel to the sets, not the sets to them
-        pairs = settle(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    def confirmed(pairs: DataFrame, many: bool = False) -> DataFrame:
+        # written first: a few pairs then travel to the sets, not the sets to them;
+        # many, as many as there are members, are never broadcast
+        pairs = settle(pairs)
+        pairs = (pairs.hint("merge") if many else pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         both = F.size(F.array_intersect("x", "y"))
         return settle(pairs.select("a", "b", both.alias("i"), (F.size("x") + F.size("y") - both).alias("u")).where(
@@ -179,7 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # one pivot for each member: a group of near copies gives as many pairs as it has members
     first = members.groupBy("node").agg(F.min("pivot").alias("pivot"))
-    links = confirmed(plausible(ordered(first, "node", "pivot")))
+    links = confirmed(plausible(ordered(first, "node", "pivot")), many=True)
     parts = components(links)
     links = links.union(confirmed(_across(_open_members(members, parts), sets, percent)))
     parts = components(links)
