@@ -29,7 +29,8 @@ from voxspark.session import settle
 
 K1, B = 1.2, 0.75
 #: ASCII signs without the apostrophe, and letters beyond ASCII that Unicode composition leaves alone.
-_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGNS_TEXT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGNS = _SIGNS_TEXT.encode()
 _LATIN = re.compile(r"[a-zß-öø-ÿ]+")
 _MOST = 500_000
 
@@ -102,20 +103,24 @@ class WordTokens:
         chunks, self.chunks.new = self.chunks.new, []
         parts, pairs = self.parts, []
         for raw in chunks:
-            chunk = raw.decode("utf-8")
-            low = chunk.lower()
+            low = raw.lower()
             word = low.rstrip(_SIGNS)
-            if word.isalpha() and (word.isascii() or _LATIN.fullmatch(word)):
-                pairs += (parts[word], parts[low[len(word) :]])
-            else:
-                pairs += (parts[chunk, None], parts[""])
+            if not word.isalpha():  # not of ASCII letters alone
+                text = raw.decode("utf-8")
+                plain = _LATIN.fullmatch(text.lower().rstrip(_SIGNS_TEXT))
+                if not plain:
+                    pairs += (parts[text, None], parts[b""])
+                    continue
+                low = text.lower().encode("utf-8")
+                word = low.rstrip(_SIGNS)
+            pairs += (parts[word], parts[low[len(word) :]])
         self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int32).reshape(-1, 2)])
         new, parts.new = parts.new, []
-        plain = [i for i, p in enumerate(new) if isinstance(p, str)]
-        other = [i for i, p in enumerate(new) if not isinstance(p, str)]
+        plain = [i for i, p in enumerate(new) if p.__class__ is bytes]
+        other = [i for i, p in enumerate(new) if p.__class__ is not bytes]
         # one piece for each line; a word ends in the mark that its last byte is merged with
-        lines = "".join(new[i] + "\0\n" if new[i] else "\n" for i in plain)
-        ranks = np.array(self.merges.encode_ordinary(lines), np.int64)
+        lines = b"".join([new[i] + b"\0\n" if new[i] else b"\n" for i in plain])
+        ranks = np.array(self.merges.encode_ordinary(lines.decode("utf-8")), np.int64)
         ends = np.flatnonzero(ranks == ord("\n"))
         whole = [e.ids for e in self.whole.encode_batch_fast([new[i][0] for i in other], add_special_tokens=False)]
         size = np.empty(len(new), np.int64)
@@ -163,7 +168,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, window:
         encode = WordTokens(path)
         size = max(encode.whole.get_vocab_size(), end_id + 1)
         kind = id_type(size)
-        dice = np.random.default_rng(5).exponential(size=(2, size)) / np.square(np.arange(1, size + 1))
+        dice = (np.random.default_rng(5).exponential(size=(2, size)) / np.square(np.arange(1, size + 1))).astype(np.float32)
         seen, id_kind = np.zeros(size, np.int64), pa.int64()
         ints, longs, names = pa.list_(pa.int32()), pa.list_(pa.int64()), ["id", "doc_tokens", "start", "n", "ids", "near", "tokens", "counts"]
 
@@ -176,9 +181,11 @@ def token_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, window:
             cols = [[] for _ in range(8)]
             for doc, ids in zip(part.column("id").to_pylist(), encode.many(part.column("text").to_pylist())):
                 ids = np.append(ids, np.int32(end_id))
-                seen[np.unique(ids)] += 1
-                low = ids[dice[:, ids].argmin(axis=1)].tolist()
-                packed = ids.astype(kind).tobytes()
+                short = ids.astype(kind)
+                ranked = np.sort(short, kind="stable")
+                seen[ranked[np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))]] += 1
+                low = [int(ids[d.take(short).argmin()]) for d in dice]
+                packed = short.tobytes()
                 for at in range(0, len(ids), window):
                     n = min(window, len(ids) - at)
                     row = (doc, len(ids), at, n, packed[at * kind.itemsize : (at + n) * kind.itemsize], low, None, None)
@@ -201,27 +208,32 @@ class Shard:
     def __init__(self, pieces: list[list], idf: np.ndarray, mean_len: float):
         self.pieces = pieces
         self.left = np.array([len(p[3]) for p in pieces], np.int64)
-        self.bags = [np.unique(p[3], return_counts=True) for p in pieces]
-        owner = np.repeat(np.arange(len(pieces)), [len(b[0]) for b in self.bags])
-        terms, tf = np.concatenate([b[0] for b in self.bags]), np.concatenate([b[1] for b in self.bags])
-        weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.left[owner] / mean_len))
-        order = np.argsort(terms, kind="stable")
-        self.terms, self.owner, self.weight = terms[order], owner[order], weight[order]
-        # terms without weight change no score
-        some = self.weight > 0
-        self.terms, self.owner, self.weight = self.terms[some], self.owner[some], self.weight[some]
+        bags = [np.unique(p[3], return_counts=True) for p in pieces]
+        sizes = [len(b[0]) for b in bags]
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        terms, code = np.unique(np.concatenate([b[0] for b in bags]), return_inverse=True)
+        tf = np.concatenate([b[1] for b in bags])
+        weight = idf[terms][code] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.left[owner] / mean_len))
+        self.codes = np.split(code, np.cumsum(sizes)[:-1])  # the terms of each piece, by their number
+        self.terms = len(terms)
+        order = np.argsort(code, kind="stable")
+        order = order[weight[order] > 0]  # terms without weight change no score
+        self._keep(code[order], owner[order], weight[order])
+
+    def _keep(self, code: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> None:
+        self.code, self.owner, self.weight = code, owner, weight
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=self.terms))])
 
     def scores(self, seed: int) -> np.ndarray:
-        bag = self.bags[seed][0]
-        lo, hi = np.searchsorted(self.terms, bag), np.searchsorted(self.terms, bag, side="right")
-        n = hi - lo
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        lo = self.first[self.codes[seed]]
+        n = self.first[self.codes[seed] + 1] - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
         return np.bincount(self.owner[at], self.weight[at], len(self.pieces))
 
     def shrink(self) -> None:
         """Forget the postings of pieces that are used up."""
         some = self.left[self.owner] > 0
-        self.terms, self.owner, self.weight = self.terms[some], self.owner[some], self.weight[some]
+        self._keep(self.code[some], self.owner[some], self.weight[some])
 
 
 def fill(pieces: list[list], window: int, idf: np.ndarray, mean_len: float, last: bool):
