@@ -116,6 +116,31 @@ def test_near_duplicates_of_groups(spark):
     check_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
 
 
+def test_links_of_small_sets_across_components(spark):
+    """Pairs at exactly 0.75, of different components of one bucket, for 4 to 40 shingles."""
+    rng = np.random.default_rng(3)
+    sets, members, want = [], [], set()
+    for shared, one, other in [(3, 4, 3), (6, 7, 7), (9, 12, 9), (15, 20, 15), (30, 40, 30), (18, 21, 21), (75, 100, 75), (72, 84, 84), (66, 88, 66)]:
+        for _ in range(60):
+            a, b = len(sets), len(sets) + 1
+            x = rng.integers(-(1 << 62), 1 << 62, one + other - shared).tolist()
+            sets += [(a, x[:one]), (b, x[:shared] + x[one:])]
+            members += [(a, a, a), (a, b, b)]
+            want.add((a, b))
+    sets = spark.createDataFrame(sets, "node long, shingles array<long>").repartition(4)
+    members = spark.createDataFrame(members, "key long, node long, part long")
+    got = {(r["a"], r["b"]) for r in minhash._across(members, sets, 75).collect()}
+    assert got == want
+
+
+def test_lane_bits_agree_by_chance_on_small_sets():
+    """Unrelated minima agree in half of the lanes for each single pair, not only on average."""
+    rng, signer = np.random.default_rng(6), minhash.Signer(hashes=minhash.FINE, seed=23)
+    for _ in range(40):
+        a, b = (signer.lanes(signer.minima(rng.integers(0, 1 << 63, 2, dtype=np.uint64))[None, :]) & 1 for _ in range(2))
+        assert abs((a == b).mean() - 0.5) < 0.08
+
+
 def test_estimate_takes_chance_out():
     rng = np.random.default_rng(0)
     signer = minhash.Signer()

@@ -1,18 +1,20 @@
 """Near-duplicate documents by b-bit MinHash.
 
 Each text gives ``HASHES`` minima. Rows of minima make band keys, which find
-candidates; of each minimum only the low ``BITS`` bits are kept, packed into
-longs. For a candidate pair, equal lanes are counted with bit operations and the
-similarity is estimated with the chance agreement of b bits taken out. Pairs
-whose estimate could belong to a true link are confirmed on their full sets.
+candidates; of a mixed hash of each minimum only the low ``BITS`` bits are kept,
+packed into longs. For a candidate pair, equal lanes are counted with bit
+operations and the similarity is estimated with the chance agreement of b bits
+taken out. Pairs whose estimate could belong to a true link are confirmed on
+their full sets. Sets below ``SMALL`` shingles are never estimated: their pairs
+are compared on the full sets at once.
 
 At a similarity of 0.75 a pair shares a band with a chance of 1 - 5e-6, and a
-true pair falls below the estimate's floor (five standard deviations) with a
-chance of about 1e-6. Exact copies form one class and never meet as pairs. Each
-member of a band's bucket is first compared with one pivot. What is still
-unconnected is compared with all of the bucket's other components, so nothing is
-lost, but members of one component never meet again: a large group of near
-copies costs pairs in proportion to its size and to what stays outside of it.
+true pair of larger sets falls below the estimate's floor (five standard
+deviations) with a chance of about 1e-6. Exact copies form one class and never
+meet as pairs. Each member of a band's bucket is first compared with one pivot.
+What is still unconnected is compared with all of the bucket's other components,
+so nothing is lost, but members of one component never meet again: a large group
+of near copies costs pairs in proportion to its size and to what stays outside.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ HASHES, BAND_ROWS, BITS = 128, 4, 2
 BANDS = HASHES // BAND_ROWS
 #: One-bit minima of the finer signature, made only for documents that are still in question.
 FINE = 1024
+#: Pairs of sets that are both smaller are compared exactly, without a signature.
+SMALL = 86
 _ODD_LANES = 0x5555555555555555
 
 
@@ -42,6 +46,7 @@ class Signer:
         self.a = (rng.integers(0, 1 << 31, hashes, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
         self.b = rng.integers(0, 1 << 32, hashes, dtype=np.uint32)[:, None]
         self.salt = rng.integers(0, 1 << 63, BANDS, dtype=np.uint64)
+        self.lane_salt = rng.integers(0, 1 << 63, hashes, dtype=np.uint64)
 
     def minima(self, shingles: np.ndarray) -> np.ndarray:
         x = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -51,6 +56,10 @@ class Signer:
             np.minimum(low, (x[at : at + step] * self.a + self.b).min(axis=1), out=low)
         return low
 
+    def lanes(self, minima: np.ndarray) -> np.ndarray:
+        """(documents, hashes) bits of a mixed hash; the low bits of a minimum itself only repeat those of its shingle."""
+        return (mixed(minima.astype(np.uint64) + self.lane_salt) >> np.uint64(8)).astype(np.uint32)
+
     def bands(self, minima: np.ndarray) -> np.ndarray:
         """(documents, BANDS) keys of the full minima."""
         rows = minima.reshape(len(minima), BANDS, BAND_ROWS).astype(np.uint64)
@@ -85,7 +94,7 @@ def signatures(texts: DataFrame, width: int = 5) -> DataFrame:
             none = n == 0
             minima = np.stack([signer.minima(s) for s in sets])
             digest = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets])
-            sig, bands = _lists(_packed(minima, BITS)), _lists(signer.bands(minima))
+            sig, bands = _lists(_packed(signer.lanes(minima), BITS)), _lists(signer.bands(minima))
             return pa.RecordBatch.from_arrays([
                 part.column("id"), pa.array(n), pa.array(digest[:, 0], mask=none), pa.array(digest[:, 1], mask=none),
                 sig, bands,
@@ -197,7 +206,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _may_link(na: str, nb: str, sa: str, sb: str, percent: int) -> Column:
     sizes = F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
-    return sizes & (estimate(equal_lanes(F.col(sa), F.col(sb))) >= floor_of(percent / 100))
+    small = F.greatest(na, nb) < SMALL
+    return sizes & (small | (estimate(equal_lanes(F.col(sa), F.col(sb))) >= floor_of(percent / 100)))
 
 
 def _open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -208,10 +218,11 @@ def _open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _fine_facts(sets: DataFrame) -> DataFrame:
-    """node, n, common and fine of each set.
+    """node, n, common, fine and few of each set.
 
     ``common`` is the number of its shingles that another of these sets has too;
-    no pair can share more. ``fine`` packs the lowest bit of FINE minima.
+    no pair can share more. ``fine`` packs one mixed bit for each of FINE minima,
+    ``few`` is a set below SMALL shingles itself and null for any other.
     """
     def work():
         signer = Signer(hashes=FINE, seed=23)
@@ -220,14 +231,16 @@ def _fine_facts(sets: DataFrame) -> DataFrame:
             rows = [np.asarray(x.values).view(np.uint64) for x in part.column("shingles")]
             minima = np.stack([signer.minima(x) for x in rows])
             return pa.RecordBatch.from_arrays(
-                [part.column("node"), pa.array([len(x) for x in rows], pa.int64()), _lists(_packed(minima, 1))], ["node", "n", "fine"])
+                [part.column("node"), pa.array([len(x) for x in rows], pa.int64()), _lists(_packed(signer.lanes(minima), 1))], ["node", "n", "fine"])
 
         return step
 
     fine = per_slice(sets, work, "node long, n long, fine array<long>")
     single = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("node").alias("node"))
     single = single.where("c = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    return fine.join(single, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "fine")
+    few = sets.where(F.size("shingles") < SMALL).select("node", F.col("shingles").alias("few"))
+    return fine.join(single, "node", "left").join(few, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "fine", "few")
 
 
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -236,20 +249,24 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     One side leaves out the bucket's largest component, so that its members
     never meet each other. What is left is sifted by exact bounds on the
     similarity and by a finer signature of the few documents that are left, with
-    the same margin of five standard deviations.
+    the same margin of five standard deviations. Two sets below SMALL shingles
+    are compared on their shingles instead.
     """
     own = sets.join(members.select("node").distinct(), "node", "left_semi")
     facts = settle(_fine_facts(own).join(members.groupBy("node").agg(F.collect_list("key").alias("keys")), "node"))
     sizes = members.groupBy("key", "part").count()
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
-    rows = members.join(facts, "node").select("key", F.struct("node", "part", "n", "common", "fine", "keys").alias("m"))
+    rows = members.join(facts, "node").select("key", F.struct("node", "part", "n", "common", "fine", "few", "keys").alias("m"))
     small = rows.join(main, "key").where("m.part <> main").select("key", "main", F.col("m").alias("x"))
     every = rows.select("key", F.col("m").alias("y"))
     # two small members meet once; a small one meets each of the main part
     once = (F.col("y.part") == F.col("main")) | (F.col("x.node") < F.col("y.node"))
     shared = F.least("x.common", "y.common")
     bound = shared * 100 >= (F.col("x.n") + F.col("y.n") - shared) * percent
-    near = estimate(equal_lanes(F.col("x.fine"), F.col("y.fine"), FINE, 1), FINE, 1) >= floor_of(percent / 100, FINE, 1)
+    alike = estimate(equal_lanes(F.col("x.fine"), F.col("y.fine"), FINE, 1), FINE, 1) >= floor_of(percent / 100, FINE, 1)
+    both = F.size(F.array_intersect("x.few", "y.few"))
+    exact = both * 100 >= (F.col("x.n") + F.col("y.n") - both) * percent
+    near = F.when((F.col("x.n") < SMALL) & (F.col("y.n") < SMALL), exact).otherwise(alike)
     here = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("key")
-    pairs = small.join(every, "key").where((F.col("x.part") != F.col("y.part")) & once & bound & near & here)
+    pairs = small.join(every, "key").where((F.col("x.part") != F.col("y.part")) & once & bound & here & near)
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
