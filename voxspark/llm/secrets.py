@@ -1,23 +1,25 @@
 """Secrets in texts, also under nested encodings.
 
 A worklist starts with the text itself. Every layer is scanned; URL escapes,
-Unicode escapes, base64 runs and compressed bytes in it are unwrapped to new
-layers until nothing new comes up. A layer that was met before, over the same
-place, is not opened again, which ends cycles. Every layer knows for each of its
-characters the place in the source text, so a finding in any layer is a span of
-the source.
+Unicode escapes, base64 runs and compressed bytes at any place in it are
+unwrapped to new layers until nothing new comes up. Base64 is joined over line
+ends and read at each of its four offsets; of bytes that are not text all
+through, every readable stretch is a layer. A layer that was met before, over
+the same place, is not opened again, which ends cycles. Every layer knows for
+each of its characters the place in the source text, so a finding in any layer
+is a span of the source.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
 from collections import deque
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,22 @@ _URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00")
+# a line end, plain or written as an escape, and the blanks of the next line
+_BREAK = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*")
+_WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{_BREAK.pattern}[A-Za-z0-9+/_-]++)+={{0,2}}")
+_MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00")
+# ways to write bytes in a text: pattern of the escapes, and what one stands for
+_PLAIN_ESCAPES = {"n": 10, "r": 13, "t": 9, "\\": 92, "'": 39, '"': 34, "0": 0, "a": 7, "b": 8, "f": 12, "v": 11}
+_HEX_ESCAPE = r"\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\u\{0*([0-9A-Fa-f]{1,2})\}|\\U000000([0-9A-Fa-f]{2})"
+_BYTE_FORMS = [
+    ("%", re.compile(r"%([0-9A-Fa-f]{2})")), ("%", re.compile(r"%([0-9A-Fa-f]{2})|(\+)")),
+    ("\\", re.compile(_HEX_ESCAPE)), ("\\", re.compile(_HEX_ESCAPE + r"""|\\([nrt\\'"0abfv])""")),
+]
+#: No finding, and no layer that holds one, is shorter.
+_SHORTEST = 12
+_STRETCH = re.compile(
+    rb"(?:[\x09-\x0d\x20-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){%d,}" % _SHORTEST)
 
 Span = tuple[str, int, int]
 
@@ -57,30 +74,31 @@ def in_order(spans) -> list[Span]:
     return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def inflate(raw: bytes, most: int) -> bytes | None:
-    """gzip, zlib, bzip2 or xz content; None if it is neither, broken, or over ``most`` bytes."""
-    try:
-        if raw.startswith(b"BZh"):
-            box = bz2.BZ2Decompressor()
-        elif raw.startswith(b"\xfd7zXZ"):
-            box = lzma.LZMADecompressor(memlimit=1 << 26)
-        else:
-            box = zlib.decompressobj(47)
-            out = box.decompress(raw, most)
-            return None if box.unconsumed_tail or not box.eof else out
-        out = box.decompress(raw, most)
-        return out if box.eof else None
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-
+def inflate(raw: bytes, start: int, most: int) -> tuple[bytes, int] | None:
+    """Content and end of the gzip, zlib, bzip2 or xz streams at ``start``.
 
-def _readable(raw: bytes) -> str | None:
-    """The bytes as text if they are UTF-8 without control characters."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if re.search(r"[\x00-\x08\x0e-\x1f]", text) else text
+    Streams of a kind that follow each other are one content. None if there is
+    none, the first is broken or cut, or the content is over ``most`` bytes.
+    """
+    out, at = b"", start
+    while True:
+        try:
+            if raw.startswith(b"BZh", at):
+                box = bz2.BZ2Decompressor()
+            elif raw.startswith(b"\xfd7zXZ", at):
+                box = lzma.LZMADecompressor(memlimit=1 << 26)
+            else:
+                box = zlib.decompressobj(47)
+            part = box.decompress(memoryview(raw)[at:], most - len(out) + 1)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            part = None
+        if part is not None and len(out) + len(part) > most:
+            return None
+        if part is None or not box.eof:
+            return (out, at) if at > start else None
+        out, at = out + part, len(raw) - len(box.unused_data)
+        if raw[at : at + 2] != raw[start : start + 2]:
+            return out, at
 
 
 class Layer:
@@ -149,48 +167,94 @@ def _unicode(layer: Layer):
         yield _rewritten(layer, parts)
 
 
+def _opened(raw: bytes, place, most: int, text_too: bool = True):
+    """Layers of the readable stretches of ``raw``, and of all compressed content at any place in it.
+
+    ``place`` gives the source starts and ends of the bytes from a to b. The
+    stretches of ``raw`` itself are left out unless ``text_too``.
+    """
+    work = [(raw, place, text_too, frozenset())]
+    while work:
+        raw, place, text_too, met = work.pop()
+        for m in _STRETCH.finditer(raw) if text_too else ():
+            text, (starts, ends) = m[0].decode("utf-8"), place(*m.span())
+            last = np.cumsum(np.fromiter((len(c.encode("utf-8")) for c in text), np.int64, len(text))) - 1
+            yield Layer(text, starts[np.append(0, last[:-1] + 1)], ends[last])
+        at = 0
+        while m := _MAGIC.search(raw, at):
+            at = m.start() + 1
+            found = inflate(raw, m.start(), most)
+            if found is None:
+                continue
+            content, at = found
+            mark = hashlib.blake2b(content).digest()
+            if mark not in met:  # else content that unpacks to itself
+                work.append((content, _whole(*place(m.start(), at)), True, met | {mark}))
+
+
+def _whole(starts: np.ndarray, ends: np.ndarray):
+    """Compressed bytes have no finer place than their whole stream."""
+    lo, hi = int(starts.min()), int(ends.max())
+    return lambda a, b: (np.full(b - a, lo, np.int64), np.full(b - a, hi, np.int64))
+
+
 def _base64(layer: Layer, most: int):
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        packed, opened = raw.startswith(_MAGIC), set()
-        while raw is not None and raw.startswith(_MAGIC):
-            opened.add(hashlib.blake2b(raw).digest())
-            raw = inflate(raw, most)
-            if raw is not None and hashlib.blake2b(raw).digest() in opened:
-                raw = None  # content that unpacks to itself
-        text = None if raw is None else _readable(raw)
-        if not text:
-            continue
-        if packed:  # compressed bytes have no finer place than the whole run
-            lo, hi = layer.source(*m.span())
-            yield Layer(text, np.full(len(text), lo, np.int64), np.full(len(text), hi, np.int64))
+    for m in chain(_BASE64.finditer(layer.text), _WRAPPED.finditer(layer.text)):
+        signs = _BREAK.sub("", m[0])
+        if len(signs) < 16:
             continue
-        # four signs make three bytes: a character lies over the quads of its bytes
-        sizes = np.array([len(c.encode("utf-8")) for c in text], np.int64)
-        first = np.cumsum(sizes) - sizes
-        a = m.start() + first // 3 * 4
-        b = np.minimum(m.start() + ((first + sizes - 1) // 3 + 1) * 4, m.end())
-        yield Layer(text, layer.starts[a], layer.ends[b - 1])
+        at = None  # the places of the signs, once they are asked for
+        run = signs.rstrip("=").replace("-", "+").replace("_", "/")
+        for shift in range(4):  # what is glued to its front moves the run against its quads
+            own = run[shift:]
+            own = own[: len(own) - (len(own) % 4 == 1)]
+            raw = base64.b64decode(own + "=" * (-len(own) % 4))
+
+            def place(a, b):
+                """Four signs make three bytes: a byte lies over its quad."""
+                nonlocal at
+                if at is None:
+                    stay = np.ones(len(m[0]), bool)
+                    for gap in _BREAK.finditer(m[0]):
+                        stay[gap.start() : gap.end()] = False
+                    at = m.start() + np.flatnonzero(stay)
+                quad = np.arange(a, b) // 3 * 4 + shift
+                return layer.starts[at[quad]], layer.ends[at[np.minimum(quad + 3, len(at) - 1)]]
+
+            yield from _opened(raw, place, most)
 
 
 def _packed(layer: Layer, most: int):
-    """A layer that is itself compressed bytes, each written as the character of its value."""
-    text = layer.text
-    if text[:2] in ("\x1f\x8b", "BZ") or text[:1] in ("\x78", "\xfd"):
-        try:
-            raw = text.encode("latin-1")
-        except UnicodeEncodeError:
-            return
-        out = inflate(raw, most) if raw.startswith(_MAGIC) else None
-        new = None if out is None else _readable(out)
-        if new:
-            lo, hi = layer.source(0, len(text))
-            yield Layer(new, np.full(len(new), lo, np.int64), np.full(len(new), hi, np.int64))
+    """Compressed bytes in the layer, written as escapes or each as the character of its value."""
+    def place(a, b):
+        return layer.starts[a:b], layer.ends[a:b]
+
+    # a character beyond a byte stands for itself in no stream, so any will do
+    yield from _opened(layer.text.encode("latin-1", "replace"), place, most, text_too=False)
+    for sign, form in _BYTE_FORMS:
+        if sign not in layer.text:
+            continue
+        found = list(form.finditer(layer.text))
+        raw, at = [], 0
+        for m in found:
+            code = m[m.lastindex]
+            value = 32 if code == "+" else _PLAIN_ESCAPES[code] if m[0][1:] == code and sign == "\\" else int(code, 16)
+            raw += [layer.text[at : m.start()].encode("latin-1", "replace"), bytes([value])]
+            at = m.end()
+        raw = b"".join([*raw, layer.text[at:].encode("latin-1", "replace")])
+
+        first = None
+
+        def place(a, b):
+            nonlocal first
+            if first is None:
+                stay = np.ones(len(layer.text), bool)
+                for m in found:
+                    stay[m.start() + 1 : m.end()] = False
+                first = np.append(np.flatnonzero(stay), len(stay))
+            return layer.starts[first[a:b]], layer.ends[first[a + 1 : b + 1] - 1]
+
+        yield from _opened(raw, place, most, text_too=False)
 
 
 def _mark(text: str) -> bytes:
@@ -199,7 +263,7 @@ def _mark(text: str) -> bytes:
 
 def layers(text: str, most: int = 1 << 24):
     """Every layer below ``text``, each place and content once, nearest first."""
-    if not ("%" in text or "\\" in text or _BASE64.search(text)):
+    if not ("%" in text or "\\" in text or _BASE64.search(text) or _WRAPPED.search(text) or _MAGIC.search(text.encode("latin-1", "replace"))):
         return
     place = np.arange(len(text), dtype=np.int64)
     work, met = deque([Layer(text, place, place + 1)]), {_mark(f"0:{len(text)}:{text}")}
