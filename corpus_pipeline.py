@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxspark.llm import cotrain, line_dedup, minhash, packing, secrets
+from voxspark.operators.ordering import with_row_number
 from voxspark.session import settle
 
 
@@ -28,13 +29,18 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows that share an id are one document.
+    """One row of each group of near copies: the smallest id, then the smallest hash of its text and of its columns.
 
-    Rows without an id are never compared and all stay.
+    Rows are compared by their texts, also where they share an id. Of the texts
+    without words one row of each id stays. Rows without an id are never
+    compared and all stay.
     """
-    gone = minhash.near_duplicates(docs).where("NOT kept").select(F.col("id").alias("doc_id"))
-    named = docs.where("doc_id IS NOT NULL").join(gone.distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    order = ["doc_id", F.xxhash64("text"), F.xxhash64(*docs.columns)]
+    named = with_row_number(docs.where("doc_id IS NOT NULL"), [], order, "_row")
+    left = minhash.near_duplicates(named, "_row").where("kept").select(F.col("id").alias("_row"), "n_shingles")
+    blank = F.when(F.col("n_shingles") > 0, F.col("_row"))
+    stay = named.select("_row", "doc_id").join(left, "_row").groupBy("doc_id", blank.alias("_own")).agg(F.min("_row").alias("_row"))
+    return named.join(stay.select("_row"), "_row", "left_semi").select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 
 def hidden_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

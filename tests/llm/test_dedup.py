@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from voxspark.llm import graph, line_dedup, minhash, shingles
 
 BLANKS = "[\x20\x09-\x0d]+"
@@ -141,6 +142,21 @@ def test_lane_bits_agree_by_chance_on_small_sets():
         assert abs((a == b).mean() - 0.5) < 0.08
 
 
+def test_near_copies_of_repeated_ids(spark):
+    """A text of its own stays, though another row of its id is a near copy."""
+    story = " ".join(f"word{i}" for i in range(40))
+    rows = [
+        (3, story, "a"), (5, story + " more", "b"), (5, "a text that is found nowhere else at all", "c"), (6, "", "d"), (6, "", "e"), (7, " ", "f"),
+        (8, "two different texts of one id, the first", "g"), (8, "and the second one which nobody else has", "h"), (8, story, "i"),
+        (None, story, "j"), (None, story, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    done = corpus_pipeline.near_copies(spark, docs, "")
+    got = {r["source"] for r in done.collect()}
+    assert done.columns == docs.columns and done.count() == 8
+    assert got - {"d", "e"} == {"a", "c", "f", "g", "h", "j", "k"} and len(got & {"d", "e"}) == 1
+    assert corpus_pipeline.near_copies(spark, docs.limit(0), "").count() == 0
+
+
 def test_estimate_takes_chance_out():
     rng = np.random.default_rng(0)
     signer = minhash.Signer()
