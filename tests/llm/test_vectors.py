@@ -87,6 +87,15 @@ def test_the_count_is_calibrated(dim):
         assert ((np.abs((x - y) @ d) <= window).sum(axis=1) >= least).mean() < 0.1
 
 
+def test_collision_chance_in_two_dimensions():
+    """Directions drawn anew for each pair, as the chance is defined."""
+    distance, window, least = vector_links.calibrated(2, 0.93)
+    angle = np.random.default_rng(1).uniform(0, math.pi, (20_000, vector_links.LINES))
+    hits = (np.abs(distance * np.cos(angle)) <= window).sum(axis=1)
+    assert abs(hits.mean() / vector_links.LINES - vector_links._collision_chance(2, distance, window)) < 0.01
+    assert (hits >= least).all() and vector_links._collision_chance(2, 0.0, 0.0) == 1
+
+
 def expected_top(rows, ids, k):
     out = []
     for i, v in rows:

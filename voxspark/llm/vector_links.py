@@ -38,6 +38,8 @@ def directions(dim: int) -> np.ndarray:
 
 def _collision_chance(dim: int, distance: float, window: float) -> float:
     """That a random unit direction brings two points at ``distance`` within the window."""
+    if dim == 2:  # the density has no bound at its ends
+        return 2 / math.pi * math.asin(min(window / distance, 1)) if distance else 1.0
     u = np.linspace(-1, 1, 20001)
     weight = np.maximum(1 - u * u, 0) ** max((dim - 3) / 2, 0) if dim > 1 else np.where(np.abs(u) == 1, 1.0, 0.0)
     return float(weight[np.abs(u) * distance <= window].sum() / weight.sum())
