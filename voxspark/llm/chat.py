@@ -50,14 +50,16 @@ def format_turns(
     numbers; rows that repeat a number stay together.
     """
     rows = turns.select(
-        F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
+        F.col(conv_col).alias("id"), F.coalesce(F.col(conv_col).cast("string"), F.lit("")).alias("key"), F.col(conv_col).isNull().alias("none"),
+        F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).withColumn("part", F.coalesce(F.floor(F.col("turn") / span), F.lit(_FIRST)))
-    each = rows.groupBy("conv_id", "part").agg(
+    # keys without nulls: a null-safe join would shuffle the texts once more
+    each = rows.groupBy("key", "none", "part").agg(
+        F.max("id").alias("conv_id"),
         F.aggregate(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), F.lit(None).cast(_RUNS), _merge).alias("runs"))
-    near = _neighbours(rows).select(F.col("conv_id").alias("c"), F.col("part").alias("p"), "before", "after", "n_parts")
-    both = each.join(near, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")), "left")
+    both = each.join(_neighbours(rows), ["key", "none", "part"], "left")
     open_role = F.when(F.col("before") == F.col("runs")[0]["role"], F.col("before"))
     going_on = F.coalesce(F.col("after") == F.element_at("runs", -1)["role"], F.lit(False))
     shaped = both.select(
@@ -82,12 +84,12 @@ def _merge(runs: Column, turn: Column) -> Column:
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
-    """conv_id, part, n_parts, before, after: the roles next to each part, for conversations of several parts."""
-    ends = rows.groupBy("conv_id", "part").agg(
+    """key, none, part, n_parts, before, after: the roles next to each part, for conversations of several parts."""
+    ends = rows.groupBy("key", "none", "part").agg(
         F.min(F.struct("turn", "role"))["role"].alias("first"), F.max(F.struct("turn", "role"))["role"].alias("last"))
-    w = Window.partitionBy("conv_id")
+    w = Window.partitionBy("key", "none")
     return ends.select(
-        "conv_id", "part", F.count(F.lit(1)).over(w).alias("n_parts"),
+        "key", "none", "part", F.count(F.lit(1)).over(w).alias("n_parts"),
         F.lag("last").over(w.orderBy("part")).alias("before"), F.lead("first").over(w.orderBy("part")).alias("after"),
     ).where("n_parts > 1")
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, chat, cotrain, language, line_dedup, lm, minhash, packing, secrets, top_k, vector_links
+from voxspark.llm import bpe, chat, cotrain, language, line_dedup, lm, minhash, packing, secrets, spelling, top_k, vector_links
 from voxspark.llm.common import crc_mod
+from voxspark.session import settle
 
 QUERIES, SQL = {}, {}
 
@@ -148,6 +149,43 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), *counts, F.sha2(written["base_spans"], 256).alias("base_sha256"), written["spans"].alias("spans"))
 
 
+@register("op12_spelling_variants", r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+counted AS (SELECT run, count(*) AS k, coalesce(doc_id::VARCHAR, '') || ':' || run AS named FROM runs GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, k, flatten(list_transform(range(1, length(named) + 1), lambda i: CASE WHEN ord(substr(named, i, 1)) < 128 THEN [ord(substr(named, i, 1))::BIGINT]
+    ELSE [192 + (ord(substr(named, i, 1)) >> 6), 128 + (ord(substr(named, i, 1)) & 63)] END)) AS b FROM counted),
+hashed AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM bytes, steps),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(k)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(k) >= 5),
+cut AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+rests AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM cut),
+near AS (
+  SELECT a.word, b.word AS other FROM rests a JOIN rests b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT r.word, w.word FROM rests r JOIN words w ON r.rest = w.word
+  UNION SELECT w.word, r.word FROM rests r JOIN words w ON r.rest = w.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(other, (-w.n, other)) AS form, max(w.n) AS form_n
+  FROM near JOIN words w ON w.word = other GROUP BY near.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS at FROM formed UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL),
+tops AS (SELECT c.word, c.at AS root FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NULL)
+SELECT * FROM formed JOIN tops USING (word)""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.count_runs(table(spark, sf_dir, "documents"), r"[A-Za-z\u00C0-\u00FF]+", typo_every=199)
+    return spelling.variants(settle(runs.where((F.length("word") >= 6) & (F.col("n") >= 5))))
+
+
 @register("op13_chat_format", r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
