@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxspark.llm import bpe, chat, cotrain, language, line_dedup, lm, minhash, packing, secrets, spelling, top_k, vector_links
+from voxspark.llm import align, bpe, chat, cotrain, language, line_dedup, lm, minhash, packing, secrets, spelling, top_k, vector_links
 from voxspark.llm.common import crc_mod
 from voxspark.session import settle
 
@@ -149,6 +149,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), *counts, F.sha2(written["base_spans"], 256).alias("base_sha256"), written["spans"].alias("spans"))
 
 
+@register("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = align.align_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return done.withColumnRenamed("id", "doc_id")
+
+
 @register("op12_spelling_variants", r"""
 WITH RECURSIVE steps AS (
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
