@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import Registry, table, texts
-from voxspark.functions import text as X
+from voxspark.functions import stemming, text as X
 from voxspark.operators import chunks, overlap, profile, sentiment, summaries, vocabulary
 from voxspark.plans import prepare
 from voxspark.session import settle
@@ -133,6 +133,41 @@ def token_reduction(spark, sf):
     return out.select("doc_id", F.md5(F.array_join("reduced", " ")).alias("reduced"))
 
 
+def _stem_sql(steps) -> str:
+    """The suffix rules as SQL, one table per step, from the words of the table ``p0`` (form, w)."""
+    out = []
+    for i, rules in enumerate(steps):
+        cases, seen = [], {}
+        for r in rules:
+            seen.setdefault(r.suffix, []).append(r)
+        for suffix in sorted(seen, key=len, reverse=True):
+            n, inner = len(suffix), []
+            for r in seen[suffix]:
+                stem, form = f"w[:length(w) - {n}]", f"f[:length(w) - {n}]"
+                changes = f"len(regexp_extract_all({form}, 'vc'))"
+                tests = [
+                    "true", *([f"{changes} >= {r.least}"] if r.least else []), *([f"{changes} = {r.exact}"] if r.exact is not None else []),
+                    *([f"{form} LIKE '%v%'"] if r.vowel else []), *([f"right({stem}, 1) IN ({', '.join(repr(c) for c in r.ends)})"] if r.ends else []),
+                    *([f"({'' if r.cvc else 'NOT '}({form} LIKE '%cvc' AND right({stem}, 1) NOT IN ('w', 'x', 'y')))"] if r.cvc is not None else []),
+                    *([f"regexp_matches({stem}, '({'|'.join(2 * c for c in 'bcdfghjkmnpqrtvwxyz')})$') AND {form} LIKE '%c'"] if r.double else [])]
+                inner.append(f"WHEN {' AND '.join(tests)} THEN w[:length(w) - {n + r.drop}] || '{r.replacement}'")
+            cases.append(f"WHEN w LIKE '%{suffix}' THEN CASE {' '.join(inner)} ELSE w END")
+        shown = "regexp_replace(regexp_replace(regexp_replace(w, '([^aeiou])y', '\\1i', 'g'), '[^aeiou]', 'c', 'g'), '[aeiou]', 'v', 'g')"
+        out.append(f"p{i + 1} AS (SELECT form, CASE WHEN length(form) < 3 THEN w {' '.join(cases)} ELSE w END AS w FROM (SELECT *, {shown} AS f FROM p{i}))")
+    return ", ".join(out)
+
+
+@Q.add("stemmed_tokens", f"""
+WITH t AS (SELECT doc_id, unnest(tokens) AS form, generate_subscripts(tokens, 1) AS pos FROM {_TOKENIZED}),
+p0 AS (SELECT DISTINCT form, form AS w FROM t),
+{_stem_sql(stemming.PORTER)},
+r AS (SELECT doc_id, string_agg(w, ' ' ORDER BY pos) FILTER (length(w) >= 3) AS reduced FROM t JOIN p{len(stemming.PORTER)} USING (form) GROUP BY doc_id)
+SELECT doc_id, coalesce(reduced, '') AS reduced FROM documents LEFT JOIN r USING (doc_id)""")
+def stemmed_tokens(spark, sf):
+    out = vocabulary.stem_tokens(_tokenized(spark, sf), "doc_id", "tokens", min_len=3)
+    return out.select("doc_id", F.array_join("reduced", " ").alias("reduced"))
+
+
 _LEXICON = f"""(SELECT token, round(4 * avg(quality) - 3, 3) AS valence FROM
   (SELECT DISTINCT doc_id, quality, unnest({_tokens('text')}) AS token FROM documents JOIN labels USING (doc_id))
   GROUP BY token HAVING count(*) >= 3)"""
@@ -159,6 +194,59 @@ def lexicon_sentiment(spark, sf):
     return sentiment.lexicon_sentiment(_tokenized(spark, sf), "doc_id", "tokens", settle(lexicon))
 
 
+_PUNCT = sentiment.PUNCTUATION.replace("'", "''")
+_SPLIT = rf"""(SELECT doc_id, text, list_transform(list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\r\f\x0B]+'), lambda w: w <> ''),
+  lambda w: CASE WHEN length(regexp_replace(w, '^{_PUNCT}|{_PUNCT}$', '', 'g')) > 2 THEN regexp_replace(w, '^{_PUNCT}|{_PUNCT}$', '', 'g') ELSE w END) AS words FROM documents)"""
+
+
+def _bend(step: int, weight: float, source: str) -> str:
+    """SQL of one word before: ``v`` under the influence of the word ``step`` places back."""
+    boost = f"""CASE WHEN b{step} IS NULL THEN 0 ELSE (b{step} * CASE WHEN v < 0 THEN -1 ELSE 1 END
+      + CASE WHEN c{step} AND mixed THEN CASE WHEN v > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0 END) * {weight}::DOUBLE END"""
+    return f"""SELECT * REPLACE (CASE WHEN c{step} IS NULL OR k{step} THEN v WHEN g{step} THEN (v + {boost}) * -0.74::DOUBLE ELSE v + {boost} END AS v) FROM {source}"""
+
+
+@Q.add("rule_sentiment", f"""
+WITH docs AS {_SPLIT},
+lexicon AS (SELECT token, round(4 * avg(quality) - 3, 3) AS valence FROM
+  (SELECT DISTINCT doc_id, quality, lower(unnest(words)) AS token FROM docs JOIN labels USING (doc_id)) GROUP BY token HAVING count(*) >= 3),
+other AS (SELECT DISTINCT lower(unnest(list_transform(string_split_regex(text, '[ \t\n\r\f\x0B]+'), lambda w: regexp_replace(w, '[^A-Za-z]', '', 'g')))) AS token FROM benchmark),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM docs),
+x AS (SELECT doc_id, pos, word, lower(word) AS low, upper(word) = word AND lower(word) <> word AS c, valence,
+    CASE WHEN o.token LIKE '%t' THEN 0.293::DOUBLE WHEN o.token LIKE '%s' THEN -0.293::DOUBLE END AS b, coalesce(o.token LIKE '%r', false) AS g
+  FROM w LEFT JOIN lexicon l ON l.token = lower(word) LEFT JOIN other o ON o.token = lower(word)),
+y AS (SELECT *, valence IS NOT NULL AS k, count(*) FILTER (c) OVER d BETWEEN 1 AND count(*) OVER d - 1 AS mixed, min(pos) FILTER (low = 'und') OVER d AS turn
+  FROM x WINDOW d AS (PARTITION BY doc_id)),
+z AS (SELECT *, {', '.join(f'lag({c}, {i}) OVER o AS {c}{i}' for c in 'bgkc' for i in (1, 2, 3))} FROM y WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+v0 AS (SELECT *, valence + CASE WHEN c AND mixed THEN sign(valence) * 0.733::DOUBLE ELSE 0 END AS v FROM z),
+v1 AS ({_bend(1, 1.0, 'v0')}),
+v2 AS ({_bend(2, 0.95, 'v1')}),
+v3 AS ({_bend(3, 0.9, 'v2')}),
+s AS (SELECT doc_id, pos, CASE WHEN valence IS NULL OR b IS NOT NULL THEN 0::DOUBLE ELSE v END
+  * CASE WHEN turn IS NULL OR pos = turn THEN 1::DOUBLE WHEN pos < turn THEN 0.5 ELSE 1.5 END AS s FROM v3),
+sums AS (SELECT doc_id, list_reduce(list_prepend(0::DOUBLE, list(s ORDER BY pos)), lambda a, b: a + b) AS total,
+    list_reduce(list_prepend(0::DOUBLE, list(CASE WHEN s > 0 THEN s + 1 ELSE 0 END ORDER BY pos)), lambda a, b: a + b) AS pos,
+    list_reduce(list_prepend(0::DOUBLE, list(CASE WHEN s < 0 THEN s - 1 ELSE 0 END ORDER BY pos)), lambda a, b: a + b) AS neg,
+    count(*) FILTER (s = 0)::DOUBLE AS neu FROM s GROUP BY doc_id),
+marks AS (SELECT doc_id, coalesce(total, 0) AS total, coalesce(pos, 0) AS pos, abs(coalesce(neg, 0)) AS neg, coalesce(neu, 0) AS neu,
+    least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE AS bangs, length(text) - length(replace(text, '?', '')) AS asked
+  FROM documents LEFT JOIN sums USING (doc_id)),
+m AS (SELECT *, coalesce(bangs, 0) + CASE WHEN coalesce(asked, 0) <= 1 THEN 0 WHEN asked <= 3 THEN asked * 0.18::DOUBLE ELSE 0.96 END AS mark FROM marks),
+e AS (SELECT doc_id, neu, total + sign(total) * mark AS total, pos + CASE WHEN pos > neg THEN mark ELSE 0 END AS pos, neg + CASE WHEN pos < neg THEN mark ELSE 0 END AS neg FROM m)
+SELECT doc_id, round(coalesce(neg / nullif(pos + neg + neu, 0), 0), 3) AS vader_neg, round(coalesce(neu / nullif(pos + neg + neu, 0), 0), 3) AS vader_neu,
+  round(coalesce(pos / nullif(pos + neg + neu, 0), 0), 3) AS vader_pos, round(total / sqrt(total * total + 15), 4) AS vader_compound FROM e""")
+def rule_sentiment(spark, sf):
+    """Valences are learned from the labelled documents; the endings of benchmark words make boosters and negations."""
+    words = F.transform(sentiment.sentiment_words("text"), F.lower)
+    labelled = _docs(spark, sf).select("doc_id", F.explode(F.array_distinct(words)).alias("token")).join(table(spark, sf, "labels"), "doc_id")
+    lexicon = labelled.groupBy("token").agg(F.round(4 * F.avg("quality") - 3, 3).alias("valence"), F.count(F.lit(1)).alias("n")).where("n >= 3")
+    bare = F.transform(F.split("text", r"[ \t\n\r\f\x0B]+"), lambda w: F.lower(F.regexp_replace(w, "[^A-Za-z]", "")))
+    other = table(spark, sf, "benchmark").select(F.explode(bare).alias("token")).distinct()
+    end = F.right("token", F.lit(1))
+    boosters = other.where(end.isin("t", "s")).select("token", F.when(end == "t", 0.293).otherwise(-0.293).alias("scalar"))
+    return sentiment.rule_sentiment(_docs(spark, sf), "doc_id", "text", settle(lexicon), boosters, other.where(end == "r"), "und")
+
+
 @Q.add("sentiment_by_entity", f"""
 WITH w AS (SELECT source, list_filter(tokens, lambda t: t LIKE '%n') AS neg, tokens FROM {_TOKENIZED})
 SELECT source, round(avg((len(tokens) - 2 * len(neg)) / sqrt((len(tokens) - 2 * len(neg)) * (len(tokens) - 2 * len(neg)) + 15.0)), 5) AS compound

@@ -1,8 +1,8 @@
-"""Lexicon sentiment per text."""
+"""Sentiment of texts: lexicon sums, and the published rules for words in context."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions import text as X
 from voxspark.operators.joins import checked_key, lookup_join
@@ -48,3 +48,126 @@ def lexicon_sentiment(
             f"{prefix}compound"
         ),
     )
+
+
+# Fixed values of the published rules: what capitals add, the factor of a
+# negation, the weight of a booster by its distance, the weights before and
+# after a contrast, and what exclamation and question marks add.
+CAPITALS = 0.733
+NEGATION = -0.74
+DISTANCE = (1.0, 0.95, 0.9)
+BEFORE, AFTER = 0.5, 1.5
+EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4
+QUESTION, MOST_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
+PUNCTUATION = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]+"""
+
+_INFO = "struct<known:boolean,scalar:double,negates:boolean,capital:boolean>"
+_STATE = f"struct<p1:{_INFO},p2:{_INFO},p3:{_INFO},at:int,total:double,pos:double,neg:double,neu:double>"
+
+
+def sentiment_words(text: str) -> Column:
+    """Words between blanks, without punctuation around them unless at most two signs would be left (emoticons)."""
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[ \t\n\r\f\x0B]+"), lambda w: w != "")
+
+    def bare(w: Column) -> Column:
+        inner = F.regexp_replace(w, f"^{PUNCTUATION}|{PUNCTUATION}$", "")
+        return F.when(F.length(inner) > 2, inner).otherwise(w)
+
+    return F.transform(words, bare)
+
+
+def rule_sentiment(
+    df: DataFrame, doc: str, text: str, lexicon: DataFrame, boosters: DataFrame, negations: DataFrame,
+    contrast: str = "mas", prefix: str = "vader_",
+) -> DataFrame:
+    """(doc, neg, neu, pos, compound) by the published rules for valence in context.
+
+    ``lexicon`` (token, valence), ``boosters`` (token, scalar) and ``negations``
+    (token) are tables of lower-case words; one that repeats a token is an
+    error. A word's valence grows with capitals (where the text is not all in
+    capitals), with boosters among the three words before it, and turns with a
+    negation there; words of the lexicon in between change nothing. What stands
+    before the first ``contrast`` word counts half, what follows it one and a
+    half times. Exclamation and question marks strengthen the sum.
+
+    Only a text's distinct words meet the tables; the rules are one fold over
+    its words that keeps the last three in its state. A null text is empty.
+    """
+    rows = df.select(F.col(doc).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), sentiment_words(text).alias("_words"))
+    rows = rows.withColumn("_low", F.transform("_words", F.lower))
+    nothing = F.lit(None).cast("double")
+    entries = (
+        checked_key(lexicon.select("token", "valence"), ["token"]).select("token", "valence", nothing.alias("scalar"), F.lit(False).alias("negates"))
+        .union(checked_key(boosters.select("token", "scalar"), ["token"]).select("token", nothing, "scalar", F.lit(False)))
+        .union(checked_key(negations.select("token"), ["token"]).select("token", nothing, nothing, F.lit(True)))
+        .groupBy("token").agg(F.max("valence").alias("valence"), F.max("scalar").alias("scalar"), F.max("negates").alias("negates")))
+    forms = rows.select("_doc", F.explode(F.array_distinct("_low")).alias("token"))
+    found = lookup_join(forms, entries, "token", "inner")
+    known = found.groupBy("_doc").agg(F.map_from_entries(F.collect_list(F.struct("token", F.struct("valence", "scalar", "negates")))).alias("_known"))
+    rows = rows.join(known, "_doc", "left")
+
+    n_capital = F.size(F.filter("_words", _capital))
+    mixed = (n_capital > 0) & (n_capital < F.size("_words"))
+    turn = F.array_position("_low", contrast)
+    rows = rows.select("_doc", "_text", "_known", mixed.alias("_mixed"), turn.alias("_turn"), F.arrays_zip("_words", "_low").alias("_zip"))
+    none = F.lit(None).cast(_INFO)
+    zero = F.lit(0.0)
+    start = F.struct(
+        none.alias("p1"), none.alias("p2"), none.alias("p3"), F.lit(0).alias("at"), zero.alias("total"), zero.alias("pos"), zero.alias("neg"),
+        zero.alias("neu")).cast(_STATE)
+    state = rows.withColumn("_s", F.aggregate("_zip", start, _step)).select("_doc", "_text", "_s.total", "_s.pos", "_s.neg", "_s.neu")
+
+    marks = F.least(_count("!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION
+    asked = _count("?")
+    marks = marks + F.when(asked <= 1, 0.0).when(asked <= MOST_QUESTIONS, asked * QUESTION).otherwise(MANY_QUESTIONS)
+    state = state.withColumn("_marks", marks).select(
+        "_doc", "neu", (F.col("total") + F.signum("total") * F.col("_marks")).alias("total"),
+        (F.col("pos") + F.when(F.col("pos") > F.abs("neg"), F.col("_marks")).otherwise(0.0)).alias("pos"),
+        (F.abs("neg") + F.when(F.col("pos") < F.abs("neg"), F.col("_marks")).otherwise(0.0)).alias("neg"))
+    whole = F.col("pos") + F.col("neg") + F.col("neu")
+
+    def share(c: str) -> Column:
+        return F.round(F.coalesce(F.try_divide(F.col(c), whole), F.lit(0.0)), 3).alias(f"{prefix}{c}")
+
+    compound = F.round(F.col("total") / F.sqrt(F.col("total") * F.col("total") + ALPHA), 4)
+    return state.select(F.col("_doc").alias(doc), share("neg"), share("neu"), share("pos"), compound.alias(f"{prefix}compound"))
+
+
+def _capital(w: Column) -> Column:
+    return (F.upper(w) == w) & (F.lower(w) != w)
+
+
+def _count(sign: str) -> Column:
+    return F.length("_text") - F.length(F.replace("_text", F.lit(sign), F.lit("")))
+
+
+def _step(state: Column, word: Column) -> Column:
+    """Move on by one word: its valence in context is made once and then added up."""
+    entry = F.try_element_at("_known", word["_low"])
+    capital = _capital(word["_words"])
+    info = F.struct(
+        entry["valence"].isNotNull().alias("known"), entry["scalar"].alias("scalar"), F.coalesce(entry["negates"], F.lit(False)).alias("negates"),
+        capital.alias("capital")).cast(_INFO)
+    base = F.coalesce(entry["valence"], F.lit(0.0))
+    louder = base + F.when(capital & F.col("_mixed"), F.signum(base) * CAPITALS).otherwise(0.0)
+    before = F.array(*[F.struct(state[f"p{k + 1}"].alias("word"), F.lit(w).alias("weight")) for k, w in enumerate(DISTANCE)])
+    in_context = F.when(entry["valence"].isNull() | entry["scalar"].isNotNull(), 0.0).otherwise(F.aggregate(before, louder, _bent))
+    at = state["at"]
+    weight = F.when((F.col("_turn") == 0) | (at == F.col("_turn") - 1), 1.0).when(at < F.col("_turn") - 1, BEFORE).otherwise(AFTER)
+
+    def added(s: Column, v: Column) -> Column:
+        return F.struct(
+            info.alias("p1"), s["p1"].alias("p2"), s["p2"].alias("p3"), (s["at"] + 1).alias("at"), (s["total"] + v).alias("total"),
+            (s["pos"] + F.when(v > 0, v + 1).otherwise(0.0)).alias("pos"), (s["neg"] + F.when(v < 0, v - 1).otherwise(0.0)).alias("neg"),
+            (s["neu"] + F.when(v == 0, 1.0).otherwise(0.0)).alias("neu")).cast(_STATE)
+
+    return F.aggregate(F.array(in_context * weight), state, added)
+
+
+def _bent(v: Column, near: Column) -> Column:
+    """A valence under the influence of one of the words before it."""
+    word = near["word"]
+    rising = F.when(v < 0, -1.0).otherwise(1.0)
+    louder = F.when(word["capital"] & F.col("_mixed"), F.when(v > 0, CAPITALS).otherwise(-CAPITALS)).otherwise(0.0)
+    boost = F.when(word["scalar"].isNotNull(), (word["scalar"] * rising + louder) * near["weight"]).otherwise(0.0)
+    return F.when(word.isNull() | word["known"], v).when(word["negates"], (v + boost) * NEGATION).otherwise(v + boost)

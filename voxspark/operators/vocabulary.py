@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
-from voxspark.functions import text as X
+from voxspark.functions import stemming, text as X
 from voxspark.operators.joins import checked_key, hot_keys, lookup_join, salted_join
 from voxspark.session import settle
 
@@ -79,3 +81,17 @@ def reduce_tokens(
         .withColumn(out, F.coalesce(F.when(F.col("_m").isNull(), F.col(tokens)).otherwise(rewritten), empty))
         .drop("_m")
     )
+
+
+def stem_tokens(
+    df: DataFrame, doc: str, tokens: str, steps: Sequence[Sequence[stemming.Rule]] = stemming.PORTER, min_len: int = 0, out: str = "reduced"
+) -> DataFrame:
+    """Replace each token by its stem, in place and order, and leave out stems shorter than ``min_len``.
+
+    The suffix rules run once per distinct word of the table, which is written
+    for it; the documents then meet their own words only. A null array is empty.
+    """
+    forms = df.select(F.explode(tokens).alias("token"))
+    changed = settle(stemming.stems(forms, "token", steps).where("form <> canonical"))
+    reduced = reduce_tokens(df, doc, tokens, changed, out)
+    return reduced.withColumn(out, F.filter(out, lambda t: F.length(t) >= min_len)) if min_len else reduced
