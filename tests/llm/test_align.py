@@ -19,7 +19,12 @@ PATHS = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k
 @pytest.fixture(scope="module")
 def pair():
     files = [open(p, "rb").read() for p in PATHS]
-    return align.Pair(align.ByteLevel(files[0]), align.Pieces(files[1]))
+    return align.Pair(align.ByteLevel(files[0], public_tokenizers.PATTERN), align.Pieces(files[1]))
+
+
+def test_both_coders_of_a_give_the_same_ids(pair):
+    plain, words = align.ByteLevel(open(PATHS[0], "rb").read()), [w for t in hard_texts() for w in t.split(" ")]
+    assert plain(words) == pair.a(words)
 
 
 @pytest.fixture(scope="module")
@@ -104,7 +109,7 @@ def test_table(spark, monkeypatch, pair, libraries, docs, entries):
     monkeypatch.setattr(align, "BLOCK_PAIRS", entries)
     texts = hard_texts()[::10] + [t for _, t in sample_texts(40)] + [None, "", "same text", "same text"]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, block string, codes int").repartition(3)
-    got = {r["id"]: tuple(r[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")) for r in align.align_tokens(df, *PATHS).collect()}
+    got = {r["id"]: tuple(r[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")) for r in align.align_tokens(df, *PATHS, public_tokenizers.PATTERN).collect()}
     assert [got[i] for i in range(len(texts))] == by_force(texts, pair, libraries)
 
 

@@ -9,14 +9,17 @@ blocks then ask only for the counts of their own pairs.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
@@ -27,7 +30,7 @@ from voxspark.session import settle
 #: A block of documents is closed at so many documents or entries of pairs.
 BLOCK_DOCS, BLOCK_PAIRS = 2048, 1 << 19
 #: Longest word that is kept in a task's cache, and the bytes of the cache.
-WORD, CACHE = 64, 32 << 20
+WORD, CACHE = 64, 96 << 20
 # A space between two signs that are no blanks: no token of either kind crosses it from the left.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -41,19 +44,32 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """Byte-level BPE of a ``tokenizers`` file; each word is encoded with a space before it."""
+    """Byte-level BPE of a ``tokenizers`` file; each word is encoded with a space before it.
 
-    def __init__(self, file: bytes):
-        self.coder = Tokenizer.from_str(file.decode())
-        self.coder.encode_special_tokens = True
-        letters = byte_letters()
-        self.bytes = [b""] * self.coder.get_vocab_size()
-        for token, i in self.coder.get_vocab().items():
+    With the ``pattern`` that cuts pre-tokens given, and ids in the order of the
+    merges, the same ids come from ``tiktoken``, which takes a quarter of the time.
+    """
+
+    def __init__(self, file: bytes, pattern: str | None = None):
+        coder = Tokenizer.from_str(file.decode())
+        coder.encode_special_tokens = True
+        letters, vocabulary = byte_letters(), coder.get_vocab()
+        self.bytes = [b""] * coder.get_vocab_size()
+        for token, i in vocabulary.items():
             # special tokens are never met, as their strings are plain text
             self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        if set(letters) - set(vocabulary):
+            raise ValueError("a byte-level vocabulary has a letter for every byte")
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in json.loads(file)["model"]["merges"]]
+        ranks = {self.bytes[vocabulary[m]]: vocabulary[m] for m in merged} | {bytes([b]): vocabulary[c] for c, b in letters.items()}
+        if pattern and sorted(ranks.values()) == list(range(256 + len(merged))) and [vocabulary[m] for m in merged] == list(range(256, 256 + len(merged))):
+            encode = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.encode = lambda texts: list(map(encode, texts))
+        else:
+            self.encode = lambda texts: [e.ids for e in coder.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.coder.encode_batch([" " + w for w in words], add_special_tokens=False)]
+        return self.encode([" " + w for w in words])
 
 
 class Pieces:
@@ -81,33 +97,33 @@ class Pair:
         self.words = not any(b" " in x.lstrip(b" ") for x in b.bytes)
         self.cache, self.held = {}, 0
 
-    def _encode(self, words: list[str]) -> dict[str, tuple | None]:
-        out = {}
+    def _encode(self, words: list[str]) -> Iterator[tuple | None]:
+        """Bytes of the two id arrays of each word. A, which has a letter for every byte, loses none; B is read back."""
+        piece = self.b.bytes.__getitem__
         for word, x, y in zip(words, self.a(words), self.b(words)):
-            want = (" " + word).encode()
-            same = b"".join(map(self.a.bytes.__getitem__, x)) == want == b"".join(map(self.b.bytes.__getitem__, y))
-            out[word] = (np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes()) if same else None
-        return out
+            same = b"".join(map(piece, y)) == (" " + word).encode()
+            yield (array("i", x).tobytes(), array("i", y).tobytes()) if same else None
 
     def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(ids of A, ids of B) of space and text, or None for an empty text and one whose bytes differ."""
         split = [(_CUT.split(t) if self.words else [t]) if t else [] for t in texts]
         if self.held > CACHE:
             self.cache, self.held = {}, 0
-        fresh = list({w for words in split for w in words if w not in self.cache})
-        found = self._encode(fresh)
-        for w in fresh:
-            if len(w) <= WORD:
-                self.cache[w] = found[w]
-                self.held += 200 + 12 * len(w)
-        out = []
+        fresh = list(set().union(*split).difference(self.cache))
+        self.cache.update(zip(fresh, self._encode(fresh)))
+        out, known = [], self.cache.__getitem__
         for words in split:
-            got = [self.cache[w] if w in self.cache else found[w] for w in words]
+            got = list(map(known, words))
             if not got or None in got:
                 out.append(None)
                 continue
             first, second = zip(*got)
             out.append((np.frombuffer(b"".join(first), np.int32), np.frombuffer(b"".join(second), np.int32)))
+        for word in fresh:
+            if len(word) > WORD:
+                del self.cache[word]
+            else:
+                self.held += 320 + 8 * len(word)
         return out
 
 
@@ -185,14 +201,14 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *rows]).astype(np.int32))
 
 
-def _aligned(texts: DataFrame, file_a: bytes, file_b: bytes, size_b: int) -> DataFrame:
+def _aligned(texts: DataFrame, file_a: bytes, file_b: bytes, size_b: int, pattern: str | None) -> DataFrame:
     """One row per document, and after each block one (``n_a`` null) that counts the block's documents per pair."""
 
     files = texts.sparkSession.sparkContext.broadcast((file_a, file_b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pair = Pair(ByteLevel(files.value[0]), Pieces(files.value[1]))
+        pair = Pair(ByteLevel(files.value[0], pattern), Pieces(files.value[1]))
         writer = Writer(max(len(pair.a.bytes), len(pair.b.bytes)))
         task, block, docs, entries, held, empty = TaskContext.get().partitionId(), 0, 0, 0, [], np.empty(0, np.int32)
 
@@ -248,10 +264,13 @@ def _looked_up(docs: pa.Table, counts: pa.Table) -> pa.Table:
     return kept
 
 
-def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align_tokens(
+    docs: DataFrame, path_a: str, path_b: str, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every row.
 
-    A is a byte-level BPE file, B a piece model; both encode a space and the
+    A is a byte-level BPE file (``pattern``: what cuts its pre-tokens, see
+    ``ByteLevel``), B a piece model; both encode a space and the
     whole text without special tokens. Groups are cut where tokens of both end;
     a link is a pair of tokens whose bytes overlap. ``count_sum`` adds up, over
     a row's links, how many rows of the table hold the id pair linked;
@@ -264,7 +283,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
     size_b = len(Pieces(file_b).bytes)
     if size_b * len(ByteLevel(file_a).bytes) >= 1 << 31:
         raise ValueError("id pairs of these vocabularies do not fit 31 bits")
-    rows = settle(_aligned(id_and_text(docs, id_col, text_col), file_a, file_b, size_b))
+    rows = settle(_aligned(id_and_text(docs, id_col, text_col), file_a, file_b, size_b, pattern))
     blocks = rows.where("n_a IS NULL").select(F.col("block").alias("asking"), F.inline(F.arrays_zip(F.col("codes").alias("code"), F.col("times").alias("n"))))
     totals = blocks.groupBy("code").agg(F.sum("n").alias("n_docs"))
     # an A id has at most as many pairs as B has ids

@@ -152,7 +152,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_token_alignment")
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = align.align_tokens(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.PATTERN)
     return done.withColumnRenamed("id", "doc_id")
 
 
