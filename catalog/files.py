@@ -8,9 +8,9 @@ from catalog.base import SQL_SECOND, Registry, second_text, table, texts
 from catalog.texts import STOPWORDS
 from voxspark import schemas as S
 from voxspark.functions import text as X
-from voxspark.operators import pages, topics
+from voxspark.operators import lda, pages, topics
 from voxspark.operators.relational import banded
-from voxspark.session import by_key, scratch_path
+from voxspark.session import by_key, scratch_path, settle
 from voxspark.sources import readers, writers
 from voxspark.streaming import ingest
 
@@ -49,6 +49,34 @@ def html_blocks(spark, sf):
     return blocks.select("page_id", "block_no", F.md5(pages.plain_text("block")).alias("block"))
 
 
+_WANTED = {"article": "^<article\\b", "list": "^<ul\\b", "ad": '^<div class="ad">$', "paragraph": "^<p>$", "bold": "^<b>$", "page": "^<html\\b"}
+_OPENS = "regexp_extract(piece, '^<([a-zA-Z0-9]+)', 1)"
+_VOID_SQL = "regexp_matches(piece, '(?i)^<(area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr|script|style)\\b') OR piece LIKE '%/>'"
+_FOLLOW = ",\n".join(f"""CASE WHEN b_{n} IS NULL AND opened <> '' AND regexp_matches(piece, '{p}') THEN pos + length(piece) ELSE b_{n} END AS b_{n},
+  CASE WHEN b_{n} IS NULL AND opened <> '' AND regexp_matches(piece, '{p}') THEN len(stack) + 1 ELSE d_{n} END AS d_{n},
+  CASE WHEN b_{n} IS NOT NULL AND e_{n} IS NULL AND level <= d_{n} THEN pos ELSE e_{n} END AS e_{n}""" for n, p in _WANTED.items())
+_CUTS = ",\n".join(f"""md5(nullif(substr(html, (b_{n} + 1)::BIGINT, (coalesce(e_{n}, pos) - b_{n})::BIGINT), '')) AS "{n}" """ for n in _WANTED)
+
+
+@Q.add("page_elements", rf"""
+WITH RECURSIVE cut AS (SELECT page_id, html, regexp_extract_all(html,
+  '(?is)(<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>|[^<]+|<)') AS pieces FROM pages),
+fold AS (
+  SELECT page_id, 0 AS i, 0 AS pos, []::VARCHAR[] AS stack, {', '.join(f'NULL::INT AS b_{n}, NULL::INT AS d_{n}, NULL::INT AS e_{n}' for n in _WANTED)} FROM cut
+  UNION ALL
+  SELECT page_id, i + 1, (pos + length(piece))::INT,
+    CASE WHEN level IS NOT NULL THEN stack[:level - 1] WHEN opened <> '' AND NOT alone THEN list_append(stack, opened) ELSE stack END, {_FOLLOW}
+  FROM (SELECT *, CASE WHEN closed <> '' AND list_contains(stack, closed) THEN len(stack) - list_position(list_reverse(stack), closed) + 1 END AS level
+    FROM (SELECT fold.*, pieces[i + 1] AS piece, lower({_OPENS.replace('piece', 'pieces[i + 1]')}) AS opened,
+        lower(regexp_extract(pieces[i + 1], '^</([a-zA-Z0-9]+)', 1)) AS closed, {_VOID_SQL.replace('piece', 'pieces[i + 1]')} AS alone
+      FROM fold JOIN cut USING (page_id) WHERE i < len(pieces)) x) y)
+SELECT page_id, {_CUTS} FROM fold JOIN cut USING (page_id) WHERE i = len(pieces)""")
+def page_elements(spark, sf):
+    """Whole elements of every page, each cut at its own end, also where tags were left open."""
+    rows = texts(spark, sf, "pages").select("page_id", pages.elements("html", _WANTED).alias("e"))
+    return rows.select("page_id", *[F.md5(f"e.{n}").alias(n) for n in _WANTED])
+
+
 @Q.add("place_pages", """
 SELECT s_suppkey, 'Rua ' || s_nationkey || ', Itu' AS address, s_name AS place_name, (s_suppkey % 5)::DOUBLE + 0.5 AS overall_rating,
   1000 + s_suppkey AS n_reviews, 'tok' || s_suppkey || '=' AS next_token, (s_suppkey % 20)::INT AS review_count FROM supplier""")
@@ -58,8 +86,8 @@ def place_pages(spark, sf):
     html = F.concat(
         F.lit('<style>x</style><div class="a" data-google-review-count="'), (F.col("s_suppkey") % 20).cast("string"),
         F.lit('" data-next-page-token="tok'), key, F.lit('="><h2 class="Lhccdd x">'), F.col("s_name"), F.lit(" "), address,
-        F.lit('</h2><span class="ffUfxe">'), address, F.lit('</span><b class="Aq14fc">'), (F.col("s_suppkey") % 5).cast("string"),
-        F.lit(',5</b><i class="z5jxId">'), F.replace(F.format_number(F.col("s_suppkey") + 1000, 0), F.lit(","), F.lit(".")),
+        F.lit('</h2><span class="ffUfxe"><span></span>'), address, F.lit('</span><b class="Aq14fc"><b>'), (F.col("s_suppkey") % 5).cast("string"),
+        F.lit(',5</b></b><i class="z5jxId"><i><!-- </i> --></i>'), F.replace(F.format_number(F.col("s_suppkey") + 1000, 0), F.lit(","), F.lit(".")),
         F.lit(" comentários</i></div><script>y</script>"),
     )
     rows = table(spark, sf, "supplier").select("s_suppkey", pages.cut_body(html).alias("html"))
@@ -76,21 +104,21 @@ def review_pages(spark, sf):
     key = F.col("o_orderkey")
     text = key.cast("string")
     block = F.concat(
-        F.lit('<div class="gws-review"><a class="RvU3D" href="/x?postId='), text, F.lit('&hl=pt"></a><div class="TSUbDb">user '),
-        F.col("o_custkey").cast("string"), F.lit('</div><a class="Msppse" href="/contrib/1">'),
+        F.lit('<div class="gws-review"><a class="RvU3D" href="/x?postId='), text, F.lit('&hl=pt"></a><div class="TSUbDb"><div><div>user</div></div> '),
+        F.col("o_custkey").cast("string"), F.lit('</div><a class="Msppse" href="/contrib/1"><span><a></a></span>'),
         F.when(key % 2 == 0, '<span class="QV3IV">Local Guide</span>').otherwise(""), F.lit("·"), (key % 30).cast("string"),
         F.lit(" comentários</a>"),
         F.when(key % 7 == 0, "").otherwise(F.concat(
             F.lit('<span class="lTi8oc z3HNkc" aria-label="Classificado como '), (key % 5 + 1).cast("string"), F.lit(',0 de 5,0,"></span>'),
         )),
-        F.lit('<span class="dehysf lTi8oc">2 dias atrás</span>'),
+        F.lit('<span class="dehysf lTi8oc"><span>2 <span>dias</span></span> atrás</span>'),
         # a full text, a short one in its section, and one with nested elements and a child of its own class
         F.when(key % 3 == 0, F.concat(F.lit('<span class="review-full-text">Bom\n\''), F.col("o_orderpriority"), F.lit("'</span>")))
         .when(key % 3 == 1, F.concat(F.lit('<span data-expandable-section="x">Bom <span>\''), F.col("o_orderpriority"), F.lit("'</span></span>")))
         .otherwise(F.concat(
             F.lit('<span class="review-full-text"><span>Bom</span><br/><span><b>'), F.col("o_orderpriority"),
             F.lit('</b></span><span class="k8MTF">Quartos: 5</span> depois</span>'))),
-        F.lit('<span jsname="CMh1ye">'), (key % 9).cast("string"), F.lit("</span></div>"),
+        F.lit('<span jsname="CMh1ye"><span><span></span>'), (key % 9).cast("string"), F.lit("</span></span></div>"),
     )
     per_page = table(spark, sf, "orders").select("o_custkey", F.floor(key / 1000).alias("page"), block.alias("block"))
     html = per_page.groupBy("o_custkey", "page").agg(F.array_join(F.collect_list("block"), "").alias("html"))
@@ -291,62 +319,60 @@ def stream_running_summary(spark, sf):
 
 # --- topic models ------------------------------------------------------------------------------------
 def _corpus(spark, sf):
-    return texts(spark, sf, "documents").select("doc_id", "source", X.tokenize("text", STOPWORDS, 4).alias("tokens"))
+    return settle(texts(spark, sf, "documents").select("doc_id", X.tokenize("text", STOPWORDS).alias("tokens")))
 
 
-def _model(spark, sf, k=6, passes=2):
+def _model(spark, sf, k=6, passes=10):
     docs = _corpus(spark, sf)
-    counts = topics.corpus(docs, "tokens", min_docs=3)
-    return docs, topics.fit_lda(docs, "tokens", k, passes, counts=counts)
+    bags = lda.word_bags(docs, "doc_id", "tokens")
+    return docs, bags, lda.fit(docs, "doc_id", "tokens", [lda.Point(k, None, 1.0 / k)], passes, bags=bags)
 
 
 @Q.add("topic_assignment")
 def topic_assignment(spark, sf):
-    docs, model = _model(spark, sf)
-    out = topics.assign_topics(docs, model, {0: "a", 1: "b", 2: "c", 3: "d", 4: "e", 5: "f"})
-    return out.select("doc_id", *[F.round(f"lda_{i}", 6).alias(f"lda_{i}") for i in range(6)], "lda_first_topic", "lda_first_topic_name")
+    _, bags, model = _model(spark, sf)
+    out = lda.assign(bags, model).withColumnRenamed("doc", "doc_id")
+    names = F.element_at(F.create_map(*[F.lit(x) for i, n in enumerate("abcdef") for x in (i, n)]), F.col("lda_first_topic"))
+    return out.select("doc_id", *[F.round(f"lda_{i}", 6).alias(f"lda_{i}") for i in range(6)], "lda_first_topic", names.alias("lda_first_topic_name"))
 
 
 @Q.add("topic_words")
 def topic_words(spark, sf):
-    _, model = _model(spark, sf)
-    return topics.letters_only(topics.topic_words(spark, model, 10))
+    return lda.letters_only(lda.topic_words(_model(spark, sf)[2], 10)).drop("point")
 
 
 @Q.add("topic_coherence")
 def topic_coherence(spark, sf):
-    docs, model = _model(spark, sf)
-    return topics.coherence_umass(docs, "tokens", topics.topic_words(spark, model, 20))
+    docs, _, model = _model(spark, sf)
+    return topics.coherence_umass(docs, "tokens", lda.topic_words(model, 20).drop("point"))
 
 
 @Q.add("topic_grid")
 def topic_grid(spark, sf):
-    _, results = topics.grid(_corpus(spark, sf), "tokens", [4, 6], [None, 0.3], [0.7], passes=1, n_words=10, min_docs=3)
-    return results
+    """All 27 combinations of topics and priors, learned word priors among them, in one run of 4 passes."""
+    return lda.grid(_corpus(spark, sf), "doc_id", "tokens")[2]
 
 
 @Q.add("word_coherence", f"""
 WITH t AS (SELECT doc_id, unnest(list_distinct(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'),
-  lambda t: regexp_full_match(t, '\\p{{L}}+') AND length(t) >= 4))) AS w0 FROM documents),
+  lambda t: regexp_full_match(t, '\\p{{L}}+') AND length(t) >= 3))) AS w0 FROM documents),
 d AS (SELECT DISTINCT doc_id, lower(w0) AS w FROM t WHERE lower(w0) NOT IN ({', '.join(f"'{w}'" for w in STOPWORDS)})),
 n AS (SELECT w, count(*) AS n FROM d GROUP BY w),
 k AS (SELECT substr(w, 1, 1) AS topic0, w, n, row_number() OVER (PARTITION BY substr(w, 1, 1) ORDER BY n DESC, w) AS r FROM n),
-z AS (SELECT *, (ascii(topic0) - 97)::INT AS topic FROM k WHERE r <= 8 AND topic0 IN ('a', 'b', 'c', 'd')),
+z AS (SELECT *, unicode(topic0)::INT AS topic FROM k WHERE r <= 20),
 p AS (SELECT a.topic, a.w AS wi, b.w AS wj, b.n AS nj FROM z a JOIN z b ON a.topic = b.topic AND b.r < a.r),
 c AS (SELECT p.topic, p.wi, p.wj, p.nj, count(x.doc_id) AS co FROM p
   LEFT JOIN (SELECT a.doc_id, a.w AS wi, b.w AS wj FROM d a JOIN d b USING (doc_id) WHERE a.w IN (SELECT w FROM z) AND b.w IN (SELECT w FROM z)) x
-  ON x.wi = p.wi AND x.wj = p.wj GROUP BY ALL)
-SELECT topic, round(avg(ln((co / (SELECT count(*) FROM documents) + 1e-12) / (nj / (SELECT count(*) FROM documents)))), 5) AS coherence FROM c GROUP BY topic""")
+  ON x.wi = p.wi AND x.wj = p.wj GROUP BY ALL),
+m AS (SELECT topic, round(avg(ln((co / (SELECT count(*) FROM documents) + 1e-12) / (nj / (SELECT count(*) FROM documents)))), 5) AS coherence FROM c GROUP BY topic)
+SELECT topic, coherence FROM (SELECT DISTINCT topic FROM z) LEFT JOIN m USING (topic)""")
 def word_coherence(spark, sf):
     """Coherence of given word lists: the most used words by first letter."""
     from voxspark.operators.ordering import top_n_per_group
     from voxspark.operators.vocabulary import vocabulary
 
     docs = _corpus(spark, sf)
-    letter = F.substring("token", 1, 1)
-    words = vocabulary(docs, "tokens").where(letter.isin("a", "b", "c", "d")).select(
-        (F.ascii(letter) - 97).alias("topic"), F.col("token").alias("word"), "n_docs"
-    )
-    listed = top_n_per_group(words, ["topic"], [F.desc("n_docs"), "word"], 8, rank="rank")
+    words = vocabulary(docs, "tokens").select(F.ascii("token").alias("topic"), F.col("token").alias("word"), "n_docs")
+    listed = top_n_per_group(words, ["topic"], [F.desc("n_docs"), "word"], 20, rank="rank")
     out = topics.coherence_umass(docs, "tokens", listed)
     return out.withColumn("coherence", F.round("coherence", 5))

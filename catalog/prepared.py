@@ -79,7 +79,7 @@ _SQL = f"""(SELECT o_orderkey::VARCHAR AS review_id, c_name AS name, c_custkey,
   CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey % 5 + 1)::DOUBLE END AS rooms, CASE WHEN o_orderkey % 3 = 0 THEN 'Luxo|Vista' END AS highlights,
   (o_orderkey % 2 = 0)::INT::DOUBLE AS guide, lpad(o_orderkey::VARCHAR, 21, '7') AS user_id,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority || repeat(' ' || o_orderstatus, 9) END AS text,
-  CASE WHEN o_orderkey % 11 = 0 THEN 'Obrigado' END AS response_text, c_nationkey, c_mktsegment
+  CASE WHEN o_orderkey % 11 = 0 THEN 'Obrigado' END AS response_text, c_nationkey, c_mktsegment, o_orderdate
   FROM orders JOIN customer ON c_custkey = o_custkey)"""
 
 
@@ -94,16 +94,21 @@ def prepared_reviews(spark, sf):
 
 
 @Q.add("place_report", f"""
-SELECT name, count(*) AS review_id, count(text) AS text, count(response_text) AS response_text, round(avg(rating), 6) AS rating, sum(likes) AS likes,
-  sum(guide) AS user_is_local_guide, any_value(c_custkey) % 30 - count(*) AS n_reviews_diff, round(count(text) / count(*), 6) AS text_percentage,
-  any_value('P ' || name) AS place_name
+SELECT name, any_value(name) AS name_input, NULL::DOUBLE AS sort_by, 'pt-br' AS hl, any_value('u/' || c_custkey) AS url, NULL::DOUBLE AS n_reviews_max,
+  'Itu' AS city, any_value('NATION_' || c_nationkey) AS estado, 'C' AS capital, 'R' AS regiao, any_value(c_mktsegment) AS category, 'hotel' AS subtypes,
+  any_value((c_custkey % 6)::DOUBLE) AS stars, NULL::DOUBLE AS feature_id, NULL::DOUBLE AS retrieval_date_metadata, any_value('P ' || name) AS place_name,
+  'Rua' AS address, 4.5::DOUBLE AS overall_rating, any_value(c_custkey) % 30 AS n_reviews, NULL::DOUBLE AS topics, any_value(c_custkey::VARCHAR) AS file_name,
+  count(*) AS review_id, count(*) AS relative_date, count(rooms) AS other_ratings, 0::BIGINT AS trip_type_travel_group, 0::BIGINT AS user_name,
+  0::BIGINT AS user_reviews, 0::BIGINT AS user_photos, count(*) AS user_url, count(text) AS text, count(response_text) AS response_text,
+  count(response_text) AS response_relative_date, strftime(max(o_orderdate), {SQL_SECOND}) AS retrieval_date, round(avg(rating), 6) AS rating,
+  sum(likes) AS likes, sum(guide) AS user_is_local_guide, any_value(c_custkey) % 30 - count(*) AS n_reviews_diff,
+  round(count(text) / count(*), 6) AS text_percentage
 FROM {_SQL} GROUP BY name""")
 def place_report(spark, sf):
+    """All aggregates of the report."""
     report = prepare.place_report(_prepared(spark, sf))
-    return report.select(
-        "name", "review_id", "text", "response_text", F.round("rating", 6).alias("rating"), "likes", "user_is_local_guide", "n_reviews_diff",
-        F.round("text_percentage", 6).alias("text_percentage"), "place_name",
-    )
+    return report.withColumns({
+        "retrieval_date": second_text("retrieval_date"), "rating": F.round("rating", 6), "text_percentage": F.round("text_percentage", 6)})
 
 
 @Q.add("index_table", f"""

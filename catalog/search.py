@@ -95,14 +95,23 @@ def norm_report(spark, sf):
     return vectors.norm_report(_vectors(spark, sf), "embedding", ["label"])
 
 
-@Q.add("normalized_vectors", """
-SELECT vec_id, round(embedding[1]::DOUBLE, 5) AS first_value, round(1.0::DOUBLE, 5) AS length FROM embeddings""")
+#: All components of a vector as whole numbers in one text.
+_WHOLE_SQL = "md5(array_to_string(list_transform(v, lambda x: round(x * 1048576)::BIGINT), ','))"
+
+
+def _whole(c):
+    return F.md5(F.array_join(F.transform(c, lambda x: F.round(x.cast("double") * 1048576).cast("bigint").cast("string")), ","))
+
+
+@Q.add("normalized_vectors", f"""
+WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+u AS (SELECT vec_id, list_transform(e, lambda x: (x / sqrt(list_sum(list_transform(e, lambda y: y * y))))::FLOAT::DOUBLE) AS v FROM n)
+SELECT vec_id, {_WHOLE_SQL} AS vector, round(sqrt(list_sum(list_transform(v, lambda y: y * y))), 5) AS length FROM u""")
 def normalized_vectors(spark, sf):
-    scaled = _vectors(spark, sf).withColumn("embedding", F.transform("embedding", lambda x: x * 3))
+    """All components, after a scaling that changes no digit."""
+    scaled = _vectors(spark, sf).withColumn("embedding", F.transform("embedding", lambda x: (x * 4).cast("float")))
     out = vectors.normalize_vectors(scaled, "embedding")
-    return out.select(
-        "vec_id", F.round(F.col("embedding")[0].cast("double"), 5).alias("first_value"), F.round(vectors.norm("embedding"), 5).alias("length")
-    )
+    return out.select("vec_id", _whole("embedding").alias("vector"), F.round(vectors.norm("embedding"), 5).alias("length"))
 
 
 @Q.add("index_shards", """
@@ -111,14 +120,15 @@ def index_shards(spark, sf):
     return vectors.with_shards(table(spark, sf, "documents").select("doc_id"), "doc_id", 300)
 
 
-@Q.add("index_round_trip", """
-SELECT ((row_number() OVER (ORDER BY vec_id) - 1) // 200)::INT AS shard, vec_id, label, 'v' || vec_id AS text FROM embeddings""")
+@Q.add("index_round_trip", f"""
+SELECT ((row_number() OVER (ORDER BY vec_id) - 1) // 200)::INT AS shard, vec_id, label, 'v' || vec_id AS text, {_WHOLE_SQL} AS vector
+FROM (SELECT *, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)""")
 def index_round_trip(spark, sf):
     path = scratch_path(spark, "index")
     rows = _vectors(spark, sf).withColumn("text", F.concat(F.lit("v"), F.col("vec_id").cast("string")))
     vectors.build_index(rows, path, id="vec_id", vector="embedding", text="text", shard_rows=200)
     index = vectors.load_index(spark, "main", {"main": path}, default="main")
-    return index.select("shard", F.col("id").alias("vec_id"), F.col("metadata.label").alias("label"), "text")
+    return index.select("shard", F.col("id").alias("vec_id"), F.col("metadata.label").alias("label"), "text", _whole("embedding").alias("vector"))
 
 
 @Q.add("index_difference", """
@@ -278,8 +288,9 @@ c AS (SELECT nome, topic_no, topic, positive, count(*) AS n_blocks, 'Informaçõ
   || 'Top ' || count(*) || ' avaliações do hotel mais semelhantes à pergunta:' || chr(10)
   || string_agg({_block("''", "', Similaridade: ' || printf('%.3f', score)")}, '' ORDER BY rank) AS context
   FROM k WHERE rank <= 3 GROUP BY ALL)
-SELECT nome, topic_no::INT AS topic_no, positive, n_blocks, md5('C=' || context || 'Q=Quais os aspectos ' ||
-  CASE WHEN positive THEN 'positivos' ELSE 'negativos' END || ' do hotel "' || nome || '" no quesito "' || topic || '"?') AS prompt FROM c""")
+SELECT nome, topic_no::INT AS topic_no, positive, coalesce(n_blocks, 0) AS n_blocks, md5('C=' || coalesce(context, '') || 'Q=Quais os aspectos ' ||
+  CASE WHEN positive THEN 'positivos' ELSE 'negativos' END || ' do hotel "' || nome || '" no quesito "' || topic || '"?') AS prompt
+FROM q LEFT JOIN c USING (nome, topic_no, topic, positive)""")
 def topic_prompts(spark, sf):
     docs = _reviews(spark, sf).withColumn(
         "embedding", F.array(F.col("nota_avaliacao"), F.col("curtidas_avaliacao"), F.col("usuario_guia_local") + 1)

@@ -454,8 +454,6 @@ def test_topics(spark):
     words = topics.topic_words(spark, model, 4)
     assert words.count() == 8
     assert topics.letters_only(words).count() == 2
-    best, table = topics.grid(df, "t", [2], [None, 0.3], [0.7], passes=2, n_words=3)
-    assert table.count() == 2 and best is not None
     with pytest.raises(ValueError):
         topics.corpus(df, "t", max_vocabulary=3)
 

@@ -92,15 +92,20 @@ def step(word: Column, form: Column, rules: Sequence[Rule]) -> Column:
     return out.otherwise(word)
 
 
-def stems(words: DataFrame, word: str, steps: Sequence[Sequence[Rule]] = PORTER, min_len: int = 3) -> DataFrame:
-    """(form, canonical) for each distinct word; words shorter than ``min_len`` stay as they are.
+def stem(word: Column, steps: Sequence[Sequence[Rule]] = PORTER, min_len: int = 3) -> Column:
+    """The word after all steps, one expression each; words shorter than ``min_len`` stay as they are.
 
-    The steps run one after another on one row per distinct word. Null words
-    are left out.
+    Each step binds its word once, in a lambda, so that the whole stays linear in
+    the rules however often a plan moves it.
     """
-    out = words.where(F.col(word).isNotNull()).select(F.col(word).alias("form")).distinct().withColumn("canonical", F.col("form"))
+    out = word
     for rules in steps:
-        out = out.withColumn("_form", vowel_form(F.col("canonical")))
-        short = F.length("form") < min_len
-        out = out.withColumn("canonical", F.when(short, F.col("canonical")).otherwise(step(F.col("canonical"), F.col("_form"), rules)))
-    return out.select("form", "canonical")
+        both = F.transform(F.array(out), lambda w: F.struct(w.alias("w"), vowel_form(w).alias("f")))
+        out = F.transform(both, lambda x: step(x["w"], x["f"], rules))[0]
+    return F.when(F.length(word) < min_len, word).otherwise(out)
+
+
+def stems(words: DataFrame, word: str, steps: Sequence[Sequence[Rule]] = PORTER, min_len: int = 3) -> DataFrame:
+    """(form, canonical): each distinct word and its stem. Null words are left out."""
+    distinct = words.where(F.col(word).isNotNull()).select(F.col(word).alias("form")).distinct()
+    return distinct.withColumn("canonical", stem(F.col("form"), steps, min_len))

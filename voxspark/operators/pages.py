@@ -16,7 +16,7 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " "
 
 def plain_text(c: Column | str) -> Column:
     """Tags become blanks, entities signs, runs of blanks one space."""
-    out = F.regexp_replace(X.col(c), "<[^>]*>", " ")
+    out = F.regexp_replace(X.col(c), "(?s)<!--.*?-->|<[^>]*>", " ")
     for entity, sign in ENTITIES.items():
         out = F.replace(out, F.lit(entity), F.lit(sign))
     return X.strip(F.regexp_replace(out, f"{X.BLANK}+", " "))
@@ -34,17 +34,68 @@ def _attribute(name: str, value: str) -> str:
     return rf'{name}="{re.escape(value)}"'
 
 
-def element_html(c: Column | str, value: str, attribute: str = "class") -> Column:
-    """Inner HTML of the first element with that attribute, up to its first closing tag.
+# Tags that have no end.
+_VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)\b"
+# Scripts, styles and comments are one piece each; then tags, and text between them.
+_PIECES = r"(?is)(<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>|[^<]+|<)"
+_FOUND = "struct<begin:int,depth:int,stop:int>"
+
 
-    NULL for a missing element and for an empty one.
+def by_attribute(value: str, attribute: str = "class") -> str:
+    """Pattern of an opening tag with that attribute."""
+    return rf"(?s)^<\w+\b[^>]*{_attribute(attribute, value)}[^>]*>$"
+
+
+def elements(c: Column | str, wanted: Mapping[str, str]) -> Column:
+    """Struct of the inner HTML of the first element per pattern of an opening tag, each cut at its own end.
+
+    One fold over the pieces of the page keeps a stack of open elements. A
+    closing tag ends the nearest open element of its name and all that stand
+    open within it; one without such an element is passed over. What is never
+    closed ends with the page. NULL for a missing and for an empty element.
+    Tags inside scripts, styles and comments do not count.
     """
-    pattern = rf"(?s)<(\w+)\b[^>]*{_attribute(attribute, value)}[^>]*>(.*?)</\1>"
-    return F.nullif(F.regexp_extract(X.col(c), pattern, 2), F.lit(""))
+    html, names = X.col(c), list(wanted)
+    kind = f"struct<stack:array<string>,at:int,{','.join(f'f{i}:{_FOUND}' for i in range(len(names)))}>"
+    nothing = F.lit(None).cast(_FOUND)
+    start = F.struct(F.array().cast("array<string>").alias("stack"), F.lit(0).alias("at"), *[nothing.alias(f"f{i}") for i in range(len(names))])
 
+    def read(state: Column, piece: Column) -> Column:
+        opened = F.lower(F.regexp_extract(piece, r"^<(\w+)", 1))
+        closed = F.lower(F.regexp_extract(piece, r"^</(\w+)", 1))
+        size, stack = F.length(piece), state["stack"]
+        alone = piece.rlike(_VOID) | piece.endswith("/>") | piece.rlike(r"(?i)^<(?:script|style)\b")
+        # the nearest open element of that name, counted from the outermost
+        behind = F.array_position(F.reverse(stack), closed).cast("int")
+        level = F.when((closed == "") | (behind == 0), F.lit(None).cast("int")).otherwise(F.size(stack) - behind + 1)
+        moved = F.when(level.isNotNull(), F.slice(stack, F.lit(1), F.coalesce(level, F.lit(1)) - 1)).when(
+            (opened != "") & ~alone, F.concat(stack, F.array(opened))).otherwise(stack)
+        after = state["at"] + size
+
+        def follow(i: int) -> Column:
+            one = state[f"f{i}"]
+            begins = one.isNull() & (opened != "") & piece.rlike(wanted[names[i]])
+            fresh = F.struct(after.alias("begin"), (F.size(stack) + 1).alias("depth"), F.when(alone, after).alias("stop"))
+            ends = one["stop"].isNull() & (level <= one["depth"])
+            over = F.struct(one["begin"].alias("begin"), one["depth"].alias("depth"), state["at"].alias("stop"))
+            return F.when(begins, fresh.cast(_FOUND)).when(ends, over.cast(_FOUND)).otherwise(one)
+
+        return F.struct(moved.alias("stack"), after.alias("at"), *[follow(i).alias(f"f{i}") for i in range(len(names))]).cast(kind)
+
+    def cut(state: Column) -> Column:
+        inner = []
+        for i, name in enumerate(names):
+            one = state[f"f{i}"]
+            stop = F.coalesce(one["stop"], state["at"])
+            inner.append(F.nullif(F.substring(html, one["begin"] + 1, stop - one["begin"]), F.lit("")).alias(name))
+        return F.struct(*inner)
+
+    return F.aggregate(F.regexp_extract_all(html, F.lit(_PIECES), 1), start.cast(kind), read, cut)
 
-# Tags that have no end.
-_VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)\b"
+
+def element_html(c: Column | str, value: str, attribute: str = "class") -> Column:
+    """Inner HTML of the first element with that attribute; see ``elements``."""
+    return elements(c, {"one": by_attribute(value, attribute)})["one"]
 
 
 def leading_text(c: Column | str, opening: str) -> Column:
@@ -121,14 +172,15 @@ def paging(df: DataFrame, html: str) -> DataFrame:
 
 def parse_places(df: DataFrame, html: str) -> DataFrame:
     """Add address, place_name (without the address), overall_rating and n_reviews."""
-    field = {n: plain_text(element_html(html, c)) for n, c in V.PLACE_CLASSES.items()}
+    kept = df.withColumn("_cut", elements(html, {n: by_attribute(c) for n, c in V.PLACE_CLASSES.items()}))
+    field = {n: plain_text(F.col(f"_cut.{n}")) for n in V.PLACE_CLASSES}
     address = F.coalesce(field["address"], F.lit(""))
-    return df.withColumns({
+    return kept.withColumns({
         "address": field["address"],
         "place_name": X.strip(F.replace(field["place_name"], address, F.lit(""))),
         "overall_rating": P.localized_number(field["overall_rating"]),
         "n_reviews": P.count_text(field["n_reviews"]),
-    })
+    }).drop("_cut")
 
 
 def parse_reviews(df: DataFrame, block: str) -> DataFrame:
@@ -136,11 +188,15 @@ def parse_reviews(df: DataFrame, block: str) -> DataFrame:
     cls = V.REVIEW_CLASSES
     html = F.col(block)
 
+    named = ("other_ratings", "relative_date", "user_name", "user", "response_text", "response_relative_date", "trip_type_travel_group")
+    wanted = {n: by_attribute(cls[n]) for n in named} | {"likes": by_attribute(V.LIKES_NAME, "jsname")}
+    df = df.withColumn("_cut", elements(html, wanted))
+
     def words(name: str) -> Column:
-        return plain_text(element_html(html, cls[name]))
+        return plain_text(F.col(f"_cut.{name}"))
 
     ratings = P.label_ratings(element_attribute(html, cls["rating"], "aria-label"))
-    user = F.coalesce(element_html(html, cls["user"]), F.lit(""))
+    user = F.coalesce(F.col("_cut.user"), F.lit(""))
     counts = P.user_counts(plain_text(user))
     has_user = element_attribute(html, cls["user"], "href").isNotNull()
     fields = {
@@ -158,7 +214,7 @@ def parse_reviews(df: DataFrame, block: str) -> DataFrame:
             F.regexp_extract(element_attribute(html, cls["review_id"], "href"), "postId=(.*?)&", 1),
             F.lit(""),
         ),
-        "likes": P.likes(plain_text(element_html(html, V.LIKES_NAME, "jsname"))),
+        "likes": P.likes(words("likes")),
         "response_text": X.one_line(words("response_text")),
         "response_relative_date": words("response_relative_date"),
         "trip_type_travel_group": words("trip_type_travel_group"),
@@ -168,4 +224,4 @@ def parse_reviews(df: DataFrame, block: str) -> DataFrame:
     missing = F.array(*[
         F.when(F.col(n).isNull(), F.lit(f"review {n}: not found")) for n in needed
     ])
-    return out.withColumn("errors", F.array_compact(missing))
+    return out.withColumn("errors", F.array_compact(missing)).drop("_cut")
