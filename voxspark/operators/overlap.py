@@ -1,10 +1,13 @@
-"""ROUGE and BLEU from n-gram count tables."""
+"""ROUGE and BLEU from n-gram counts, compared in batches by 64-bit hashes."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from voxspark.functions import text as X
 
@@ -19,20 +22,68 @@ def bleu_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(X.col(c), F.lit(rf"({X.WORD}|[^\s\p{{L}}\p{{N}}_])"), 1)
 
 
-def _none() -> Column:
-    return F.array().cast("array<string>")
+def _hashes(tokens: Column) -> Column:
+    return F.coalesce(F.transform(tokens, lambda t: F.xxhash64(t)), F.array().cast("array<bigint>"))
 
 
-def _numbered(grams: Column) -> Column:
-    """The grams with their occurrence numbers: a bag written as a set.
+def _grams(values: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(list number, 64-bit hash) of every n-gram of lists that lie one after another."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(values))
+    at = np.flatnonzero(left >= n)
+    out = np.zeros(len(at), np.uint64)
+    for j in range(n):
+        out = (out ^ values[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return owner[at], out
+
+
+def _counted(owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, gram, count) of the distinct pairs, in order."""
+    order = np.lexsort((grams, owner))
+    owner, grams = owner[order], grams[order]
+    first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (grams[1:] != grams[:-1]))) if len(order) else order
+    return owner[first], grams[first], np.diff(np.append(first, len(order)))
 
-    The intersection of two such sets has the smaller count of every gram, their
-    union the larger one.
-    """
-    def each(c: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), c["n"]), lambda k: F.concat(c["token"], F.lit("\x00"), k.cast("string")))
 
-    return F.coalesce(F.flatten(F.transform(X.token_counts(grams), each)), _none())
+def _clipped(df: DataFrame, orders: Sequence[int]) -> DataFrame:
+    """Replace ``_h`` (token hashes) and ``_rs`` (arrays of them) by ``_m``: per order, the n-grams of ``_h`` that a reference has too.
+
+    Each n-gram counts as often as in ``_h``, and at most as often as in the
+    reference that has it most. Whole batches are compared at once in a task.
+    """
+    kept = [f for f in df.schema.fields if f.name not in ("_h", "_rs")]
+    orders = tuple(orders)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, rs = batch.column("_h"), batch.column("_rs")
+            texts = rs.flatten()
+            row_of = np.repeat(np.arange(batch.num_rows), rs.value_lengths().to_numpy())
+            flat = [(x.flatten().to_numpy().view(np.uint64), x.value_lengths().to_numpy().astype(np.int64)) for x in (h, texts)]
+            found = np.zeros((batch.num_rows, len(orders)), np.int64)
+            for k, n in enumerate(orders):
+                own, gram, count = _counted(*_grams(*flat[0], n))
+                ref, known, most = _counted(*_grams(*flat[1], n))
+                # the largest count of a row's references, then the smaller one of both sides
+                order = np.lexsort((known, row_of[ref]))
+                row, known, most = row_of[ref][order], known[order], most[order]
+                row, gram_, n_own = np.concatenate([row, own]), np.concatenate([known, gram]), np.concatenate([most, count])
+                side = np.repeat([0, 1], [len(known), len(gram)])
+                order = np.lexsort((side, gram_, row))
+                row, gram_, n_own, side = row[order], gram_[order], n_own[order], side[order]
+                first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (gram_[1:] != gram_[:-1]))) if len(row) else row
+                if not len(first):
+                    continue
+                best = np.maximum.reduceat(np.where(side == 0, n_own, 0), first)
+                mine = np.maximum.reduceat(np.where(side == 1, n_own, 0), first)
+                np.add.at(found[:, k], row[first], np.minimum(best, mine))
+            ends = np.arange(0, found.size + 1, len(orders), dtype=np.int32)
+            lists = pa.ListArray.from_arrays(ends, found.ravel())
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], lists], [*[f.name for f in kept], "_m"])
+
+    schema = T.StructType([*kept, T.StructField("_m", T.ArrayType(T.LongType()))])
+    return df.mapInArrow(run, schema)
 
 
 def rouge(
@@ -40,25 +91,21 @@ def rouge(
 ) -> DataFrame:
     """(pair, n, precision, recall, fmeasure) of summary against reference.
 
-    ``pair`` identifies a row. N-grams are counted and compared inside the row,
-    so nothing is shuffled. A missing text has no n-grams.
+    ``pair`` identifies a row. N-grams are counted and compared inside the
+    task, so nothing is shuffled. A missing text has no n-grams.
     """
-    def order(r: Column, h: Column, n: int) -> Column:
-        def compared(g: Column) -> Column:
-            common = F.size(F.array_intersect(_numbered(g["r"]), _numbered(g["h"])))
-            return F.struct(
-                F.lit(n).alias("n"),
-                F.coalesce(F.try_divide(common, F.size(g["h"])), F.lit(0.0)).alias("precision"),
-                F.coalesce(F.try_divide(common, F.size(g["r"])), F.lit(0.0)).alias("recall"),
-            )
-
-        return X.once(F.struct(X.ngrams(r, n).alias("r"), X.ngrams(h, n).alias("h")), compared)
-
-    tokens = F.struct(
-        F.coalesce(rouge_tokens(reference), _none()).alias("r"), F.coalesce(rouge_tokens(summary), _none()).alias("h"))
-    each = X.once(tokens, lambda t: F.array(*[order(t["r"], t["h"], n) for n in orders]))
+    hashed = df.select(pair, _hashes(rouge_tokens(summary)).alias("_h"), F.array(_hashes(rouge_tokens(reference))).alias("_rs"))
+    sized = hashed.withColumns({"_nh": F.size("_h"), "_nr": F.size(F.col("_rs")[0])})
+    compared = _clipped(sized, orders)
+
+    def order(n: int, k: int) -> Column:
+        def share(size: str) -> Column:
+            return F.coalesce(F.try_divide(F.col("_m")[k], F.greatest(F.col(size) - (n - 1), F.lit(0))), F.lit(0.0))
+
+        return F.struct(F.lit(n).alias("n"), share("_nh").alias("precision"), share("_nr").alias("recall"))
+
     p, r = F.col("precision"), F.col("recall")
-    return df.select(pair, F.inline(each)).withColumn(
+    return compared.select(pair, F.inline(F.array(*[order(n, k) for k, n in enumerate(orders)]))).withColumn(
         "fmeasure", F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
     )
 
@@ -71,30 +118,19 @@ def bleu(
 
     One row, or one per ``by`` group: clipped precisions of order 1..4, brevity
     penalty against the shortest reference, and their product. N-grams are
-    clipped inside the row; only sums are shuffled. ``pair`` identifies a row.
+    clipped inside the task; only sums are shuffled. ``pair`` identifies a row.
     """
     by = list(by or [])
     orders = range(1, max_order + 1)
 
-    def measured(t: Column) -> Column:
-        def matches(n: int) -> Column:
-            known = F.array_distinct(F.flatten(F.transform(t["rs"], lambda r: _numbered(X.ngrams(r, n)))))
-            return F.size(F.array_intersect(_numbered(X.ngrams(t["h"], n)), known))
-
-        return F.struct(
-            F.size(t["h"]).alias("h"), F.array_min(F.transform(t["rs"], lambda r: F.size(r))).alias("r"),
-            *[matches(n).alias(f"m{n}") for n in orders],
-        )
-
-    tokens = F.struct(
-        F.coalesce(bleu_tokens(prediction), _none()).alias("h"),
-        F.transform(F.col(references), lambda r: F.coalesce(bleu_tokens(r), _none())).alias("rs"),
-    )
-    rows = df.select(*by, X.once(tokens, measured).alias("_x"))
-    both = rows.groupBy(*by).agg(
-        F.sum("_x.h").alias("translation_length"), F.sum("_x.r").alias("reference_length"),
-        *[F.sum(F.greatest(F.col("_x.h") - (n - 1), F.lit(0))).alias(f"possible_{n}") for n in orders],
-        *[F.coalesce(F.sum(f"_x.m{n}"), F.lit(0)).alias(f"match_{n}") for n in orders],
+    rows = df.select(
+        *by, _hashes(bleu_tokens(prediction)).alias("_h"),
+        F.coalesce(F.transform(F.col(references), lambda r: _hashes(bleu_tokens(r))), F.array().cast("array<array<bigint>>")).alias("_rs"))
+    sized = rows.withColumns({"_nh": F.size("_h"), "_nr": F.array_min(F.transform("_rs", lambda r: F.size(r)))})
+    both = _clipped(sized, orders).groupBy(*by).agg(
+        F.sum("_nh").alias("translation_length"), F.sum("_nr").alias("reference_length"),
+        *[F.sum(F.greatest(F.col("_nh") - (n - 1), F.lit(0))).alias(f"possible_{n}") for n in orders],
+        *[F.coalesce(F.sum(F.col("_m")[n - 1]), F.lit(0)).alias(f"match_{n}") for n in orders],
     )
     precisions = [
         F.coalesce(F.try_divide(F.col(f"match_{n}"), F.col(f"possible_{n}")), F.lit(0.0))
