@@ -12,7 +12,8 @@ from voxspark.operators import ordering, profile, vocabulary
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-SLOW = {"topic_grid", "topic_coherence", "topic_words"}
+#: 27 models; ``test_lda`` covers the grid on a small corpus.
+SLOW = {"topic_grid"}
 
 
 @pytest.fixture(scope="module")
@@ -24,12 +25,27 @@ def con():
 def test_query_matches_sql(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
     sql = entry.oracle_sql().get(name)
+    if name == "topic_assignment":
+        shares = got[[f"lda_{i}" for i in range(6)]]
+        assert ((shares == 0) | (shares >= 0.01)).all().all() and (shares.sum(axis=1) > 0.9).all()
+        assert (shares.to_numpy().argmax(axis=1) == got["lda_first_topic"]).all()
+    if name == "topic_coherence":
+        assert len(got) == 6 and (got["coherence"] < 1e-9).all()
+    if name == "topic_words":
+        assert len(got) == 6 and got["words"].str.fullmatch("[a-zA-Z ]+").all()
     if sql is None:
         assert len(got)
     else:
         assert compare(got, con.execute(sql).df()) == ""
 
 
+def test_topics_without_a_fitting_review(spark):
+    """Only the larger tables have hotels without a review of one polarity."""
+    folder = SF.replace("0.001", "0.01")
+    got = entry.queries()["topic_prompts"](spark, folder).toPandas()
+    assert (got["n_blocks"] == 0).any() and compare(got, duck(folder).execute(entry.oracle_sql()["topic_prompts"]).df()) == ""
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
