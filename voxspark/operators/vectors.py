@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from voxspark.fixed_values import INDEX_SHARD_ROWS
@@ -13,6 +14,7 @@ from voxspark.functions.text import col
 from voxspark.operators.joins import lookup_join, salted_join
 from voxspark.operators.ordering import split_by_size, top_n_per_group, with_row_number
 from voxspark.operators.relational import union_all
+from voxspark.session import settle
 
 MAX_QUERIES = 4_096
 # Scores are compared after rounding, so that ties do not depend on the order
@@ -59,62 +61,82 @@ def norm_report(df: DataFrame, vector: str, by: Sequence[str] = (), tolerance: f
     )
 
 
-def _scorer(ids: pa.DataType, matrix: np.ndarray, metric: str, n: int, digits: int):
-    """Task function: the best ``n`` rows per query of one partition.
+class _Nearest:
+    """The best ``n`` documents of each query of one lot, fed batch by batch.
 
-    Runs over Arrow batches and holds about ``n`` candidates per query; a row
-    that is worse than the n-th best so far is never kept.
+    About ``n`` candidates per query are held; a row that is worse than the n-th
+    best so far is never kept.
     """
-    cells = 4_000_000
 
-    def run(batches):
-        q = len(matrix)
-        sq = (matrix * matrix).sum(axis=1)
-        limit = np.full(q, np.inf)
-        kept_q, kept_cost = np.empty(0, dtype=np.int64), np.empty(0)
-        kept_id = pa.array([], type=ids)
-
-        def cut():
-            nonlocal kept_q, kept_cost, kept_id
-            order = np.lexsort((_ranks(kept_id), kept_cost, kept_q))
-            sorted_q = kept_q[order]
-            place = np.arange(len(order)) - np.searchsorted(sorted_q, sorted_q, side="left")
-            order = order[place < n]
-            kept_q, kept_cost = kept_q[order], kept_cost[order]
-            kept_id = kept_id.take(pa.array(order))
-            last = place[place < n] == n - 1
-            limit[kept_q[last]] = kept_cost[last]
-
-        def _ranks(values):
-            import pyarrow.compute as pc
-
-            return pc.rank(values, sort_keys="ascending", tiebreaker="first").to_numpy()
+    CELLS = 4_000_000
+
+    def __init__(self, numbers: pa.Array, names: pa.Array, matrix: np.ndarray, metric: str, n: int):
+        self.numbers, self.names, self.matrix, self.metric, self.n = numbers, names, matrix, metric, n
+        self.squares = (matrix * matrix).sum(axis=1)
+        self.limit = np.full(len(matrix), np.inf)
+        self.query, self.cost, self.ids = np.empty(0, np.int64), np.empty(0), None
+
+    def add(self, ids: pa.Array, docs: np.ndarray) -> None:
+        step = max(1, self.CELLS // max(len(self.matrix), 1))
+        for at in range(0, len(docs), step):
+            part = docs[at : at + step]
+            cost = part @ self.matrix.T
+            if self.metric == "ip":
+                cost = -cost
+            else:
+                cost = np.maximum((part * part).sum(axis=1)[:, None] + self.squares[None, :] - 2 * cost, 0)
+            cost = np.round(cost, SCORE_DIGITS)
+            row, query = np.nonzero(cost <= self.limit[None, :])
+            fresh = ids.take(pa.array(row + at))
+            self.ids = fresh if self.ids is None else pa.concat_arrays([self.ids, fresh])
+            self.query, self.cost = np.concatenate([self.query, query]), np.concatenate([self.cost, cost[row, query]])
+            if len(self.query) > 4 * len(self.matrix) * self.n:
+                self._cut()
+
+    def _cut(self) -> None:
+        rank = pc.rank(self.ids, sort_keys="ascending", tiebreaker="first").to_numpy()
+        order = np.lexsort((rank, self.cost, self.query))
+        query = self.query[order]
+        place = np.arange(len(order)) - np.searchsorted(query, query, side="left")
+        order, place = order[place < self.n], place[place < self.n]
+        self.query, self.cost, self.ids = self.query[order], self.cost[order], self.ids.take(pa.array(order))
+        last = place == self.n - 1
+        self.limit[self.query[last]] = self.cost[last]
+
+    def rows(self) -> pa.RecordBatch | None:
+        if self.ids is None:
+            return None
+        self._cut()
+        at = pa.array(self.query)
+        return pa.RecordBatch.from_arrays([self.numbers.take(at), self.names.take(at), self.ids, pa.array(self.cost)], ["_no", "_query", "_id", "_cost"])
+
+
+def _nearest(metric: str, n: int):
+    """Task function over rows sorted by lot, salt and kind: the queries of a lot come first, then documents."""
 
+    def run(batches):
+        key, asked, best = None, [], None
         for batch in batches:
-            rows = batch.num_rows
-            if not rows:
-                continue
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            docs = flat.reshape(rows, -1)
-            step = max(1, cells // max(q, 1))
-            for at in range(0, rows, step):
-                part = docs[at : at + step]
-                cost = part @ matrix.T
-                if metric == "ip":
-                    cost = -cost
-                else:
-                    cost = np.maximum((part * part).sum(axis=1)[:, None] + sq[None, :] - 2 * cost, 0)
-                cost = np.round(cost, digits)
-                row, query = np.nonzero(cost <= limit[None, :])
-                kept_q = np.concatenate([kept_q, query])
-                kept_cost = np.concatenate([kept_cost, cost[row, query]])
-                kept_id = pa.concat_arrays(
-                    [kept_id, batch.column(0).cast(ids).take(pa.array(row + at))]
-                )
-                if len(kept_q) > 4 * q * n or at + step >= rows:
-                    cut()
-        if len(kept_q):
-            yield pa.record_batch([pa.array(kept_q), kept_id, pa.array(kept_cost)], names=["_q", "_id", "_cost"])
+            marks = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("_lot", "_salt", "_kind")])
+            cuts = np.flatnonzero(np.append(True, (marks[:, 1:] != marks[:, :-1]).any(axis=0))) if batch.num_rows else []
+            for a, b in zip(cuts, [*cuts[1:], batch.num_rows]):
+                if key != (marks[0, a], marks[1, a]):
+                    if best is not None and (out := best.rows()) is not None:
+                        yield out
+                    key, asked, best = (marks[0, a], marks[1, a]), [], None
+                part = batch.slice(a, b - a)
+                vectors = part.column("_v").flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
+                if marks[2, a] == 0:
+                    asked.append((part.column("_no"), part.column("_query"), vectors))
+                    continue
+                if not asked:
+                    continue
+                if best is None:
+                    numbers, names, rows = zip(*asked)
+                    best = _Nearest(pa.concat_arrays(numbers), pa.concat_arrays(names), np.concatenate(rows), metric, n)
+                best.add(part.column("_id"), vectors)
+        if best is not None and (out := best.rows()) is not None:
+            yield out
 
     return run
 
@@ -128,43 +150,36 @@ def search(
 
     The filter runs before ranking, so the result is exact and no fetch size has
     to grow. Inner products are ranked descending, squared distances ascending,
-    ties by id. The scan multiplies whole Arrow batches by the query matrix and
-    keeps ``n`` rows per query and partition. Queries are sent to the tasks in
-    lots of at most about ``max_queries``, one pass over the documents each.
+    ties by id. Queries are numbered and cut into lots of ``max_queries``; no
+    query vector comes to the driver, and the documents are scanned once however
+    many lots there are. Each lot meets the documents in salted groups, where
+    whole Arrow batches are multiplied by the lot's matrix and ``n`` rows per
+    query are kept.
     """
     if metric not in ("ip", "l2"):
         raise ValueError(f"unknown metric: {metric}")
-    queries = queries.select(query_id, query_vector).where(F.col(query_vector).isNotNull())
-    lots = -(-queries.count() // max_queries) or 1
+    spark = docs.sparkSession
+    asked = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).cast("array<double>").alias("_v")).where("_v IS NOT NULL")
+    asked = settle(with_row_number(asked, [], ["_query"], "_no"))
+    lots = -(-asked.count() // max_queries) or 1
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, -(-2 * tasks // lots))
     kept = docs if where is None else docs.where(where)
-    kept = kept.where(F.col(vector).isNotNull()).select(id, vector)
-    parts = []
-    for i in range(lots):
-        lot = queries if lots == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(lots)) == i)
-        parts.append(_search_lot(kept, lot.collect(), id, vector, queries.schema[query_id], metric, n))
-    return union_all(parts)
-
-
-def _search_lot(kept, rows, id, vector, query_field, metric, n):
-    spark = kept.sparkSession
-    id_type = kept.schema[id].dataType
-    if not rows:
-        return spark.createDataFrame([], T.StructType([
-            query_field, T.StructField(id, id_type), T.StructField("score", T.DoubleType()),
-            T.StructField("rank", T.IntegerType()),
-        ]))
-    query_no = T.StructField("_q", T.LongType())
-    names = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], T.StructType([query_no, query_field]))
-    matrix = np.asarray([r[1] for r in rows], dtype=np.float64)
-    arrow_id = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[id_type]
-    out = T.StructType([query_no, T.StructField("_id", id_type), T.StructField("_cost", T.DoubleType())])
-    best = kept.mapInArrow(_scorer(arrow_id, matrix, metric, n, SCORE_DIGITS), out)
-    ranked = top_n_per_group(best, ["_q"], ["_cost", "_id"], n, rank="rank")
+    kept = kept.where(F.col(vector).isNotNull()).select(F.col(id).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    id_type, query_type = kept.schema["_id"].dataType, asked.schema["_query"].dataType
+    sides = asked.select(
+        F.floor((F.col("_no") - 1) / max_queries).cast("int").alias("_lot"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+        F.lit(0).alias("_kind"), F.col("_no").cast("long").alias("_no"), "_query", F.lit(None).cast(id_type).alias("_id"), "_v",
+    ).union(kept.select(
+        F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("_lot"), F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_salt"),
+        F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_no"), F.lit(None).cast(query_type).alias("_query"), "_id", "_v"))
+    dealt = sides.repartition(tasks, "_lot", "_salt").sortWithinPartitions("_lot", "_salt", "_kind")
+    out = T.StructType([
+        T.StructField("_no", T.LongType()), T.StructField("_query", query_type), T.StructField("_id", id_type), T.StructField("_cost", T.DoubleType())])
+    best = dealt.mapInArrow(_nearest(metric, n), out)
+    ranked = top_n_per_group(best, ["_no"], ["_cost", "_id"], n, rank="rank")
     score = -F.col("_cost") if metric == "ip" else F.col("_cost")
-    # at most one row per query of the lot
-    return ranked.join(F.broadcast(names), "_q").select(
-        query_field.name, F.col("_id").alias(id), score.alias("score"), "rank"
-    )
+    return ranked.select(F.col("_query").alias(query_id), F.col("_id").alias(id), score.alias("score"), "rank")
 
 
 def search_within(
