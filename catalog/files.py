@@ -292,7 +292,7 @@ def stream_restarted_summary(spark, sf):
     errors = (F.col("event_type") == "error").cast("int")
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
     for _ in range(2):
-        latest = ingest.run_to_folder(ingest.running_summary(_event_stream(spark, sf), "user_id", errors, "ts"), out, checkpoint)
+        latest = ingest.run_to_folder(ingest.running_summary(_event_stream(spark, sf), "user_id", errors, "ts"), "user_id", out, checkpoint)
     return latest.select("user_id", "n_scraped", "n_errors")
 
 
@@ -313,7 +313,7 @@ def stream_running_summary(spark, sf):
     errors = (F.col("event_type") == "error").cast("int")
     summary = ingest.running_summary(_event_stream(spark, sf), "user_id", errors, "ts")
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
-    latest = ingest.run_to_folder(summary, out, checkpoint)
+    latest = ingest.run_to_folder(summary, "user_id", out, checkpoint)
     return latest.withColumn("last_retrieval", second_text("last_retrieval"))
 
 

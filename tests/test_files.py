@@ -233,10 +233,29 @@ def test_stream_equals_batch_and_runs_again(spark, folder, tmp_path):
 def test_running_summary(spark, folder, tmp_path):
     errors = (F.col("errors") != "[]").cast("int")
     summary = ingest.running_summary(ingest.review_stream(spark, folder), "file_name", errors, "retrieval_date")
-    got = {r.file_name: r for r in ingest.run_to_folder(summary, f"{tmp_path}/s", f"{tmp_path}/c").collect()}
+    got = {r.file_name: r for r in ingest.run_to_folder(summary, "file_name", f"{tmp_path}/s", f"{tmp_path}/c").collect()}
     assert (got["hotel-a"].n_scraped, got["hotel-a"].n_errors, got["hotel-b"].n_scraped) == (3, 0, 1)
 
 
+def test_running_summary_keeps_changes_and_merges_them(spark, tmp_path):
+    """Batches write changed keys only; every third one merges, and nothing older stays."""
+    want = {}
+    for i in range(8):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / f"in/{i}.csv").write_text(f"k{i % 3},{i}\n" + (f"k9,{i}\n" if i < 2 else ""))
+        for k in [f"k{i % 3}", *(["k9"] if i < 2 else [])]:
+            want[k] = (want.get(k, (0, 0))[0] + 1, i)
+        rows = spark.readStream.schema("k string, v int").csv(f"{tmp_path}/in")
+        summary = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
+        got = ingest.run_to_folder(summary, "k", f"{tmp_path}/o", f"{tmp_path}/c", merge_every=3)
+        assert {r.k: (r.n, r.v) for r in got.collect()} == want
+        kept = {p.name for p in (tmp_path / "o").iterdir()}
+        assert kept == ({f"base={i // 3 * 3 - 1}"} if i > 2 and i % 3 != 2 else {f"base={i}"} if i % 3 == 2 else set()) | {
+            f"batch={n}" for n in range(i // 3 * 3, i + 1) if i % 3 != 2}
+    again = ingest.run_to_folder(summary, "k", f"{tmp_path}/o", f"{tmp_path}/c", merge_every=3)
+    assert {r.k: (r.n, r.v) for r in again.collect()} == want
+
+
 def test_run_summary_and_corpus_stats(spark):
     reviews = spark.createDataFrame([("a", 1), ("a", 0)], "k string, e int")
     meta = spark.createDataFrame([("a", "A", 9)], "k string, place_name string, n_reviews long")

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from voxspark import schemas as S
 from voxspark.functions.text import col
+from voxspark.operators.relational import union_all
 from voxspark.sources.readers import _CSV, raw_reviews
 
 
@@ -78,31 +79,53 @@ def running_summary(stream: DataFrame, key: str, errors: Column | str, at: str)
     )
 
 
-def run_to_folder(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Run an aggregate over all that is there; the last complete result.
+#: Batches whose changes are merged into one table of all keys.
+MERGE_EVERY = 16
 
-    Every batch writes its own folder, so a batch that runs again after a failure
-    replaces only itself. The result is the newest folder that was written to the
-    end, so a restart without new rows returns what was there before.
+
+def run_to_folder(stream: DataFrame, key: str, out: str, checkpoint: str, merge_every: int = MERGE_EVERY) -> DataFrame:
+    """Run an aggregate over all that is there; one row per ``key``, the latest.
+
+    A batch writes the keys that it changed, in a folder of its own, so one that
+    runs again after a failure replaces only itself. Every ``merge_every``-th
+    batch merges all changes with the last table of all keys, and what went into
+    the new table is removed once that is complete. A restart without new rows
+    returns what was there before.
     """
+    spark = stream.sparkSession
+
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        if (number + 1) % merge_every or number in _numbers(spark, out, "base"):
+            return
+        _latest(spark, stream.schema, key, out).write.mode("overwrite").parquet(f"{out}/base={number}")
+        for kind in ("base", "batch"):
+            for n in _numbers(spark, out, kind):
+                if n < number or (kind == "batch" and n == number):
+                    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{kind}={n}")
+                    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     query = (
-        stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+        stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).foreachBatch(write).start()
     )
     query.awaitTermination()
-    spark = stream.sparkSession
-    last = _last_batch(spark, out)
-    if last is None:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{out}/batch={last}")
+    return _latest(spark, stream.schema, key, out)
+
+
+def _latest(spark: SparkSession, schema, key: str, out: str) -> DataFrame:
+    """Each key's row of the newest folder that has it: the last complete table and the changes after it."""
+    base = max(_numbers(spark, out, "base"), default=-1)
+    folders = [(base, f"{out}/base={base}")] if base >= 0 else []
+    folders += [(n, f"{out}/batch={n}") for n in _numbers(spark, out, "batch") if n > base]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = union_all([spark.read.schema(schema).parquet(p).select(F.lit(n).alias("_at"), F.struct("*").alias("_row")) for n, p in folders])
+    return rows.groupBy(F.col(f"_row.{key}").alias("_key")).agg(F.max_by("_row", "_at").alias("_row")).select("_row.*")
 
 
-def _last_batch(spark: SparkSession, out: str) -> int | None:
-    """Number of the newest batch folder that carries its success mark."""
-    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/batch=*/_SUCCESS")
+def _numbers(spark: SparkSession, out: str, kind: str) -> list[int]:
+    """Numbers of the folders of a kind that carry their success mark."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{kind}=*/_SUCCESS")
     found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
-    numbers = [int(f.getPath().getParent().getName().split("=")[1]) for f in found or []]
-    return max(numbers, default=None)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
