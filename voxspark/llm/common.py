@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,7 +41,22 @@ def per_slice(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.Re
         for part in in_slices(batches, rows):
             yield step(part)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` with its memory given back to the system at its end: workers are reused, and caches of one task would stay."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return whole
 
 
 class Memo(dict):

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from voxspark.llm.common import Memo, in_slices
+from voxspark.llm.common import Memo, in_slices, tidy
 
 TEXT_SIZE, META_SIZE, BINS = 1 << 17, 1 << 10, 12
 LABELLED, POOL, ROUNDS, SURE = 10000, 5000, 3, 0.97
@@ -167,7 +167,7 @@ def _features(rows: DataFrame) -> DataFrame:
                  pa.array([layout(t) for t in texts], pa.list_(pa.float64()))],
                 ["id", "y", "source", "lang", "bag", "figures"])
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, y double, source string, lang string, bag array<int>, figures array<double>")
+    return rows.mapInArrow(tidy(run), f"id {dict(rows.dtypes)['id']}, y double, source string, lang string, bag array<int>, figures array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", good_col: str = "good", labelled: int = LABELLED, pool: int = POOL) -> Model | None:
@@ -242,7 +242,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", cut: flo
             yield pa.RecordBatch.from_arrays([*part.columns[:width], *new], names=[*part.schema.names[:width], *(k for k, _ in extra)])
 
     schema = docs.select("*", *(F.lit(0.0).alias(k) if k != "_keep" else F.lit(True).alias(k) for k, _ in extra)).schema
-    return docs.select("*", *(c.alias(f"_{i}") for i, c in enumerate(_meta(docs)))).mapInArrow(run, schema)
+    return docs.select("*", *(c.alias(f"_{i}") for i, c in enumerate(_meta(docs)))).mapInArrow(tidy(run), schema)
 
 
 def good_labels(labels: DataFrame) -> DataFrame:

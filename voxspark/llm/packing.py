@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from voxspark.llm.common import in_slices
+from voxspark.llm.common import in_slices, tidy
 from voxspark.session import settle
 
 K1, B = 1.2, 0.75
@@ -32,7 +32,8 @@ K1, B = 1.2, 0.75
 _SIGNS_TEXT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SIGNS = _SIGNS_TEXT.encode()
 _LATIN = re.compile(r"[a-zß-öø-ÿ]+")
-_MOST = 500_000
+#: Bytes, roughly, of the words that a task remembers.
+_MOST = 64 << 20
 
 
 def merger(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
@@ -95,7 +96,7 @@ class WordTokens:
 
     def forget(self) -> None:
         self.chunks, self.parts = _Numbered(), _Numbered()
-        self.pairs = np.empty((0, 2), np.int32)  # the two parts of each chunk
+        self.pairs, self.bytes = np.empty((0, 2), np.int32), 0  # the two parts of each chunk
         self.flat, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _learn(self) -> None:
@@ -116,6 +117,7 @@ class WordTokens:
             pairs += (parts[word], parts[low[len(word) :]])
         self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int32).reshape(-1, 2)])
         new, parts.new = parts.new, []
+        self.bytes += 140 * (len(chunks) + len(new)) + 2 * sum(map(len, chunks))
         plain = [i for i, p in enumerate(new) if p.__class__ is bytes]
         other = [i for i, p in enumerate(new) if p.__class__ is not bytes]
         # one piece for each line; a word ends in the mark that its last byte is merged with
@@ -133,7 +135,7 @@ class WordTokens:
         self.start, self.size, self.flat = np.concatenate([self.start, start]), np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.chunks) > _MOST:
+        if self.bytes > _MOST:
             self.forget()
         rows = [t.encode("utf-8").split() for t in texts]
         count = np.fromiter(map(len, rows), np.int64, len(rows))
@@ -199,7 +201,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, window:
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(texts.dtypes)["id"]
     return texts.mapInArrow(
-        run, f"id {kind}, doc_tokens long, start long, n long, ids binary, near array<int>, tokens array<int>, counts array<long>")
+        tidy(run), f"id {kind}, doc_tokens long, start long, n long, ids binary, near array<int>, tokens array<int>, counts array<long>")
 
 
 class Shard:
@@ -351,4 +353,4 @@ def pack(
 
     dealt = pieces.repartitionByRange(parts, "near", F.xxhash64("id", "start")).sortWithinPartitions("near", F.xxhash64("id", "start"))
     schema = f"id {dict(pieces.dtypes)['id']}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return dealt.select("id", "doc_tokens", "start", "ids").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return dealt.select("id", "doc_tokens", "start", "ids").mapInArrow(tidy(run), schema + (", ids array<int>" if with_ids else ""))
