@@ -33,7 +33,7 @@ _SIGNS_TEXT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SIGNS = _SIGNS_TEXT.encode()
 _LATIN = re.compile(r"[a-zß-öø-ÿ]+")
 #: Bytes, roughly, of the words that a task remembers.
-_MOST = 64 << 20
+_MOST = 128 << 20
 
 
 def merger(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
