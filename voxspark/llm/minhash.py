@@ -218,11 +218,10 @@ def _open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _fine_facts(sets: DataFrame) -> DataFrame:
-    """node, n, common, fine and few of each set.
+    """node, n, common and fine of each set.
 
     ``common`` is the number of its shingles that another of these sets has too;
-    no pair can share more. ``fine`` packs one mixed bit for each of FINE minima,
-    ``few`` is a set below SMALL shingles itself and null for any other.
+    no pair can share more. ``fine`` packs one mixed bit for each of FINE minima.
     """
     def work():
         signer = Signer(hashes=FINE, seed=23)
@@ -238,9 +237,7 @@ def _fine_facts(sets: DataFrame) -> DataFrame:
     fine = per_slice(sets, work, "node long, n long, fine array<long>")
     single = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("node").alias("node"))
     single = single.where("c = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    few = sets.where(F.size("shingles") < SMALL).select("node", F.col("shingles").alias("few"))
-    return fine.join(single, "node", "left").join(few, "node", "left").select(
-        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "fine", "few")
+    return fine.join(single, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "fine")
 
 
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -250,13 +247,13 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     never meet each other. What is left is sifted by exact bounds on the
     similarity and by a finer signature of the few documents that are left, with
     the same margin of five standard deviations. Two sets below SMALL shingles
-    are compared on their shingles instead.
+    pass it; they are confirmed on their shingles like all pairs.
     """
     own = sets.join(members.select("node").distinct(), "node", "left_semi")
     facts = settle(_fine_facts(own).join(members.groupBy("node").agg(F.collect_list("key").alias("keys")), "node"))
     sizes = members.groupBy("key", "part").count()
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
-    rows = members.join(facts, "node").select("key", F.struct("node", "part", "n", "common", "fine", "few", "keys").alias("m"))
+    rows = members.join(facts, "node").select("key", F.struct("node", "part", "n", "common", "fine", "keys").alias("m"))
     small = rows.join(main, "key").where("m.part <> main").select("key", "main", F.col("m").alias("x"))
     every = rows.select("key", F.col("m").alias("y"))
     # two small members meet once; a small one meets each of the main part
@@ -264,9 +261,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shared = F.least("x.common", "y.common")
     bound = shared * 100 >= (F.col("x.n") + F.col("y.n") - shared) * percent
     alike = estimate(equal_lanes(F.col("x.fine"), F.col("y.fine"), FINE, 1), FINE, 1) >= floor_of(percent / 100, FINE, 1)
-    both = F.size(F.array_intersect("x.few", "y.few"))
-    exact = both * 100 >= (F.col("x.n") + F.col("y.n") - both) * percent
-    near = F.when((F.col("x.n") < SMALL) & (F.col("y.n") < SMALL), exact).otherwise(alike)
+    near = ((F.col("x.n") < SMALL) & (F.col("y.n") < SMALL)) | alike
     here = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("key")
     pairs = small.join(every, "key").where((F.col("x.part") != F.col("y.part")) & once & bound & here & near)
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
