@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,9 @@ from voxspark.llm.common import Memo, per_slice
 #: A space starts a new piece exactly if no blank follows it and the text goes on.
 _SPLITTABLE = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
+# Fixed value: the pattern of byte-level vocabularies whose cuts are known without it for letters and signs.
+_COMMON = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,7 +95,12 @@ class TwoTier:
         self.findall = regex.compile(pattern).findall
         self.pieces = Memo(self._piece)
         self.chunks = Memo(self._chunk)
-        self.token = {rank: key for key, rank in ranks.items()}
+        self.known_cuts = pattern == _COMMON
+        keys = sorted(ranks, key=ranks.get)
+        size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        size[[ranks[k] for k in keys]] = [len(k) for k in keys]
+        # all tokens in one array, by rank, and where each begins
+        self.raw, self.size, self.start = np.frombuffer(b"".join(keys), np.uint8), size, np.cumsum(size) - size
 
     def _piece(self, piece: str) -> list[int]:
         raw = piece.encode("utf-8")
@@ -132,8 +141,13 @@ class TwoTier:
         return ids
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = [x for piece in self.findall(chunk) for x in self.pieces[piece]]
-        return np.array(ids, np.int32).tobytes()
+        """Ids of a chunk. Letters with signs behind are two pieces (an apostrophe may begin a piece of its own kind)."""
+        word = chunk.rstrip(_SIGNS)
+        if self.known_cuts and word.lstrip(" ").isalpha() and len(word) - len(word.lstrip(" ")) < 2:
+            ids = self.pieces[word] if len(word) == len(chunk) else self.pieces[word] + self.pieces[chunk[len(word) :]]
+        else:
+            ids = [x for piece in self.findall(chunk) for x in self.pieces[piece]]
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if _SPLITTABLE.search(text):
@@ -144,7 +158,10 @@ class TwoTier:
         return np.frombuffer(b"".join(map(self.chunks.__getitem__, parts)), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids.tolist()))
+        """The tokens' bytes, gathered from one array."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.raw[np.repeat(self.start[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
 def _bounds(text: str):
@@ -168,9 +185,13 @@ def _shared(spark: SparkSession, path: str, pattern: str):
     return make
 
 
-def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_texts(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False,
+) -> DataFrame:
     """id, ids (array of int) for every row; a null or empty text has no ids.
 
+    With ``decoded`` the ids are decoded again in the same pass, see ``decode_ids``.
+
     Ids may be null or repeat and are only passed on; no other column is read.
     Special tokens are not recognised: their strings are ordinary text.
     """
@@ -182,14 +203,16 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             rows = [coder.encode(t) for t in part.column("text").to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-            return pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.ListArray.from_arrays(ends, np.concatenate(rows))], ["id", "ids"])
+            out = [part.column("id"), pa.ListArray.from_arrays(ends, np.concatenate(rows))]
+            if decoded:
+                out.append(pa.array(map(coder.decode, rows), pa.binary()))
+            return pa.RecordBatch.from_arrays(out, ["id", "ids", "decoded"][: len(out)])
 
         return step
 
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(texts.dtypes)["id"]
-    return per_slice(texts, work, f"id {kind}, ids array<int>")
+    return per_slice(texts, work, f"id {kind}, ids array<int>, decoded binary" if decoded else f"id {kind}, ids array<int>")
 
 
 def decode_ids(rows: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -71,7 +71,7 @@ def op4_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_bpe_two_tier")
 def op5_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.decode_ids(bpe.encode_texts(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), path, pattern, decoded=True)
     return coded.select(
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
