@@ -56,6 +56,47 @@ def test_lm_edge_cases(edge_docs, no_docs):
     assert lm.score(no_docs, F.lit(True)).count() == 0
 
 
+def test_lm_score_whatever_the_partitioning(spark, monkeypatch):
+    """Several learners, dealt by document: the same scores from 2 and from 7 partitions."""
+    monkeypatch.setattr(lm, "LEARNER_TOKENS", 1000)
+    rows = [*sample_texts(150), (None, "null id"), (None, None), (3, "again"), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = []
+    for parts, order in ((2, "doc_id"), (7, F.xxhash64("text"))):
+        got = lm.score(docs.repartition(parts).sortWithinPartitions(order), F.col("doc_id") % 5 != 0).collect()
+        scores.append(sorted(((str(r["id"]), r["n_tokens"], r["base_score"], r["score"]) for r in got)))
+    assert [x[:2] for x in scores[0]] == [x[:2] for x in scores[1]]
+    assert [x[3] for x in scores[0]] == pytest.approx([x[3] for x in scores[1]], rel=1e-6)
+
+
+def test_lm_score_against_one_learner_by_hand(spark):
+    """The whole score, word by word, from the parameters that one learner ends with."""
+    texts = [(i, t) for i, t in sample_texts(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    counts = lm.settle(lm.word_counts(docs))
+    vocab = lm.vocabulary(counts)
+    params = lm.train(lm._encoded(docs.select(F.col("doc_id").alias("id"), "text", F.lit(True).alias("learn")), vocab), vocab)
+    known, _ = vocabulary_of([t for _, t in texts])
+    inside = Counter()
+    for w, c in known.items():
+        if lm.word_hash(w) not in vocab.short:
+            inside[lm.class_of(w)] += c + 1
+    got = {r["id"]: r["score"] for r in lm.score(docs, F.lit(True)).collect()}
+    weights = np.column_stack([params.outputs, params.bias]).astype(float)
+    for i, text in texts[:12]:
+        before, total = [lm.START] * lm.CONTEXT, 0.0
+        for w in lm.words_of(text):
+            at = vocab.short.get(lm.word_hash(w))
+            out = lm.SHORT + lm.class_of(w) if at is None else at
+            r = sum(params.inputs[c].astype(float) * params.place[j] for j, c in enumerate(before))
+            z = weights @ np.append(r, 1)
+            total += z[out] - np.log(np.exp(z).sum())
+            if at is None:
+                total += math.log(known[w] + 1) - math.log(inside[lm.class_of(w)] + 1)
+            before = [out, *before[:-1]]
+        assert got[i] == pytest.approx(total / math.log(10), rel=1e-4)
+
+
 def vocabulary_of(texts):
     counts = Counter(w for t in texts for w in lm.words_of(t))
     top = sorted(counts, key=lambda w: (-counts[w], w))

@@ -3,9 +3,10 @@
 Words are counted over all training documents. The ``SHORT`` most frequent words
 and ``CLASSES`` classes of all other words (by their ending) are the outcomes
 of a log-bilinear network over the ``CONTEXT`` words before. It is trained in
-numpy by noise-contrastive estimation: every partition takes its share of the
-documents through minibatches, and the partitions' parameters are averaged,
-``ROUNDS`` times, each document serving in one round. Scoring multiplies blocks
+numpy by noise-contrastive estimation: every learner takes its share of the
+documents through minibatches, and the learners' parameters are averaged,
+``ROUNDS`` times, each document serving in one round. A document's learner
+follows from its id and text, not from the partition it lies in. Scoring multiplies blocks
 of contexts with all outcomes and normalises, so that the probabilities of all
 known words and of one unknown word per class add up to one; inside a class a
 word has its share of the counts.
@@ -20,17 +21,21 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voxspark.llm.common import Memo, in_slices, per_slice
+from voxspark.llm.common import SLICE, Memo, in_slices, per_slice, tidy
 from voxspark.session import settle
 
 SHORT, CLASSES, CONTEXT, WIDTH = 512, 64, 3, 16
 FREQUENT = 1 << 18
+#: Training tokens of one learner, over all rounds.
+LEARNER_TOKENS = 1 << 21
 NOISE, BATCH, RATE, ROUNDS = 32, 512, 0.15, 2
 OUTCOMES = SHORT + CLASSES
 START = OUTCOMES
@@ -151,20 +156,27 @@ class Params:
             r += (self.inputs * self.place[j]).take(context[:, j], axis=0)
         return r
 
-    def log_probabilities(self, context: np.ndarray, outcome: np.ndarray) -> np.ndarray:
-        """Normalised log-probabilities, from one matrix product of all contexts with all outcomes."""
-        r, n = self.predicted(context), len(outcome)
-        scores = r @ self.outputs.T
-        scores += self.bias
-        own = scores[np.arange(n), outcome].astype(np.float64)
+    def log_probabilities(self, context: np.ndarray, outcome: np.ndarray, rows: int = 512) -> np.ndarray:
+        """Normalised log-probabilities, from matrix products of the distinct contexts with all outcomes."""
+        key = context[:, 0].astype(np.int64)
+        for j in range(1, CONTEXT):
+            key = key * (OUTCOMES + 1) + context[:, j]
+        _, at, which = np.unique(key, return_index=True, return_inverse=True)
+        r = self.predicted(context[at])
+        # the bias as one more column of the product
+        left, right = np.column_stack([r, np.ones(len(r), np.float32)]), np.vstack([self.outputs.T, self.bias])
+        total, ones = np.empty(len(r), np.float64), np.ones(OUTCOMES, np.float32)
         # by the norms, no score can leave this range; if one might, the largest is taken out first
         reach = np.sqrt((r * r).sum(axis=1).max(initial=0) * (self.outputs**2).sum(axis=1).max()) + np.abs(self.bias).max()
-        top = 0.0
-        if reach > 60:
-            top = scores.max(axis=1)
-            scores -= top[:, None]
-        np.exp(scores, out=scores)
-        return own - top - np.log(scores @ np.ones(OUTCOMES, np.float32))
+        for a in range(0, len(r), rows):
+            scores, top = left[a : a + rows] @ right, 0.0
+            if reach > 60:
+                top = scores.max(axis=1)
+                scores -= top[:, None]
+            np.exp(scores, out=scores)
+            total[a : a + rows] = np.log(scores @ ones) + top
+        own = np.einsum("ij,ij->i", r.take(which, axis=0), self.outputs.take(outcome, axis=0)).astype(np.float64)
+        return own + self.bias[outcome] - total[which]
 
 
 def contexts(outcome: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -235,44 +247,56 @@ def _coded(texts: list[str], codes: Memo):
     return words, code, np.repeat(starts, sizes), sizes
 
 
-def train(texts: DataFrame, vocab: Vocabulary) -> Params:
-    """``text`` of all training documents and ``turn``, the round each of them serves in."""
+def train(coded: DataFrame, vocab: Vocabulary) -> Params:
+    """From ``id`` and ``codes`` (packed outcomes) of all training documents.
+
+    Documents are dealt to learners by a hash of their id and outcomes, sorted by
+    it, and each serves in one round. How many learners there are follows from
+    the number of tokens alone, so the partitioning of the table changes nothing.
+    """
     params = Params.first(vocab.outcome_share)
-    spark, parts = texts.sparkSession, max(texts.rdd.getNumPartitions(), 1)
-    shared = spark.sparkContext.broadcast((vocab.short, vocab.outcome_share))
+    spark, learners = coded.sparkSession, -(-vocab.tokens // LEARNER_TOKENS) or 1
+    share = spark.sparkContext.broadcast(vocab.outcome_share)
+    place = F.xxhash64("id", "codes")
+    dealt = coded.select(
+        F.pmod(F.xxhash64(F.lit("learner"), "id", "codes"), F.lit(learners)).alias("learner"), place.alias("place"),
+        F.pmod(F.xxhash64(F.lit("turn"), "id", "codes"), F.lit(ROUNDS)).alias("turn"), "codes")
     for turn in range(ROUNDS):
         now = spark.sparkContext.broadcast(params.flat())
 
         def run(batches):
-            from pyspark import TaskContext
-
-            short, share = shared.value
-            part = TaskContext.get().partitionId()
-            trainer, seen = Trainer(Params.of(now.value), share, part), 0
-            coder = Vocabulary(0, 0, {}, short, np.zeros(0), share)
-            codes = Memo(coder.code)
-            for piece in in_slices(batches):
-                _, code, first, _ = _coded(piece.column("text").to_pylist(), codes)
-                outcome = code & 0xFFFF
-                context = contexts(outcome, first)
-                for at in range(0, len(outcome), BATCH):
-                    trainer.batch(context[at : at + BATCH], outcome[at : at + BATCH])
-                seen += len(outcome)
-            if seen:
+            for learner, groups in groupby(_documents(batches), itemgetter(0)):
+                trainer, seen = Trainer(Params.of(now.value), share.value, learner), 0
+                docs = (np.frombuffer(codes, "<u2") for _, codes in groups)
+                while some := list(islice(docs, SLICE)):
+                    outcome = np.concatenate(some).astype(np.int64)
+                    sizes = np.array([len(d) for d in some])
+                    context = contexts(outcome, np.repeat(np.cumsum(sizes) - sizes, sizes))
+                    for at in range(0, len(outcome), BATCH):
+                        trainer.batch(context[at : at + BATCH], outcome[at : at + BATCH])
+                    seen += len(outcome)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int64()), pa.array([float(seen)]), pa.array([trainer.p.flat().tobytes()], pa.binary())], ["part", "n", "params"])
+                    [pa.array([learner], pa.int64()), pa.array([float(seen)]), pa.array([trainer.p.flat().tobytes()], pa.binary())], ["part", "n", "params"])
 
-        models = texts.where(F.col("turn") == turn).select("text").mapInArrow(run, "part long, n double, params binary")
-        left = parts
+        own = dealt.where(F.col("turn") == turn).select("learner", "place", "codes")
+        own = own.repartition(learners, "learner").sortWithinPartitions("learner", "place", "codes").select("learner", "codes")
+        models = own.mapInArrow(tidy(run), "part long, n double, params binary")
+        left = learners
         while left > FANOUT:  # average in a tree: no task or driver takes more than FANOUT models
             left = -(-left // FANOUT)
             models = models.groupBy(F.floor(F.col("part") / FANOUT).alias("part")).applyInPandas(_average, "part long, n double, params binary")
         got = models.toPandas()
         if len(got):
-            params = Params.of(_mean(got))
+            params = Params.of(_mean(got.sort_values("part")))
     return params
 
 
+def _documents(batches):
+    """(learner, codes) row by row."""
+    for part in in_slices(batches):
+        yield from zip(part.column("learner").to_pylist(), part.column("codes").to_pylist())
+
+
 def _mean(rows) -> np.ndarray:
     share = rows["n"].to_numpy() / rows["n"].sum()
     return sum(s * np.frombuffer(p, np.float32) for s, p in zip(share, rows["params"])).astype(np.float32)
@@ -285,25 +309,22 @@ def _average(key, rows):
     return pd.DataFrame({"part": [key[0]], "n": [rows["n"].sum()], "params": [_mean(rows).tobytes()]})
 
 
-def _scored(texts: DataFrame, vocab: Vocabulary, params: Params) -> DataFrame:
-    """id, n_tokens, the sums over frequent words, and the hashes and counts of the other words."""
-    shared = texts.sparkSession.sparkContext.broadcast((vocab.frequent, vocab.short, vocab.class_base, params.flat()))
+def _encoded(texts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """id, learn, codes (packed outcomes), n_tokens, the sums over frequent words, and the hashes and counts of the other words."""
+    shared = texts.sparkSession.sparkContext.broadcast((vocab.frequent, vocab.short, vocab.class_base))
 
     def work():
-        frequent, short, base, flat = shared.value
-        coder, model = Vocabulary(0, 0, frequent, short, base, np.zeros(0)), Params.of(flat)
+        frequent, short, base = shared.value
+        coder = Vocabulary(0, 0, frequent, short, base, np.zeros(0))
         codes = Memo(coder.code)
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             words, code, first, sizes = _coded(part.column("text").to_pylist(), codes)
             n, owner = part.num_rows, np.repeat(np.arange(part.num_rows), sizes)
             outcome, count = code & 0xFFFF, code >> 16
-            context = contexts(outcome, first)
-            logp = np.concatenate([
-                model.log_probabilities(context[at : at + 2048], outcome[at : at + 2048]) for at in range(0, len(outcome), 2048)])
-            other = outcome >= SHORT
+            packed, ends = outcome.astype("<u2").tobytes(), np.cumsum(sizes) * 2
             share = np.log1p(count)
-            logp[other] += share[other] - base[outcome[other] - SHORT]
+            inside = np.where(outcome >= SHORT, share - base[np.maximum(outcome - SHORT, 0)], 0.0)
             rare = np.flatnonzero(count == 0)
             hashes: list[Counter] = [Counter() for _ in range(n)]
             for i, doc in zip(rare.tolist(), owner[rare].tolist()):
@@ -311,15 +332,40 @@ def _scored(texts: DataFrame, vocab: Vocabulary, params: Params) -> DataFrame:
             ten = math.log(10)
             longs = pa.list_(pa.int64())
             return pa.RecordBatch.from_arrays([
-                part.column("id"), pa.array(sizes, pa.int64()), pa.array(np.bincount(owner, count > 0, n).astype(np.int64)),
-                pa.array(np.bincount(owner, share, n) / ten), pa.array(np.bincount(owner, logp, n) / ten),
+                part.column("id"), part.column("learn"), pa.array([packed[b - 2 * k : b] for b, k in zip(ends.tolist(), sizes.tolist())], pa.binary()),
+                pa.array(sizes, pa.int64()), pa.array(np.bincount(owner, count > 0, n).astype(np.int64)),
+                pa.array(np.bincount(owner, share, n) / ten), pa.array(np.bincount(owner, inside, n) / ten),
                 pa.array([list(x) for x in hashes], longs), pa.array([list(x.values()) for x in hashes], longs),
-            ], ["id", "n_tokens", "n_known", "log_counts", "log_model", "rare", "times"])
+            ], ["id", "learn", "codes", "n_tokens", "n_known", "log_counts", "log_inside", "rare", "times"])
 
         return step
 
     kind = dict(texts.dtypes)["id"]
-    return per_slice(texts, work, f"id {kind}, n_tokens long, n_known long, log_counts double, log_model double, rare array<long>, times array<long>", 128)
+    return per_slice(
+        texts, work, f"id {kind}, learn boolean, codes binary, n_tokens long, n_known long, log_counts double, log_inside double, "
+        "rare array<long>, times array<long>", 128)
+
+
+def _modelled(coded: DataFrame, params: Params) -> DataFrame:
+    """``coded`` with log_model, the model's log10 probability of the outcomes, in place of ``codes``."""
+    shared = coded.sparkSession.sparkContext.broadcast(params.flat())
+    names = [c for c in coded.columns if c != "codes"]
+
+    def work():
+        model = Params.of(shared.value)
+
+        def step(part: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [np.frombuffer(c, "<u2") for c in part.column("codes").to_pylist()]
+            sizes = np.array([len(r) for r in rows])
+            outcome = np.concatenate(rows).astype(np.int64)
+            logp = model.log_probabilities(contexts(outcome, np.repeat(np.cumsum(sizes) - sizes, sizes)), outcome)
+            total = np.bincount(np.repeat(np.arange(len(rows)), sizes), logp, len(rows)) / math.log(10)
+            return pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(total)], [*names, "log_model"])
+
+        return step
+
+    schema = coded.select(*names, F.lit(None).cast("double").alias("log_model")).schema
+    return per_slice(coded.select(*names, "codes"), work, schema, 128)
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -328,21 +374,24 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     ``learn`` says which rows to learn from. A null text is empty: its only token
     is the end. Rows are scored one by one, so ids may be null or repeat; other
     columns are not read. Without training rows every word is unknown. Word
-    hashes of 64 bits stand for the words.
+    hashes of 64 bits stand for the words. Neither the order nor the partitioning
+    of the rows changes a score by more than rounding.
     """
     texts = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    training = texts.where("learn").select("text", F.pmod(F.xxhash64("id"), F.lit(ROUNDS)).alias("turn"))
-    counts = settle(word_counts(training))
+    counts = settle(word_counts(texts.where("learn")))
     vocab = vocabulary(counts)
-    params = train(training, vocab)
-    rows = settle(_scored(texts.select("id", "text"), vocab, params).withColumn("row", F.monotonically_increasing_id()))
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("h"), "w.times")
+    # each text is encoded once, for training and for scoring
+    coded = settle(_encoded(texts, vocab).withColumn("row", F.monotonically_increasing_id()))
+    params = train(coded.where("learn"), vocab)
+    rare = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("h"), "w.times")
     # frequent words were counted in the tasks; these are the others
     known = rare.join(counts.select("h", "n"), "h").groupBy("row").agg(
         F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
     more, logs = F.coalesce("more", F.lit(0)), F.coalesce("logs", F.lit(0.0))
     each = math.log10(vocab.tokens + vocab.types + 1)
+    rows = _modelled(coded.drop("learn", "rare", "times"), params)
     return rows.join(known, "row", "left").select(
         "id", "n_tokens", (F.col("n_known") + more).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"),
-        (F.col("log_counts") + logs - F.col("n_tokens") * each).alias("base_score"), (F.col("log_model") + logs).alias("score"))
+        (F.col("log_counts") + logs - F.col("n_tokens") * each).alias("base_score"),
+        (F.col("log_model") + F.col("log_inside") + logs).alias("score"))
