@@ -1,11 +1,13 @@
-"""Records out of HTML pages, with regular expressions that stay in the JVM."""
+"""Records out of HTML pages: regular expressions in the JVM, and elements cut in Arrow batches."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.functions import ArrowUDFType
 
 from voxspark import fixed_values as V
 from voxspark.functions import parsers as P, text as X
@@ -36,9 +38,10 @@ def _attribute(name: str, value: str) -> str:
 
 # Tags that have no end.
 _VOID = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)\b"
+_NO_END = frozenset("area base br col embed hr img input link meta source track wbr script style".split())
 # Scripts, styles and comments are one piece each; then tags, and text between them.
 _PIECES = r"(?is)(<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>|[^<]+|<)"
-_FOUND = "struct<begin:int,depth:int,stop:int>"
+_NAME = r"<(/?)(\w+)"
 
 
 def by_attribute(value: str, attribute: str = "class") -> str:
@@ -49,48 +52,52 @@ def by_attribute(value: str, attribute: str = "class") -> str:
 def elements(c: Column | str, wanted: Mapping[str, str]) -> Column:
     """Struct of the inner HTML of the first element per pattern of an opening tag, each cut at its own end.
 
-    One fold over the pieces of the page keeps a stack of open elements. A
+    One pass over the tags of the page keeps a stack of open elements. A
     closing tag ends the nearest open element of its name and all that stand
     open within it; one without such an element is passed over. What is never
     closed ends with the page. NULL for a missing and for an empty element.
-    Tags inside scripts, styles and comments do not count.
+    Tags inside scripts, styles and comments do not count. The pages are read
+    in Arrow batches, whose patterns are those of ``re`` with ASCII classes.
     """
-    html, names = X.col(c), list(wanted)
-    kind = f"struct<stack:array<string>,at:int,{','.join(f'f{i}:{_FOUND}' for i in range(len(names)))}>"
-    nothing = F.lit(None).cast(_FOUND)
-    start = F.struct(F.array().cast("array<string>").alias("stack"), F.lit(0).alias("at"), *[nothing.alias(f"f{i}") for i in range(len(names))])
-
-    def read(state: Column, piece: Column) -> Column:
-        opened = F.lower(F.regexp_extract(piece, r"^<(\w+)", 1))
-        closed = F.lower(F.regexp_extract(piece, r"^</(\w+)", 1))
-        size, stack = F.length(piece), state["stack"]
-        alone = piece.rlike(_VOID) | piece.endswith("/>") | piece.rlike(r"(?i)^<(?:script|style)\b")
-        # the nearest open element of that name, counted from the outermost
-        behind = F.array_position(F.reverse(stack), closed).cast("int")
-        level = F.when((closed == "") | (behind == 0), F.lit(None).cast("int")).otherwise(F.size(stack) - behind + 1)
-        moved = F.when(level.isNotNull(), F.slice(stack, F.lit(1), F.coalesce(level, F.lit(1)) - 1)).when(
-            (opened != "") & ~alone, F.concat(stack, F.array(opened))).otherwise(stack)
-        after = state["at"] + size
-
-        def follow(i: int) -> Column:
-            one = state[f"f{i}"]
-            begins = one.isNull() & (opened != "") & piece.rlike(wanted[names[i]])
-            fresh = F.struct(after.alias("begin"), (F.size(stack) + 1).alias("depth"), F.when(alone, after).alias("stop"))
-            ends = one["stop"].isNull() & (level <= one["depth"])
-            over = F.struct(one["begin"].alias("begin"), one["depth"].alias("depth"), state["at"].alias("stop"))
-            return F.when(begins, fresh.cast(_FOUND)).when(ends, over.cast(_FOUND)).otherwise(one)
-
-        return F.struct(moved.alias("stack"), after.alias("at"), *[follow(i).alias(f"f{i}") for i in range(len(names))]).cast(kind)
-
-    def cut(state: Column) -> Column:
-        inner = []
-        for i, name in enumerate(names):
-            one = state[f"f{i}"]
-            stop = F.coalesce(one["stop"], state["at"])
-            inner.append(F.nullif(F.substring(html, one["begin"] + 1, stop - one["begin"]), F.lit("")).alias(name))
-        return F.struct(*inner)
-
-    return F.aggregate(F.regexp_extract_all(html, F.lit(_PIECES), 1), start.cast(kind), read, cut)
+    names, patterns, no_end = list(wanted), list(wanted.values()), _NO_END
+    kind = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    pieces_of, name_of = _PIECES, _NAME
+
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces, name = re.compile(pieces_of, re.ASCII), re.compile(name_of, re.ASCII)
+        opens = [re.compile(p, re.ASCII) for p in patterns]
+
+        def inner(page: str) -> dict:
+            stack, out, missing, within = [], dict.fromkeys(names), list(zip(names, opens)), []
+            for m in pieces.finditer(page):
+                piece = m.group()
+                tag = name.match(piece)
+                if tag is None:
+                    continue
+                word = tag[2].lower()
+                if not tag[1]:
+                    alone = word in no_end or piece.endswith("/>")
+                    begun = [x for x in missing if x[1].search(piece)]
+                    if begun:
+                        missing = [x for x in missing if x not in begun]
+                        within += [] if alone else [(n, len(stack), m.end()) for n, _ in begun]
+                    if not alone:
+                        stack.append(word)
+                elif word in stack:
+                    while stack.pop() != word:
+                        pass
+                    for n, depth, begin in within:
+                        if depth >= len(stack):
+                            out[n] = page[begin : m.start()] or None
+                    within = [x for x in within if x[1] < len(stack)]
+            for n, _, begin in within:
+                out[n] = page[begin:] or None
+            return out
+
+        for batch in batches:
+            yield pa.array((None if x is None else inner(x) for x in batch.to_pylist()), pa.struct([(n, pa.string()) for n in names]))
+
+    return F.arrow_udf(cut, kind, ArrowUDFType.SCALAR_ITER)(X.col(c))
 
 
 def element_html(c: Column | str, value: str, attribute: str = "class") -> Column:
