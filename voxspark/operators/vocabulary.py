@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from voxspark.functions import stemming, text as X
 from voxspark.operators.joins import checked_key, hot_keys, lookup_join, salted_join
@@ -66,21 +70,29 @@ def reduce_tokens(
 ) -> DataFrame:
     """Replace word forms by the dictionary's (form, canonical), in place and order.
 
-    Only the distinct forms of a document meet the dictionary; the document then
-    rewrites its tokens inside the row. A form the dictionary lacks stays as it
-    is, and one that it holds twice is an error.
+    Only the distinct forms of a document meet the dictionary; its tokens are
+    then looked up among the forms found, a batch of documents at a time, so that
+    a long document costs no more per token than a short one. A form the
+    dictionary lacks stays as it is, and one that it holds twice is an error.
     """
     entries = checked_key(dictionary.select("form", "canonical"), ["form"])
-    forms = df.select(doc, F.explode(F.array_distinct(tokens)).alias("form"))
+    # outer, because Spark would compute the tokens two more times to leave out empty arrays
+    forms = df.select(doc, F.explode_outer(F.array_distinct(tokens)).alias("form")).where("form IS NOT NULL")
     found = lookup_join(forms, entries, "form", "inner").where("canonical IS NOT NULL")
-    maps = found.groupBy(doc).agg(F.map_from_entries(F.collect_list(F.struct("form", "canonical"))).alias("_m"))
-    rewritten = F.transform(F.col(tokens), lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), t))
-    empty = F.array().cast("array<string>")
-    return (
-        df.join(maps, doc, "left")
-        .withColumn(out, F.coalesce(F.when(F.col("_m").isNull(), F.col(tokens)).otherwise(rewritten), empty))
-        .drop("_m")
-    )
+    known = found.groupBy(doc).agg(F.collect_list("form").alias("_forms"), F.collect_list("canonical").alias("_canonicals"))
+    return df.join(known, doc, "left").withColumn(out, _rewritten(tokens, "_forms", "_canonicals")).drop("_forms", "_canonicals")
+
+
+def _rewritten(tokens: str, forms: str, canonicals: str) -> Column:
+    """The tokens, those among ``forms`` replaced by the value beside it; a null array is empty."""
+
+    def run(t: pa.Array, form: pa.Array, canonical: pa.Array) -> pa.Array:
+        flat = t.flatten()
+        at = pc.index_in(flat, value_set=form.flatten())
+        ends = np.concatenate([[0], np.cumsum(t.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int32)
+        return pa.ListArray.from_arrays(ends, pc.coalesce(canonical.flatten().take(at), flat))
+
+    return F.arrow_udf(run, "array<string>", ArrowUDFType.SCALAR)(tokens, forms, canonicals)
 
 
 def stem_tokens(
@@ -91,7 +103,8 @@ def stem_tokens(
     The suffix rules run once per distinct word of the table, which is written
     for it; the documents then meet their own words only. A null array is empty.
     """
-    forms = df.select(F.explode(tokens).alias("token"))
-    changed = settle(stemming.stems(forms, "token", steps).where("form <> canonical"))
+    forms = df.select(F.explode_outer(tokens).alias("token"))
+    # written before it is filtered: a filter on the stems would move below the distinct, to every token
+    changed = settle(stemming.stems(forms, "token", steps)).where("form <> canonical")
     reduced = reduce_tokens(df, doc, tokens, changed, out)
     return reduced.withColumn(out, F.filter(out, lambda t: F.length(t) >= min_len)) if min_len else reduced
