@@ -185,9 +185,10 @@ SELECT doc_id, round(coalesce(n / nullif(p + n + z, 0), 0), 3) AS vader_neg, rou
   round(coalesce(p / nullif(p + n + z, 0), 0), 3) AS vader_pos, round(s / sqrt(s * s + 15), 4) AS vader_compound FROM a""")
 def lexicon_sentiment(spark, sf):
     """Word valences are learned from the labelled documents."""
-    labelled = _tokenized(spark, sf).join(table(spark, sf, "labels"), "doc_id")
+    labelled = _docs(spark, sf).join(table(spark, sf, "labels"), "doc_id")
+    distinct = F.array_distinct(X.tokenize("text", STOPWORDS))
     lexicon = (
-        labelled.select("quality", F.explode(F.array_distinct("tokens")).alias("token"))
+        labelled.select("quality", F.explode_outer(distinct).alias("token")).where("token IS NOT NULL")
         .groupBy("token").agg(F.round(4 * F.avg("quality") - 3, 3).alias("valence"), F.count(F.lit(1)).alias("n"))
         .where("n >= 3")
     )
@@ -238,7 +239,7 @@ SELECT doc_id, round(coalesce(neg / nullif(pos + neg + neu, 0), 0), 3) AS vader_
 def rule_sentiment(spark, sf):
     """Valences are learned from the labelled documents; the endings of benchmark words make boosters and negations."""
     words = F.transform(sentiment.sentiment_words("text"), F.lower)
-    labelled = _docs(spark, sf).select("doc_id", F.explode(F.array_distinct(words)).alias("token")).join(table(spark, sf, "labels"), "doc_id")
+    labelled = _docs(spark, sf).join(table(spark, sf, "labels"), "doc_id").select("quality", F.explode_outer(F.array_distinct(words)).alias("token")).where("token IS NOT NULL")
     lexicon = labelled.groupBy("token").agg(F.round(4 * F.avg("quality") - 3, 3).alias("valence"), F.count(F.lit(1)).alias("n")).where("n >= 3")
     bare = F.transform(F.split("text", r"[ \t\n\r\f\x0B]+"), lambda w: F.lower(F.regexp_replace(w, "[^A-Za-z]", "")))
     other = table(spark, sf, "benchmark").select(F.explode(bare).alias("token")).distinct()

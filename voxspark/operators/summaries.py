@@ -30,7 +30,8 @@ def sentence_summary(
     words travel without the text, and only the chosen ones are read again.
     """
     counted = X.once(X.tokenize("s", stopwords, min_len), X.token_counts)
-    located = df.select(key, doc, F.posexplode(X.sentences(text, separators)).alias("pos", "s"))
+    # outer, because Spark would split the texts two more times to leave out those without sentences
+    located = df.select(key, doc, F.posexplode_outer(X.sentences(text, separators)).alias("pos", "s")).where("s IS NOT NULL")
     located = settle(located.select(key, doc, "pos", F.unhex(F.md5("s")).alias("d"), counted.alias("t")))
     counts = settle(
         located.select(key, F.inline("t")).groupBy(key, "token").agg(F.sum("n").cast("bigint").alias("n_group"))
