@@ -7,7 +7,6 @@ from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.functions import ArrowUDFType
 
 from voxspark import fixed_values as V
 from voxspark.functions import parsers as P, text as X
@@ -97,7 +96,7 @@ def elements(c: Column | str, wanted: Mapping[str, str]) -> Column:
         for batch in batches:
             yield pa.array((None if x is None else inner(x) for x in batch.to_pylist()), pa.struct([(n, pa.string()) for n in names]))
 
-    return F.arrow_udf(cut, kind, ArrowUDFType.SCALAR_ITER)(X.col(c))
+    return F.arrow_udf(cut, kind)(X.col(c))
 
 
 def element_html(c: Column | str, value: str, attribute: str = "class") -> Column:

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import ArrowUDFType
 
 from voxspark.functions import stemming, text as X
 from voxspark.operators.joins import checked_key, hot_keys, lookup_join, salted_join
@@ -92,7 +91,7 @@ def _rewritten(tokens: str, forms: str, canonicals: str) -> Column:
         ends = np.concatenate([[0], np.cumsum(t.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int32)
         return pa.ListArray.from_arrays(ends, pc.coalesce(canonical.flatten().take(at), flat))
 
-    return F.arrow_udf(run, "array<string>", ArrowUDFType.SCALAR)(tokens, forms, canonicals)
+    return F.arrow_udf(run, "array<string>")(tokens, forms, canonicals)
 
 
 def stem_tokens(
