@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from voxspark.functions import text as X
 
 
+#: Tokens that a task compares at once; a longer pair is compared alone.
+LOT = 1 << 18
+
+
 def rouge_tokens(c: Column | str) -> Column:
     """Lower-case ASCII letters and digits."""
     return F.regexp_extract_all(F.lower(X.col(c)), F.lit("([a-z0-9]+)"), 1)
@@ -46,17 +50,29 @@ def _counted(owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return owner[first], grams[first], np.diff(np.append(first, len(order)))
 
 
+def _lots(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``LOT`` tokens."""
+    rs = batch.column("_rs")
+    in_refs = np.concatenate([[0], np.cumsum(rs.flatten().value_lengths().to_numpy())])
+    last = np.cumsum(rs.value_lengths().to_numpy())
+    upto = np.cumsum(batch.column("_h").value_lengths().to_numpy().astype(np.int64)) + in_refs[last]
+    starts = np.flatnonzero(np.diff(upto // LOT, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def _clipped(df: DataFrame, orders: Sequence[int]) -> DataFrame:
     """Replace ``_h`` (token hashes) and ``_rs`` (arrays of them) by ``_m``: per order, the n-grams of ``_h`` that a reference has too.
 
     Each n-gram counts as often as in ``_h``, and at most as often as in the
-    reference that has it most. Whole batches are compared at once in a task.
+    reference that has it most. Many rows are compared at once in a task, as long
+    as they hold no more than ``LOT`` tokens, so that its memory is bounded.
     """
     kept = [f for f in df.schema.fields if f.name not in ("_h", "_rs")]
     orders = tuple(orders)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (lot for whole in batches for lot in _lots(whole)):
             h, rs = batch.column("_h"), batch.column("_rs")
             texts = rs.flatten()
             row_of = np.repeat(np.arange(batch.num_rows), rs.value_lengths().to_numpy())
