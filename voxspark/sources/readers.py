@@ -55,11 +55,15 @@ def read_reviews_with_header(spark: SparkSession, path: str, na_values: Sequence
     return raw_reviews(rows.select("*", _stem().alias("file_name")), na_values)
 
 
-def read_place_meta(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object per file, tagged with the file stem; -1 reviews means unknown."""
+def read_place_meta(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One JSON object per file, or with ``lines`` one per line, tagged with the file stem; -1 reviews means unknown.
+
+    A file per place costs some milliseconds each way, for the writer, the
+    listing and the reader; many places belong in lines.
+    """
     rows = (
         spark.read.schema(S.PLACE_META)
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("pathGlobFilter", "*.json")
         .json(path)
     )
