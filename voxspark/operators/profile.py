@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxspark.functions.text import col
+from voxspark.operators.joins import fits_broadcast
 from voxspark.operators.ordering import (
     exact_percentiles, top_n_per_group, with_running_total,
 )
+from voxspark.session import settle
 
 PART_BYTES = 16 << 20
 
@@ -138,8 +142,14 @@ def entity_document(
     keys, order, tokens = list(keys), list(order), dict(tokens or {})
     used = [*dict.fromkeys([*order, *texts.values(), *tokens.values()])]
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in dict.fromkeys(texts.values())), F.lit(0)).cast("bigint")
-    upto = with_running_total(df.select(*keys, *used), keys, order, size, "_upto")
-    pieces = upto.withColumn("part", F.floor((F.col("_upto") - size) / part_bytes))
+    # sizes alone are sorted and written; the texts meet their part by key and order, and move once more to be joined
+    sizes = df.select(*keys, *order, size.alias("_size"))
+    begins = with_running_total(sizes, keys, order, F.col("_size"), "_upto").select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate([*keys, *order])], F.floor((F.col("_upto") - F.col("_size")) / part_bytes).alias("part"))
+    # rows that an order does not tell apart begin together
+    parts = settle(begins.groupBy(*begins.columns[:-1]).agg(F.min("part").alias("part")))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*keys, *order])])
+    pieces = df.select(*keys, *used).join(F.broadcast(parts) if fits_broadcast(parts) else parts, same)
     row = F.struct(
         *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
         *[F.col(c).alias(f"x_{n}") for n, c in {**texts, **tokens}.items()],
