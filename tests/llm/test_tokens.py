@@ -1,10 +1,12 @@
 """Byte-level BPE and packing against the public tokenizer libraries."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm_samples import sample_texts
@@ -74,6 +76,28 @@ def test_word_tokens_equal_the_library():
         assert own(t).tolist() == ids.tolist(), repr(t)
 
 
+def test_new_words_cost_no_python_call_each():
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choices("abcdefghij", k=8)) + rng.choice(["", ".", "),"]) for _ in range(20000)})
+    own, calls = packing.WordTokens(WORDS), []
+    texts = pa.array([" ".join(words[k::40]) for k in range(40)])
+    sys.setprofile(lambda _, event, __: calls.append(1) if event in ("call", "c_call") else None)
+    flat, size = own.many(texts)
+    sys.setprofile(None)
+    assert len(calls) < 2000
+    assert [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])] == [x.tolist() for x in word_ids(texts.to_pylist())]
+    assert packing.WordTokens(WORDS).whole is own.whole  # read once per worker
+
+
+def test_lots_hold_every_row():
+    texts = ["", "ab" * 30, "", "c" * 500, "", "", "d", "é" * 49, "e"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(9)), "text": texts})
+    for most in (1, 7, 60, 100, 10_000):
+        got = [lot.column("text").to_pylist() for lot in packing.lots([batch.slice(0, 0), batch], most)]
+        assert sum(got, []) == texts and all(got)
+        assert all(sum(len(t.encode()) for t in lot[1:]) <= most for lot in got)
+
+
 def check_pack(docs, **more):
     rows = [(r[0], r[1] or "") for r in docs.select("doc_id", "text").collect()]
     want = sorted((str(i), [*ids.tolist(), 1]) for (i, _), ids in zip(rows, word_ids([t for _, t in rows])))

@@ -14,26 +14,26 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
+from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from voxspark.llm.common import in_slices, tidy
+from voxspark.llm.common import tidy
 from voxspark.session import settle
 
 K1, B = 1.2, 0.75
-#: ASCII signs without the apostrophe, and letters beyond ASCII that Unicode composition leaves alone.
-_SIGNS_TEXT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_SIGNS = _SIGNS_TEXT.encode()
-_LATIN = re.compile(r"[a-zß-öø-ÿ]+")
-#: Bytes, roughly, of the words that a task remembers.
-_MOST = 128 << 20
+#: Letters that Unicode composition leaves alone, and the ASCII signs without the apostrophe.
+_PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!-&(-/:-@\[-`{-~]*)$"
+#: Bytes of text that are encoded together.
+LOT = 16 << 20
 
 
 def merger(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
@@ -64,92 +64,83 @@ def merger(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", mergeable_ranks=ranks, special_tokens={}), np.array(ids, np.int32)
 
 
-class _Numbered(dict):
-    """Numbers its keys as they come; ``new`` holds those not yet worked on."""
+@cache
+def encoders(path: str) -> tuple[Tokenizer, tiktoken.Encoding, np.ndarray]:
+    """The whole tokenizer, and ``merger`` of its vocabulary: read once per Python worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    return whole, *merger(path)
 
-    def __init__(self):
-        super().__init__()
-        self.new = []
 
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
+def _picked(flat: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` numbered ``at``, one after the other."""
+    n = size[at]
+    shift = start[at] - (np.cumsum(n) - n)
+    return flat[np.repeat(shift, n) + np.arange(n.sum())]
 
 
 class WordTokens:
-    """Token ids of whole texts by the word tokenizer, for each blank-separated chunk once.
+    """Token ids of whole texts by the word tokenizer, for each blank-separated chunk of a lot of texts once.
 
     No token crosses a blank. A chunk of plain letters and trailing signs has two
     parts, as the tokenizer's own pattern cuts it; these need no normalising and
-    are merged by ``merger``. Any other chunk goes through the tokenizer whole as
-    one part. New parts are encoded together, and forgotten when there are too
-    many chunks.
+    are merged by ``merger``, all distinct ones of the lot in one call. Any other
+    chunk goes through the tokenizer whole. Nothing is kept from lot to lot.
     """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.merges, self.id_of = merger(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.chunks, self.parts = _Numbered(), _Numbered()
-        self.pairs, self.bytes = np.empty((0, 2), np.int32), 0  # the two parts of each chunk
-        self.flat, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _learn(self) -> None:
-        """Cut the new chunks and encode the parts that are new."""
-        chunks, self.chunks.new = self.chunks.new, []
-        parts, pairs = self.parts, []
-        for raw in chunks:
-            low = raw.lower()
-            word = low.rstrip(_SIGNS)
-            if not word.isalpha():  # not of ASCII letters alone
-                text = raw.decode("utf-8")
-                plain = _LATIN.fullmatch(text.lower().rstrip(_SIGNS_TEXT))
-                if not plain:
-                    pairs += (parts[text, None], parts[b""])
-                    continue
-                low = text.lower().encode("utf-8")
-                word = low.rstrip(_SIGNS)
-            pairs += (parts[word], parts[low[len(word) :]])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int32).reshape(-1, 2)])
-        new, parts.new = parts.new, []
-        self.bytes += 140 * (len(chunks) + len(new)) + 2 * sum(map(len, chunks))
-        plain = [i for i, p in enumerate(new) if p.__class__ is bytes]
-        other = [i for i, p in enumerate(new) if p.__class__ is not bytes]
+        self.whole, self.merges, self.id_of = encoders(path)
+
+    def _merged(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain parts, one after the other, and how many each has."""
         # one piece for each line; a word ends in the mark that its last byte is merged with
-        lines = b"".join([new[i] + b"\0\n" if new[i] else b"\n" for i in plain])
-        ranks = np.array(self.merges.encode_ordinary(lines.decode("utf-8")), np.int64)
+        marked = pc.if_else(pc.equal(parts, ""), "", pc.binary_join_element_wise(parts, "", "\0"))
+        lines = pc.binary_join_element_wise(marked, "", "\n")
+        text = lines.buffers()[2].slice(0, pc.sum(pc.binary_length(lines)).as_py()).to_pybytes() if len(lines) else b""
+        ranks = np.array(self.merges.encode_ordinary(text.decode("utf-8")), np.int64)
         ends = np.flatnonzero(ranks == ord("\n"))
-        whole = [e.ids for e in self.whole.encode_batch_fast([new[i][0] for i in other], add_special_tokens=False)]
-        size = np.empty(len(new), np.int64)
-        size[plain] = np.diff(ends, prepend=-1) - 1
-        size[other] = np.fromiter(map(len, whole), np.int64, len(whole))
-        flat = np.concatenate([self.id_of[ranks[ranks != ord("\n")]], np.fromiter(chain.from_iterable(whole), np.int32)])
-        order = np.array(plain + other, np.int64)  # as the ids lie in ``flat``
-        start = np.empty(len(new), np.int64)
-        start[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
-        self.start, self.size, self.flat = np.concatenate([self.start, start]), np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
-
-    def many(self, texts: list[str]) -> list[np.ndarray]:
-        if self.bytes > _MOST:
-            self.forget()
-        rows = [t.encode("utf-8").split() for t in texts]
-        count = np.fromiter(map(len, rows), np.int64, len(rows))
-        at = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(rows)), np.int64, int(count.sum()))
-        if self.chunks.new:
-            self._learn()
-        part = self.pairs[at].reshape(-1)
-        size = self.size[part]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        flat = self.flat[np.repeat(self.start[part] - ends[:-1], size) + np.arange(ends[-1])]
-        return np.split(flat, ends[2 * np.cumsum(count)][:-1]) if len(rows) else []
+        return self.id_of[ranks[ranks != ord("\n")]], np.diff(ends, prepend=-1) - 1
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, one after the other, and how many each has."""
+        cut = pc.extract_regex(chunks, _PLAIN)
+        plain = cut.is_valid().to_numpy(zero_copy_only=False)
+        cut = cut.drop_null()
+        words, signs = pc.utf8_lower(cut.field("word")).dictionary_encode(), cut.field("signs").dictionary_encode()
+        flat, size = self._merged(pa.concat_arrays([words.dictionary, signs.dictionary]))
+        other = self.whole.encode_batch_fast(chunks.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)
+        whole = [e.ids for e in other]
+        # parts by number: words, signs, whole chunks, and one that is empty
+        size = np.concatenate([size, np.fromiter(map(len, whole), np.int64, len(whole)), [0]])
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(whole), np.int32)])
+        pairs = np.full((len(chunks), 2), len(size) - 1)
+        pairs[plain, 0] = words.indices.to_numpy()
+        pairs[plain, 1] = signs.indices.to_numpy() + len(words.dictionary)
+        pairs[~plain, 0] = len(size) - 1 - len(whole) + np.arange(len(whole))
+        return _picked(flat, np.cumsum(size) - size, size, pairs.reshape(-1)), size[pairs].sum(axis=1)
+
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        rows = pc.ascii_split_whitespace(texts)
+        chunks = rows.flatten().dictionary_encode()
+        at = chunks.indices.to_numpy()
+        flat, size = self._chunks(chunks.dictionary)
+        ends = np.concatenate([[0], np.cumsum(size[at])])[np.cumsum(rows.value_lengths().to_numpy())]
+        return _picked(flat, np.cumsum(size) - size, size, at), np.diff(ends, prepend=0)
 
     def __call__(self, text: str) -> np.ndarray:
-        return self.many([text])[0]
+        return self.many(pa.array([text]))[0]
+
+
+def lots(batches: Iterator[pa.RecordBatch], most: int = LOT) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches: one row, and further ones of at most so many bytes of text."""
+    for batch in batches:
+        if batch.num_rows:
+            number = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)) // most
+            cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield batch.slice(lo, hi - lo)
 
 
 def id_type(size: int) -> np.dtype:
@@ -163,7 +154,8 @@ def token_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, window:
     ``near`` holds two min-hashes of the document's tokens. Tokens with large
     ids come late in the vocabulary and are rare, so they get the small hashes.
     Besides, one row for each task has in ``tokens`` and ``counts`` how many of
-    its documents have each token; its other columns are null.
+    its documents have each token and in ``chars`` the length of its texts; its
+    other columns are null.
     """
 
     def run(batches):
@@ -171,37 +163,45 @@ def token_pieces(docs: DataFrame, path: str, id_col: str, text_col: str, window:
         size = max(encode.whole.get_vocab_size(), end_id + 1)
         kind = id_type(size)
         dice = (np.random.default_rng(5).exponential(size=(2, size)) / np.square(np.arange(1, size + 1))).astype(np.float32)
-        seen, id_kind = np.zeros(size, np.int64), pa.int64()
-        ints, longs, names = pa.list_(pa.int32()), pa.list_(pa.int64()), ["id", "doc_tokens", "start", "n", "ids", "near", "tokens", "counts"]
-
-        def table(docs_, tokens, starts, sizes, rows, near, bag, counts):
-            kinds = [id_kind, pa.int64(), pa.int64(), pa.int64(), pa.binary(), ints, ints, longs]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, tokens, starts, sizes, rows, near, bag, counts), kinds)], names)
-
-        for part in in_slices(batches):
+        order = np.argsort(dice, axis=1, kind="stable").astype(kind)
+        rank = np.argsort(order, axis=1, kind="stable").astype(kind)
+        seen, chars, id_kind = np.zeros(size, np.int64), 0, pa.int64()
+        for part in lots(batches):
             id_kind = part.column("id").type
-            cols = [[] for _ in range(8)]
-            for doc, ids in zip(part.column("id").to_pylist(), encode.many(part.column("text").to_pylist())):
-                ids = np.append(ids, np.int32(end_id))
-                short = ids.astype(kind)
-                ranked = np.sort(short, kind="stable")
-                seen[ranked[np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))]] += 1
-                low = [int(ids[d.take(short).argmin()]) for d in dice]
-                packed = short.tobytes()
-                for at in range(0, len(ids), window):
-                    n = min(window, len(ids) - at)
-                    row = (doc, len(ids), at, n, packed[at * kind.itemsize : (at + n) * kind.itemsize], low, None, None)
-                    for c, v in zip(cols, row):
-                        c.append(v)
-            yield table(*cols)
+            chars += pc.sum(pc.utf8_length(part.column("text"))).as_py()
+            flat, count = encode.many(part.column("text"))
+            flat = np.insert(flat, np.cumsum(count), end_id).astype(kind)
+            count += 1
+            first = np.cumsum(count) - count
+            # equal tokens lie together, in the order of their documents
+            sort = np.argsort(flat, kind="stable")
+            token, doc = flat[sort], np.repeat(np.arange(len(count)), count)[sort]
+            new = np.append(True, (token[1:] != token[:-1]) | (doc[1:] != doc[:-1]))
+            seen += np.bincount(token[new], minlength=size)
+            near = np.stack([o[np.minimum.reduceat(r[flat], first)] for o, r in zip(order, rank)], axis=1).astype(np.int32)
+            pieces = -(-count // window)
+            doc = np.repeat(np.arange(len(count)), pieces)
+            start = window * (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+            n = np.minimum(window, count[doc] - start)
+            ends = (np.append(0, np.cumsum(n)) * kind.itemsize).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+            lists = pa.ListArray.from_arrays(np.arange(0, 2 * len(n) + 1, 2, dtype=np.int32), near[doc].reshape(-1))
+            none = [pa.nulls(len(n), k) for k in (ints, longs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id").take(pa.array(doc)), pa.array(count[doc]), pa.array(start), pa.array(n), ids, lists, *none], names)
         some = np.flatnonzero(seen)
         if len(some):
-            yield table(*[[None]] * 6, [some.tolist()], [seen[some].tolist()])
+            none = [pa.nulls(1, k) for k in (id_kind, pa.int64(), pa.int64(), pa.int64(), pa.binary(), ints)]
+            yield pa.RecordBatch.from_arrays(
+                [*none, pa.array([some.tolist()], ints), pa.array([seen[some].tolist()], longs), pa.array([chars])], names)
 
+    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    names = ["id", "doc_tokens", "start", "n", "ids", "near", "tokens", "counts", "chars"]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(texts.dtypes)["id"]
     return texts.mapInArrow(
-        tidy(run), f"id {kind}, doc_tokens long, start long, n long, ids binary, near array<int>, tokens array<int>, counts array<long>")
+        tidy(run),
+        f"id {kind}, doc_tokens long, start long, n long, ids binary, near array<int>, tokens array<int>, counts array<long>, chars long")
 
 
 class Shard:
@@ -297,7 +297,7 @@ def pack(
     idf[seen["tokens"].to_numpy(int)] = np.maximum(0, np.log((facts[2] - seen["docs"] + 0.5) / (seen["docs"] + 0.5)))
     kind = id_type(max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1))
     known = spark.sparkContext.broadcast(idf)
-    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    chars = written.where("tokens IS NOT NULL").agg(F.sum("chars")).first()[0] or 0
     parts = int(chars // partition_chars) + 1
 
     def run(batches):
