@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from voxspark import session
 from voxspark.llm import graph, line_dedup, minhash, shingles
 
 BLANKS = "[\x20\x09-\x0d]+"
@@ -200,3 +201,41 @@ def test_digest_of_kept_text(spark):
     docs = spark.createDataFrame([(1, "a repeated line\nx"), (2, "A repeated line \ny")], "doc_id long, text string")
     got = line_dedup.dedup_lines(docs).select("doc_id", F.sha2("_kept_text", 256)).collect()
     assert dict(map(tuple, got)) == {1: hashlib.sha256(b"a repeated line\nx").hexdigest(), 2: hashlib.sha256(b"y").hexdigest()}
+
+
+def test_bands_and_texts_move_once(spark, monkeypatch):
+    plans = []
+
+    def settle(df):
+        plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return session.settle(df)
+
+    monkeypatch.setattr(minhash, "settle", settle)
+    texts = [" ".join(f"w{(i * 7 + j) % 400}" for j in range(30)) for i in range(40)]
+    docs = spark.createDataFrame([(i, texts[i // 2] + (" end" if i % 2 else "")) for i in range(80)], "doc_id long, text string")
+    assert minhash.near_duplicates(docs).where("kept").count() == 40
+    plan = next(p for c, p in plans if c == ["key", "node", "pivot"])
+    assert "Join" not in plan and plan.count("Generate explode(bands") == 1
+    # no join moves the sets of shingles on their digests, unless nodes share an id
+    plan = next(p for c, p in plans if "shingles" in c)
+    assert plan.index("MapInArrow") < plan.index("Join")
+
+
+def test_texts_that_no_candidate_needs_stay_in_their_place(spark):
+    ids = [-(1 << 63), -64, -1, 0, 1, 63, 64, 65, 32767, 32768, (1 << 63) - 1, *range(1000, 1200)]
+    texts = spark.createDataFrame([(i, f"t{i}") for i in [*ids, *range(10_000, 20_000), 64]] + [(None, "none")], "id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in [*ids, 64]], "id long")
+    got = [r[0] for r in minhash._sifted(texts, wanted).collect()]
+    assert set(ids) <= set(got) and got.count(64) == 2 and len(got) < len(ids) + 20
+    # a filter that is too small keeps more, and loses nothing
+    got = [r[0] for r in minhash._sifted(texts, wanted, 128).collect()]
+    assert set(ids) <= set(got) and got.count(64) == 2 and len(got) == len(set(got)) + 1
+
+
+def test_sets_of_a_shared_id_are_all_opened(spark):
+    base = [f"w{i}" for i in range(200)]
+    one, other = " ".join(base[:90]), " ".join(base[100:190])
+    rows = [(5, one), (5, other), (7, one + " more"), (8, other + " more"), (9, None), (5, ""), (5, one)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {(r["id"], r["n_shingles"]): r["component_id"] for r in got}
+    assert len(got) == 7 and by == {(5, 86): 5, (7, 87): 5, (8, 87): 5, (9, 0): 9, (5, 0): 5}

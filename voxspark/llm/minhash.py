@@ -24,7 +24,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxspark.llm.common import id_and_text, per_slice
 from voxspark.llm.graph import components
@@ -37,6 +37,8 @@ BANDS = HASHES // BAND_ROWS
 FINE = 1024
 #: Pairs of sets that are both smaller are compared exactly, without a signature.
 SMALL = 86
+#: Bits of the filter that keeps texts in their place when no candidate needs them: half a million longs at most.
+FILTER = 1 << 25
 _ODD_LANES = 0x5555555555555555
 
 
@@ -106,7 +108,8 @@ def signatures(texts: DataFrame, width: int = 5) -> DataFrame:
 
 
 def shingle_sets(texts: DataFrame, width: int = 5) -> DataFrame:
-    """id, d1, d2 and the sorted distinct shingle hashes."""
+    """id, d1, d2 and the sorted distinct shingle hashes; further columns of longs are passed on."""
+    more = [c for c in texts.columns if c not in ("id", "text")]
 
     def work():
         shingler = Shingler(width)
@@ -117,11 +120,12 @@ def shingle_sets(texts: DataFrame, width: int = 5) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))
             return pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(digest[:, 0]), pa.array(digest[:, 1]), flat], ["id", "d1", "d2", "shingles"])
+                [part.column("id"), pa.array(digest[:, 0]), pa.array(digest[:, 1]), flat, *map(part.column, more)],
+                ["id", "d1", "d2", "shingles", *more])
 
         return step
 
-    return per_slice(texts, work, "id long, d1 long, d2 long, shingles array<long>")
+    return per_slice(texts, work, ", ".join(["id long, d1 long, d2 long, shingles array<long>", *(f"{c} long" for c in more)]))
 
 
 def equal_lanes(a: Column, b: Column, hashes: int = HASHES, bits: int = BITS) -> Column:
@@ -160,14 +164,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = rows.where("n > 0 AND id IS NOT NULL")
     classes = settle(one.groupBy("d1", "d2").agg(F.min(F.struct("id", "n", "sig", "bands")).alias("r")).select(
         "d1", "d2", F.col("r.id").alias("node"), "r.n", "r.sig", "r.bands"))
-    bands = classes.select(F.explode("bands").alias("key"), "node")
-    shared = bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = settle(bands.join(shared.select("key", F.col("low").alias("pivot")), "key"))
+    # every band moves once: a window needs no second pass to join what an aggregate has found
+    same = Window.partitionBy("key")
+    bands = classes.select(F.explode("bands").alias("key"), "node").select(
+        "key", "node", F.min("node").over(same).alias("pivot"), F.max("node").over(same).alias("high"))
+    members = settle(bands.where("pivot < high").drop("high"))
     facts = settle(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "d1", "d2"))
-    sets = settle(
-        # the documents to open grow with the corpus, so they are never broadcast
-        shingle_sets(texts.join(facts.select(F.col("node").alias("id")).distinct().hint("merge"), "id", "left_semi"), width)
-        .join(facts.select("d1", "d2", "node"), ["d1", "d2"]).where("id = node").select("node", "shingles"))
+    sets = _opened(texts, facts, width)
     info = facts.select("node", "n", "sig")
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -204,6 +207,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).withColumn("kept", F.col("id").isNull() | (F.col("id") == F.col("component_id")))
 
 
+def _sifted(texts: DataFrame, ids: DataFrame, bits: int = FILTER) -> DataFrame:
+    """The rows of ``texts`` whose id may be one of ``ids``, without moving any.
+
+    A bitmap of the ids' hashes goes to the texts, words of 64 bits as rows. No
+    wanted row is lost; of the others stays the share of bits that are set.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(bits))
+    one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
+    words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("set"))
+    near = texts.withColumn("bit", bit).join(F.broadcast(words), F.shiftright("bit", 6) == F.col("word"))
+    return near.where(F.getbit("set", F.col("bit").bitwiseAND(F.lit(63))) == 1).select(*texts.columns)
+
+
+def _opened(texts: DataFrame, facts: DataFrame, width: int) -> DataFrame:
+    """node and shingles of the rows that stand for their class.
+
+    A row is told by its id and the digest of its set. Only where several sets
+    share a node, the sets themselves move to the digests.
+    """
+    wanted = facts.groupBy(F.col("node").alias("id")).agg(F.count("*").alias("m"), F.min("d1").alias("e1"), F.min("d2").alias("e2"))
+    # the documents to open grow with the corpus, so they are never broadcast
+    rows = _sifted(texts, facts.select(F.col("node").alias("id"))).join(wanted.hint("merge"), "id")
+    found = settle(shingle_sets(rows, width).where("m > 1 OR (d1 = e1 AND d2 = e2)").select("id", "m", "d1", "d2", "shingles"))
+    several = found.where("m > 1").join(facts.select("d1", "d2", "node"), ["d1", "d2"]).where("id = node")
+    return found.where("m = 1").select(F.col("id").alias("node"), "shingles").union(settle(several.select("node", "shingles")))
+
+
 def _may_link(na: str, nb: str, sa: str, sb: str, percent: int) -> Column:
     sizes = F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
     small = F.greatest(na, nb) < SMALL
