@@ -219,6 +219,8 @@ def test_bands_and_texts_move_once(spark, monkeypatch):
     # no join moves the sets of shingles on their digests, unless nodes share an id
     plan = next(p for c, p in plans if "shingles" in c)
     assert plan.index("MapInArrow") < plan.index("Join")
+    # the sets of open buckets are sifted where they lie
+    assert "LeftSemi" not in next(p for c, p in plans if "fine" in c)
 
 
 def test_texts_that_no_candidate_needs_stay_in_their_place(spark):

@@ -207,17 +207,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).withColumn("kept", F.col("id").isNull() | (F.col("id") == F.col("component_id")))
 
 
-def _sifted(texts: DataFrame, ids: DataFrame, bits: int = FILTER) -> DataFrame:
-    """The rows of ``texts`` whose id may be one of ``ids``, without moving any.
+def _sifted(rows: DataFrame, ids: DataFrame, bits: int = FILTER) -> DataFrame:
+    """The rows whose first column may be one of ``ids``, without moving any.
 
-    A bitmap of the ids' hashes goes to the texts, words of 64 bits as rows. No
+    A bitmap of the ids' hashes goes to the rows, words of 64 bits as rows. No
     wanted row is lost; of the others stays the share of bits that are set.
     """
-    bit = F.pmod(F.xxhash64("id"), F.lit(bits))
+    bit = F.pmod(F.xxhash64(rows.columns[0]), F.lit(bits))
     one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
-    words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("set"))
-    near = texts.withColumn("bit", bit).join(F.broadcast(words), F.shiftright("bit", 6) == F.col("word"))
-    return near.where(F.getbit("set", F.col("bit").bitwiseAND(F.lit(63))) == 1).select(*texts.columns)
+    words = ids.toDF(rows.columns[0]).select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("set"))
+    near = rows.withColumn("bit", bit).join(F.broadcast(words), F.shiftright("bit", 6) == F.col("word"))
+    return near.where(F.getbit("set", F.col("bit").bitwiseAND(F.lit(63))) == 1).select(*rows.columns)
 
 
 def _opened(texts: DataFrame, facts: DataFrame, width: int) -> DataFrame:
@@ -228,7 +228,7 @@ def _opened(texts: DataFrame, facts: DataFrame, width: int) -> DataFrame:
     """
     wanted = facts.groupBy(F.col("node").alias("id")).agg(F.count("*").alias("m"), F.min("d1").alias("e1"), F.min("d2").alias("e2"))
     # the documents to open grow with the corpus, so they are never broadcast
-    rows = _sifted(texts, facts.select(F.col("node").alias("id"))).join(wanted.hint("merge"), "id")
+    rows = _sifted(texts, facts.select("node")).join(wanted.hint("merge"), "id")
     found = settle(shingle_sets(rows, width).where("m > 1 OR (d1 = e1 AND d2 = e2)").select("id", "m", "d1", "d2", "shingles"))
     several = found.where("m > 1").join(facts.select("d1", "d2", "node"), ["d1", "d2"]).where("id = node")
     return found.where("m = 1").select(F.col("id").alias("node"), "shingles").union(settle(several.select("node", "shingles")))
@@ -251,7 +251,7 @@ def _fine_facts(sets: DataFrame) -> DataFrame:
     """node, n, common and fine of each set.
 
     ``common`` is the number of its shingles that another of these sets has too;
-    no pair can share more. ``fine`` packs one mixed bit for each of FINE minima.
+    no pair can share more, also if there are more sets than pairs need. ``fine`` packs one mixed bit for each of FINE minima.
     """
     def work():
         signer = Signer(hashes=FINE, seed=23)
@@ -279,7 +279,8 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     the same margin of five standard deviations. Two sets below SMALL shingles
     pass it; they are confirmed on their shingles like all pairs.
     """
-    own = sets.join(members.select("node").distinct(), "node", "left_semi")
+    # sets that pass by chance only raise what others may share; the join with the members leaves them out
+    own = _sifted(sets, members.select("node"))
     facts = settle(_fine_facts(own).join(members.groupBy("node").agg(F.collect_list("key").alias("keys")), "node"))
     sizes = members.groupBy("key", "part").count()
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
