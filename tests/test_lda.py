@@ -116,6 +116,39 @@ def rows_of(table, model, best):
     return same[0].coherence
 
 
+def test_a_pass_moves_a_row_per_part_and_block(spark, corpus):
+    """Not a row per word and block."""
+    _, df = corpus
+    points = [lda.Point(3)]
+    model = lda.fit(df, "doc", "t", points, 1)
+    parts, blocks = model.dealt.n_parts, model.dealt.n_blocks
+    back = lda._expected(model.dealt, model.tables[0], points, model.sums)
+    assert model.table.count() == 22 and model.tables[0].count() <= parts and back.count() <= parts * blocks < 22
+
+
+def test_points_in_groups_are_the_points_of_one_run(spark, corpus, monkeypatch):
+    _, df = corpus
+    points = [lda.Point(3, None, None), lda.Point(2, 0.3, 0.7), lda.Point(3, 0.3, None)]
+    bags = lda.word_bags(df, "doc", "t")
+    runs = []
+    for most in (100, 5):
+        monkeypatch.setattr(lda, "GROUP", most)
+        monkeypatch.setattr(lda, "WEIGHTS", 0)
+        model = lda.fit(df, "doc", "t", points, 3, bags=bags)
+        shares = {r.doc: r[1:] for r in lda.assign(bags, model, 2).collect()}
+        runs.append((model, {r.word: [*r.lam, *r.eta] for r in model.table.collect()}, shares, lda.topic_words(model, 4).orderBy("point", "topic", "rank").collect()))
+    (one, rows, shares, words), (other, rows2, shares2, words2) = runs
+    assert len(one.groups) == 1 and len(other.groups) == 2 and rows.keys() == rows2.keys()
+    assert all(rows[w] == pytest.approx(rows2[w], rel=1e-9) for w in rows) and all(shares[d] == pytest.approx(shares2[d], rel=1e-9) for d in shares)
+    assert [r[:4] for r in words] == [r[:4] for r in words2]
+
+
+def test_null_words_are_no_words(spark):
+    df = spark.createDataFrame([(1, ["a", None, "b", "a"]), (2, [None]), (3, None)], "doc long, t array<string>")
+    got = {r.doc: sorted(r.ns) for r in lda.word_bags(df, "doc", "t").collect()}
+    assert got == {1: [1, 2], 2: [], 3: []} and lda.fit(df, "doc", "t", [lda.Point(2)], 1).table.count() == 2
+
+
 def test_no_words(spark):
     df = spark.createDataFrame([(1, []), (2, None)], "doc long, t array<string>")
     bags = lda.word_bags(df, "doc", "t")
