@@ -297,6 +297,39 @@ def test_lexicon_sentiment(spark):
     assert (got[3].vader_compound, got[3].vader_neu) == (0.0, 0.0)
 
 
+def test_sentence_summary_moves_blocks_instead_of_words(spark, monkeypatch):
+    """Many blocks give what plain counting gives, with missing keys and ids, and no word becomes a row."""
+    monkeypatch.setattr(summaries, "BLOCK", 7)
+    texts = ["a b. c c d", "b b. a b", "é x. y", "", None, "c c d. zz a", "1 2. a b", "d. e. f"]
+    rows_ = [("k" if i % 3 else "m", i, t) for i, t in enumerate(texts * 2)] + [(None, 99, "a a a a"), ("n", None, "q r"), ("o", 100, ". \n")]
+    df = spark.createDataFrame(rows_, "k string, id long, t string").repartition(3)
+    out = summaries.sentence_summary(df, "k", "id", "t", 2, ["zz"])
+    plan = out._jdf.queryExecution().toString()
+    assert "Generate" not in plan[plan.index("== Physical Plan ==") :]
+    want = {}
+    for key in "km":
+        found = [(i, pos, x.strip()) for k, i, t in rows_ if k == key for pos, x in enumerate(y for y in (t or "").split(".") if y.strip())]
+        words = {x: [w for w in x.split() if w.isalpha() and w != "zz"] for _, _, x in found}
+        count = {}
+        for _, _, x in found:
+            for w in words[x]:
+                count[w] = count.get(w, 0) + 1
+        first = {x: (i, pos) for i, pos, x in sorted(found, reverse=True)}
+        best = sorted(first, key=lambda x: (-sum(count[w] for w in words[x]), first[x]))[:2]
+        want[key] = (len(best), "\n".join(best))
+    assert {r.k: (r.n_parts, r.summary) for r in out.collect()} == want
+
+
+def test_sentence_summary_adds_up_documents_that_come_twice(spark):
+    """Rows with the same key, id and place make one candidate, whether they come from one block or from two."""
+    rows_ = [("k", 1, "a b. c"), ("k", 1, "a b. d"), ("k", 2, "c c c"), ("k", 3, "a b")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows_, "k string, id long, t string").repartition(parts)
+        got = summaries.sentence_summary(df, "k", "id", "t", 1, []).collect()
+        # "a b" has 3 + 3 in each of two rows, "c c c" 3 * 4: equal, so the first place wins, with both of its rows
+        assert [(r.n_parts, r.summary) for r in got] == [(2, "a b\na b")]
+
+
 def test_sentence_summary_counts_a_repeated_sentence_once(spark):
     df = spark.createDataFrame(
         [("h", 1, "aa bb. cc. aa bb"), ("h", 2, "aa bb.dd"), ("g", 3, "uu")], "k string, id int, t string"
